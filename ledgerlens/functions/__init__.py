@@ -77,13 +77,11 @@ def poisson1_thresholds() -> list[str]:
         k += 1
 
 
-def poisson1(hex8: Column) -> Column:
-    """A Poisson(1) draw from eight uniform hex digits."""
+def poisson1(hex8: str) -> Column:
+    """A Poisson(1) draw from a SQL expression for eight uniform hex digits."""
     cuts = poisson1_thresholds()
-    draw = F.when(hex8 < cuts[0], 0)
-    for k, cut in enumerate(cuts[1:], start=1):
-        draw = draw.when(hex8 < cut, k)
-    return draw.otherwise(len(cuts)).cast("long")
+    arms = " ".join(f"WHEN {hex8} < '{cut}' THEN {k}L" for k, cut in enumerate(cuts))
+    return F.expr(f"CASE {arms} ELSE {len(cuts)}L END")
 
 
 def erf(x: Column) -> Column:

@@ -13,10 +13,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions import hash_hex, normal_two_sided_p, poisson1
-from ledgerlens.operators.skew import MIN_ROWS, global_slices
+from ledgerlens.operators.skew import global_slices
 from ledgerlens.schemas import KEY, LABEL
 
-SLICES = 1024
+SLICES = 2048
+SLICE_ROWS = 20_000  # a slice smaller than this is not worth a task
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -24,59 +25,60 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, 0.0).otherwise(F.try_divide(a, b))
 
 
-def _metric_fields(replicate: int, r: str) -> Column:
-    """The metrics of one replicate from its totals."""
-    pos, neg, tp, fp = [F.col(f"{c}{r}").cast("double") for c in ("pos", "neg", "tp", "fp")]
-    fn, tn = pos - tp, neg - fp
-    fraud_f1 = _ratio(2 * tp, 2 * tp + fp + fn)
-    legit_f1 = _ratio(2 * tn, 2 * tn + fp + fn)
-    return F.struct(
-        F.lit(replicate).alias("replicate"),
-        F.when(pos * neg > 0, F.col(f"u{r}") / (pos * neg)).alias("auc"),
-        _ratio(pos * fraud_f1 + neg * legit_f1, pos + neg).alias("f1"),
-        _ratio(tp + tn, pos + neg).alias("accuracy"),
-        fraud_f1.alias("fraud_f1"),
-        (pos + neg).cast("long").alias("rows"),
-    )
+# One replicate's metrics from its totals; {r} is the replicate's number.
+_REPLICATE = """
+    named_struct(
+        'replicate', {r},
+        'auc', try_divide(u{r}, pos{r} * neg{r}),
+        'f1', (pos{r} * {fraud} + neg{r} * {legit}) / (pos{r} + neg{r}),
+        'accuracy', (tp{r} + neg{r} - fp{r}) / (pos{r} + neg{r}),
+        'fraud_f1', {fraud},
+        'rows', cast(pos{r} + neg{r} as bigint))"""
+_FRAUD_F1 = "coalesce(try_divide(2 * tp{r}, tp{r} + fp{r} + pos{r}), 0D)"
+_LEGIT_F1 = "coalesce(try_divide(2 * (neg{r} - fp{r}), 2 * neg{r} - fp{r} + pos{r} - tp{r}), 0D)"
 
 
 def _metrics(rows: DataFrame, weights: int, threshold: float) -> DataFrame:
-    """(model, replicate, auc, f1, ...) from rows (model, slice, score, positive, w0, w1, ...)."""
-    ids = [str(i) for i in range(weights)]
+    """(model, replicate, auc, f1, ...) from rows (model, slice, score, positive, w0, w1, ...).
+
+    Written as SQL text: there are a dozen expressions per replicate.
+    """
+
+    def per_replicate(*templates: str) -> list[Column]:
+        return [F.expr(t.format(r=r)) for t in templates for r in range(weights)]
+
     per_score = rows.groupBy("model", "slice", "score").agg(
-        *[F.sum(F.when(F.col("positive"), F.col(f"w{r}")).otherwise(0)).alias(f"p{r}") for r in ids],
-        *[F.sum(F.when(F.col("positive"), 0).otherwise(F.col(f"w{r}"))).alias(f"n{r}") for r in ids],
-    )
-    lower = (
-        Window.partitionBy("model", "slice").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        *per_replicate("sum(if(positive, w{r}, 0)) AS p{r}", "sum(if(positive, 0, w{r})) AS n{r}")
     )
+    lower = "(PARTITION BY model, slice ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     ranked = per_score.select(
-        "*", *[F.coalesce(F.sum(f"n{r}").over(lower), F.lit(0)).alias(f"below{r}") for r in ids]
+        "*",
+        (F.col("score") > threshold).alias("flagged"),
+        *per_replicate(f"coalesce(sum(n{{r}}) OVER {lower}, 0) AS below{{r}}"),
     )
-    flagged = F.col("score") > threshold
     per_slice = ranked.groupBy("model", "slice").agg(
-        *[F.sum(f"p{r}").alias(f"pos{r}") for r in ids],
-        *[F.sum(f"n{r}").alias(f"neg{r}") for r in ids],
-        *[F.sum(F.when(flagged, F.col(f"p{r}")).otherwise(0)).alias(f"tp{r}") for r in ids],
-        *[F.sum(F.when(flagged, F.col(f"n{r}")).otherwise(0)).alias(f"fp{r}") for r in ids],
-        *[
-            F.sum(F.col(f"p{r}").cast("double") * (F.col(f"below{r}") + F.col(f"n{r}") / 2)).alias(f"u{r}")
-            for r in ids
-        ],
+        *per_replicate(
+            "cast(sum(p{r}) as double) AS pos{r}",
+            "cast(sum(n{r}) as double) AS neg{r}",
+            "cast(sum(if(flagged, p{r}, 0)) as double) AS tp{r}",
+            "cast(sum(if(flagged, n{r}, 0)) as double) AS fp{r}",
+            "sum(cast(p{r} as double) * (below{r} + n{r} / 2D)) AS u{r}",
+        )
     )
     # at most SLICES rows per model from here on
-    earlier = Window.partitionBy("model").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = "(PARTITION BY model ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     placed = per_slice.select(
-        "*", *[F.coalesce(F.sum(f"neg{r}").over(earlier), F.lit(0)).alias(f"earlier{r}") for r in ids]
+        "*", *per_replicate(f"coalesce(sum(neg{{r}}) OVER {earlier}, 0D) AS earlier{{r}}")
     )
     totals = placed.groupBy("model").agg(
-        *[F.sum(f"{c}{r}").alias(f"{c}{r}") for c in ("pos", "neg", "tp", "fp") for r in ids],
-        *[
-            F.sum(F.col(f"u{r}") + F.col(f"pos{r}").cast("double") * F.col(f"earlier{r}")).alias(f"u{r}")
-            for r in ids
-        ],
+        *per_replicate(*[f"sum({c}{{r}}) AS {c}{{r}}" for c in ("pos", "neg", "tp", "fp")]),
+        *per_replicate("sum(u{r} + pos{r} * earlier{r}) AS u{r}"),
     )
-    return totals.select("model", F.inline(F.array(*[_metric_fields(i, r) for i, r in enumerate(ids)])))
+    structs = [
+        _REPLICATE.format(r=r, fraud=_FRAUD_F1.format(r=r), legit=_LEGIT_F1.format(r=r))
+        for r in range(weights)
+    ]
+    return totals.select("model", F.expr(f"inline(array({', '.join(structs)}))"))
 
 
 def evaluate(
@@ -84,12 +86,12 @@ def evaluate(
     label: str = LABEL,
     score: str = "probability",
     threshold: float = 0.5,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """One row: exact rank AUC (ties count half), label-weighted F1, accuracy, fraud-class
     F1 and row count. ``f1`` weighs both classes by size; ``fraud_f1`` is the fraud class."""
     rows = scored.select(F.col(score).alias("score"), (F.col(label) == 1).alias("positive"))
-    rows = global_slices(rows, "score", "slice", SLICES, min_rows)
+    rows = global_slices(rows, {"score": "slice"}, SLICES, min_rows)
     rows = rows.withColumns({"model": F.lit("model"), "w0": F.lit(1)})
     return _metrics(rows, 1, threshold).drop("model", "replicate")
 
@@ -106,9 +108,7 @@ def replicate_weights(df: DataFrame, n: int, key: str = KEY) -> DataFrame:
     for any layout of the rows and for every model. One hash serves four replicates.
     """
     blocks = {f"__h{b}": hash_hex(F.col(key), F.lit(b)) for b in range(-(-n // 4))}
-    draws = {
-        f"w{i}": poisson1(F.substring(F.col(f"__h{i // 4}"), 8 * (i % 4) + 1, 8)) for i in range(n)
-    }
+    draws = {f"w{i}": poisson1(f"substr(__h{i // 4}, {8 * (i % 4) + 1}, 8)") for i in range(n)}
     return df.withColumns(blocks).withColumns(draws).drop(*blocks)
 
 
@@ -119,7 +119,7 @@ def bootstrap(
     key: str = KEY,
     label: str = LABEL,
     threshold: float = 0.5,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """(model, replicate, auc, f1, accuracy, fraud_f1, rows) for n resamples of every model.
 
@@ -127,12 +127,12 @@ def bootstrap(
     replicates: each replicate is a weight column summed next to the others.
     """
     rows = scored.select(key, (F.col(label) == 1).alias("positive"), *scores.values())
-    for i, column in enumerate(scores.values()):
-        rows = global_slices(rows, column, f"__slice{i}", SLICES, min_rows)
+    slices = {column: f"__slice{i}" for i, column in enumerate(scores.values())}
+    rows = global_slices(rows, slices, SLICES, min_rows)
     rows = replicate_weights(rows, n, key)
     per_model = [
-        F.struct(F.lit(name).alias("model"), F.col(column).alias("score"), F.col(f"__slice{i}").alias("slice"))
-        for i, (name, column) in enumerate(scores.items())
+        F.struct(F.lit(name).alias("model"), F.col(column).alias("score"), F.col(slices[column]).alias("slice"))
+        for name, column in scores.items()
     ]
     rows = rows.select("positive", *[f"w{i}" for i in range(n)], F.inline(F.array(*per_model)))
     return _metrics(rows, n, threshold)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.operators.skew import MIN_ROWS, global_slices
 from ledgerlens.schemas import KEY, RAW
 
-SLICES = 1024
+SLICES = 2048
 
 
 def message_value() -> Column:
@@ -27,7 +27,7 @@ def numbered(df: DataFrame, order: str, out: str = "row", total: str = "total",
     Ranks run inside even slices; a slice's start is the size of the slices before it. The
     table of starts has at most SLICES rows, so it is broadcast.
     """
-    sliced = global_slices(df, order, "__slice", SLICES, min_rows)
+    sliced = global_slices(df, {order: "__slice"}, SLICES, min_rows)
     sizes = sliced.groupBy("__slice").agg(F.count("*").alias("__n"))
     earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()

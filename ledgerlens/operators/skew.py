@@ -9,43 +9,47 @@ table's size. That bound is what makes collecting or broadcasting it safe.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MAX_HOT = 4096
 MIN_ROWS = 1_000_000
 GRID = 2048  # quantile grid from which slice bounds are picked
+SAMPLE = 4_000_000  # rows looked at to choose slice bounds
 
 
-def _threshold(total: int, min_rows: int) -> int:
-    return max(min_rows, total // MAX_HOT)
+class _Heavy(NamedTuple):
+    rows: DataFrame  # rows of key-hash buckets that hold more than one task's share
+    n: int  # how many those are
+    limit: int  # one task's share
 
 
-def _heavy_rows(df: DataFrame, keys: Sequence[str], min_rows: int) -> tuple[DataFrame, int] | None:
-    """Rows in key-hash buckets that hold more than a task's share, or None.
+def _heavy_rows(df: DataFrame, keys: Sequence[str], min_rows: int) -> _Heavy | None:
+    """The rows among which any hot key must be, or None.
 
-    The probe groups on a few thousand hash buckets, so its shuffle is tiny even
-    for billions of keys; in the usual case it is the only extra job.
+    The probe groups on a few thousand hash buckets, so its shuffle is small even for
+    billions of keys; in the usual case it is the only extra job.
     """
-    buckets = 4 * MAX_HOT
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(4 * MAX_HOT))
     sizes = df.groupBy(bucket.alias("bucket")).count()
     top = sizes.agg(F.sum("count").alias("total"), F.max("count").alias("largest")).first()
-    limit = _threshold(top["total"] or 0, min_rows)
+    limit = max(min_rows, (top["total"] or 0) // MAX_HOT)
     if (top["largest"] or 0) <= limit:
         return None
-    heavy = [r["bucket"] for r in sizes.filter(F.col("count") > limit).select("bucket").collect()]
-    return df.filter(bucket.isin(heavy)), limit
+    heavy = sizes.filter(F.col("count") > limit).collect()  # fewer than MAX_HOT rows
+    rows = df.filter(bucket.isin([r["bucket"] for r in heavy]))
+    return _Heavy(rows, sum(r["count"] for r in heavy), limit)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> DataFrame | None:
     """The hot keys with their row counts (fewer than MAX_HOT rows), or None."""
-    found = _heavy_rows(df.select(*keys), keys, min_rows)
-    if found is None:
+    heavy = _heavy_rows(df.select(*keys), keys, min_rows)
+    if heavy is None:
         return None
-    heavy, limit = found
-    counts = heavy.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > limit)
+    counts = heavy.rows.groupBy(*keys).agg(F.count("*").alias("rows"))
+    counts = counts.filter(F.col("rows") > heavy.limit)
     rows = counts.collect()
     return df.sparkSession.createDataFrame(rows, counts.schema) if rows else None
 
@@ -99,58 +103,62 @@ def lookup_join(
 
 
 def _two_level(bounds: Sequence) -> list[list]:
-    """Sorted bounds cut into about sqrt(n) runs, so a lookup is two short scans."""
+    """Sorted bounds cut into about sqrt(n) runs, so that a lookup is two short scans."""
     step = max(1, int(len(bounds) ** 0.5))
     return [list(bounds[i : i + step]) for i in range(0, len(bounds), step)]
 
 
 def slice_of(value: Column, runs: Column) -> Column:
-    """How many bounds lie strictly below ``value``; ``runs`` comes from _two_level."""
-    full = F.size(F.filter(runs, lambda r: F.element_at(r, -1) < value))
-    within = F.size(F.filter(F.try_element_at(runs, full + 1), lambda b: b < value))
-    before = F.when(full > 0, F.size(F.try_element_at(runs, F.lit(1)))).otherwise(0) * full
-    # every run but the last has the same length, so full runs are counted by product
-    return F.when(full >= F.size(runs), F.lit(-1)).otherwise(before + within)
+    """A number that grows with the count of bounds below ``value``; ``runs`` comes from
+    _two_level. Every distinct count has its own number."""
+    passed = F.size(F.filter(runs, lambda run: F.element_at(run, -1) < value))
+    within = F.size(F.filter(F.try_element_at(runs, passed + 1), lambda b: b < value))
+    return passed * F.size(F.try_element_at(runs, F.lit(1))) + F.greatest(within, F.lit(0))
 
 
-def global_slices(df: DataFrame, order: str, out: str, slices: int, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Number the rows' equal-depth ranges of ``order`` 0, 1, 2, ... in column ``out``.
+def global_slices(df: DataFrame, columns: Mapping[str, str], slices: int, min_rows: int) -> DataFrame:
+    """Cut the range of each column into even slices; ``columns`` maps it to its slice number.
 
-    One aggregate job finds at most ``slices - 1`` bounds. A table no larger than
-    ``min_rows`` is one slice. The last slice is open-ended.
+    There are at most ``slices`` slices, and one per ``min_rows`` rows at most. Cut points
+    come from a sample; they only balance the work, every row gets its slice.
     """
-    grid = [i / slices for i in range(1, slices)]
-    stats = df.agg(
-        F.count(order).alias("n"), F.percentile_approx(order, grid, 100 * slices).alias("bounds")
-    ).first()
-    wanted = min(slices, -(-stats["n"] // min_rows))
+    n = df.count()
+    wanted = min(slices, -(-n // min_rows))
     if wanted <= 1:
-        return df.withColumn(out, F.lit(0))
-    step = max(1, slices // wanted)
-    bounds = sorted(set(stats["bounds"][step - 1 :: step]))
-    runs = F.array(*[F.array(*[F.lit(b) for b in run]) for run in _two_level(bounds)])
-    found = slice_of(F.col(order), runs)
-    return df.withColumn(out, F.when(found < 0, len(bounds)).otherwise(found))
+        return df.withColumns({out: F.lit(0) for out in columns.values()})
+    grid = [i / wanted for i in range(1, wanted)]
+    sampled = df.sample(SAMPLE / n, seed=0) if n > SAMPLE else df
+    cuts = sampled.agg(*[F.percentile_approx(c, grid, 10 * wanted).alias(c) for c in columns]).first()
+    found = {}
+    for column, out in columns.items():
+        bounds = sorted(set(cuts[column] or []))
+        runs = F.array(*[F.array(*[F.lit(b) for b in run]) for run in _two_level(bounds)])
+        found[out] = slice_of(F.col(column), runs)
+    return df.withColumns(found)
 
 
 def hot_bounds(df: DataFrame, keys: Sequence[str], ts: str, min_rows: int) -> DataFrame | None:
     """Per hot key: its slice bounds in time, and the instants too heavy for one slice.
 
-    A key gets one bound per task's share of rows it holds, so all keys together
-    have at most 2 * MAX_HOT bounds.
+    A key gets one bound per task's share of rows it holds, so all keys together have at
+    most 2 * MAX_HOT bounds. Bounds come from a sample and only balance the work.
     """
-    found = _heavy_rows(df.select(*keys, ts), keys, min_rows)
-    if found is None:
+    heavy = _heavy_rows(df.select(*keys, ts), keys, min_rows)
+    if heavy is None:
         return None
-    heavy, limit = found
     grid = [i / GRID for i in range(1, GRID)]
+    share = min(1.0, SAMPLE / heavy.n)
+    sampled = heavy.rows.sample(share, seed=0) if share < 1 else heavy.rows
     stats = (
-        heavy.groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.percentile_approx(ts, grid, 10 * GRID).alias("grid"))
-        .filter(F.col("n") > limit)
+        sampled.groupBy(*keys)
+        .agg(
+            (F.count("*") / share).alias("n"),
+            F.percentile_approx(ts, grid, 10 * GRID).alias("grid"),
+        )
+        .filter(F.col("n") > heavy.limit)
         .filter(F.col("grid").isNotNull())
     )
-    wanted = F.least(F.lit(GRID), F.ceil(F.col("n") / F.lit(limit)))
+    wanted = F.least(F.lit(GRID), F.ceil(F.col("n") / F.lit(heavy.limit)))
     picked = F.transform(
         F.sequence(F.lit(1), (wanted - 1).cast("int")),
         lambda i: F.element_at("grid", F.greatest((i * GRID / wanted).cast("int"), F.lit(1))),
@@ -204,8 +212,7 @@ def running_max(
         return df.withColumn(out, F.max(value).over(w))
 
     bounds = F.broadcast(bounds)  # at most MAX_HOT rows
-    found = slice_of(F.col(ts), F.col("__runs"))
-    index = F.when(F.col("__runs").isNull(), 0).when(found < 0, GRID).otherwise(found)
+    index = F.when(F.col("__runs").isNull(), 0).otherwise(slice_of(F.col(ts), F.col("__runs")))
     instant = F.lit(False) if strict else F.coalesce(F.array_contains("__heavy", F.col(ts)), F.lit(False))
     sliced = (
         df.join(bounds, same_keys(df, bounds, keys, null_safe=True), "left")

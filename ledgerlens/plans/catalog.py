@@ -19,7 +19,7 @@ from ledgerlens.operators import quality as Q
 from ledgerlens.operators import scoring as S
 from ledgerlens.operators.replay import replay
 from ledgerlens.plans import derive as D
-from ledgerlens.schemas import FEATURES, LABEL, RAW
+from ledgerlens.schemas import LABEL, RAW
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import files
 from ledgerlens import streaming
@@ -63,11 +63,24 @@ def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.with_features(cleaned(spark, sf_dir))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from there, so that
+    operators that look at their input more than once do not recompute it."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scored_by_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = X.feature_rows(featured(spark, sf_dir), "tranaction_id")
-    return rows.withColumns(
-        {"champion_p": D.CHAMPION.probability(), "candidate_p": D.CANDIDATE.probability()}
+    scored = rows.select(
+        "tranaction_id",
+        LABEL,
+        D.CHAMPION.probability().alias("champion_p"),
+        D.CANDIDATE.probability().alias("candidate_p"),
     )
+    return stored(scored, "scored")
 
 
 # ------------------------------------------------------------ flagship
@@ -119,14 +132,14 @@ def parquet_round_trip(spark, sf_dir):
 @query
 def replay_messages(spark, sf_dir):
     """One and a half passes over the cleaned rows, as messages."""
-    sent = replay(cleaned(spark, sf_dir), passes=1.5)
+    sent = replay(stored(cleaned(spark, sf_dir), "cleaned"), passes=1.5)
     return sent.select("position", F.from_json("value", RAW).alias("m")).select("position", "m.*")
 
 
 @query
 def replay_messages_sliced(spark, sf_dir):
     """The same with rows numbered in many slices."""
-    sent = replay(cleaned(spark, sf_dir), passes=1.5, min_rows=50)
+    sent = replay(stored(cleaned(spark, sf_dir), "cleaned"), passes=1.5, min_rows=50)
     return sent.select("position", F.from_json("value", RAW).alias("m")).select("position", "m.*")
 
 
@@ -154,7 +167,7 @@ def manifest_update(spark, sf_dir):
 @query
 def run_log(spark, sf_dir):
     """Evaluation metrics appended to a run log and read back."""
-    metrics = E.evaluate(D.CHAMPION.score(featured(spark, sf_dir)))
+    metrics = E.evaluate(scored_by_both(spark, sf_dir), score="champion_p")
     path = scratch_dir(spark, "runs")
     metrics = metrics.select(*[F.format_number(c, 4).alias(c) for c in ("auc", "f1", "accuracy")], "rows")
     files.append_run_log(files.run_log_rows(metrics, "run-1", "metric"), path)
