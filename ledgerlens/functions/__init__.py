@@ -28,8 +28,17 @@ def strict_timestamp_or_null(c: Column) -> Column:
 
 
 def midnight_repaired(c: Column) -> Column:
-    """'<date> 24:00:00' becomes midnight of the same date."""
-    return F.regexp_replace(c, " 24:00:00$", " 00:00:00")
+    """'<date> 24:00:00' becomes midnight of the same date (not of the next)."""
+    wrong = " 24:00:00"
+    date = F.substring(c, F.lit(1), F.length(c) - len(wrong))
+    return F.when(c.endswith(wrong), F.concat(date, F.lit(" 00:00:00"))).otherwise(c)
+
+
+def number_or_null(c: Column) -> Column:
+    """String to double, NULL when it is not a number. The pattern comes first because a
+    failing parse costs far more than a failing match."""
+    number = r"(?i)^\s*([+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?|[+-]?inf(inity)?|nan)\s*$"
+    return F.when(c.rlike(number), c.try_cast("double"))
 
 
 def zero_if_missing(c: Column) -> Column:

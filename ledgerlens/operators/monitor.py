@@ -8,7 +8,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlens.operators.skew import MIN_ROWS, hot_bounds, lookup_join, running_max
+from ledgerlens.operators.skew import MIN_ROWS, hot_bounds, running_max
 
 
 def _text(t: timedelta) -> str:
@@ -158,9 +158,13 @@ def gauge(
     )
 
 
-def utilisation(rates: DataFrame, limits: DataFrame, key: str = "pod", min_rows: int = MIN_ROWS) -> DataFrame:
-    """Each rate divided by its pod's limit; rates without a limit are left out."""
-    joined = lookup_join(rates, limits.select(key, "limit"), [key], "inner", min_rows=min_rows)
+def utilisation(rates: DataFrame, limits: DataFrame, key: str = "pod") -> DataFrame:
+    """Each rate divided by its pod's limit; rates without a limit are left out.
+
+    Rates hold one row per pod and window, so a pod's group is as long as the time covered;
+    a plain equi-join is enough, and Spark broadcasts the limits if they are small.
+    """
+    joined = rates.join(limits.select(key, "limit"), key)
     return joined.withColumn("utilisation", F.col("per_second") / F.col("limit")).drop("limit")
 
 
@@ -205,7 +209,7 @@ def overload_alert(
     ``length`` before it. The two sides are matched on time only.
     """
     increases = counter_increases(cpu, ["pod"], min_rows=min_rows)
-    usage = utilisation(counter_rate(increases, length, ["pod"], step), limits, min_rows=min_rows)
+    usage = utilisation(counter_rate(increases, length, ["pod"], step), limits)
     busiest = usage.groupBy(F.col("window_end").alias("at")).agg(F.max("utilisation").alias("peak"))
     hot_times = busiest.filter(F.col("peak") > busy)
     full = gauge(replicas, step, ["deployment"]).filter(F.col("value") == max_replicas)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerlens.functions import int_or_null, timestamp_or_null
+from ledgerlens.functions import int_or_null, number_or_null, timestamp_or_null
 from ledgerlens.operators.skew import MIN_ROWS, lookup_join
 from ledgerlens.schemas import KEY
 
@@ -48,7 +48,7 @@ def summary(df: DataFrame) -> DataFrame:
     for i, field in enumerate(df.schema.fields):
         c = F.col(field.name)
         text = isinstance(field.dataType, T.StringType)
-        number = c.try_cast("double") if text else c.cast("double")
+        number = number_or_null(c) if text else c.cast("double")
         names = [f"{s}_{i}" for s in ("n", "mean", "sd", "lo", "hi")]
         values = [F.count(c), F.avg(number), F.stddev(number), F.min(c), F.max(c)]
         aggregates += [v.alias(n) for v, n in zip(values, names, strict=True)]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MAX_HOT = 4096
 MIN_ROWS = 1_000_000
-GRID = 2048  # quantile grid from which slice bounds are picked
+GRID = 2048  # most slices per hot key
 SAMPLE = 4_000_000  # rows looked at to choose slice bounds
 
 
@@ -146,22 +146,23 @@ def hot_bounds(df: DataFrame, keys: Sequence[str], ts: str, min_rows: int) -> Da
     heavy = _heavy_rows(df.select(*keys, ts), keys, min_rows)
     if heavy is None:
         return None
-    grid = [i / GRID for i in range(1, GRID)]
+    fine = min(GRID, 8 * -(-heavy.n // heavy.limit))
+    grid = [i / fine for i in range(1, fine)]
     share = min(1.0, SAMPLE / heavy.n)
     sampled = heavy.rows.sample(share, seed=0) if share < 1 else heavy.rows
     stats = (
         sampled.groupBy(*keys)
         .agg(
             (F.count("*") / share).alias("n"),
-            F.percentile_approx(ts, grid, 10 * GRID).alias("grid"),
+            F.percentile_approx(ts, grid, 10 * fine).alias("grid"),
         )
         .filter(F.col("n") > heavy.limit)
         .filter(F.col("grid").isNotNull())
     )
-    wanted = F.least(F.lit(GRID), F.ceil(F.col("n") / F.lit(heavy.limit)))
+    wanted = F.least(F.lit(fine), F.ceil(F.col("n") / F.lit(heavy.limit)))
     picked = F.transform(
         F.sequence(F.lit(1), (wanted - 1).cast("int")),
-        lambda i: F.element_at("grid", F.greatest((i * GRID / wanted).cast("int"), F.lit(1))),
+        lambda i: F.element_at("grid", F.greatest((i * fine / wanted).cast("int"), F.lit(1))),
     )
     rows = stats.select(*keys, picked.alias("picked")).collect()
     if not rows:

@@ -6,7 +6,7 @@ from ledgerlens.functions import poisson1_thresholds
 from ledgerlens.operators.scoring import SHIPPED, Coefficients
 from ledgerlens.plans.derive import CANDIDATE, CHAMPION
 from ledgerlens.plans.catalog import LATENCY_BOUNDS, REPLICATES
-from ledgerlens.schemas import RAW
+from ledgerlens.schemas import FEATURES, RAW
 
 ORACLES: dict[str, str] = {}
 
@@ -371,6 +371,8 @@ for _name, _c in (("score_from_coefficients", SHIPPED), ("score_from_coefficient
                CAST(CASE WHEN {probability(_c)} > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction
         FROM feat""")
 oracle("trained_model_agrees_with_its_coefficients", "feat", "SELECT count(*) AS rows, 0::BIGINT AS differing FROM feat")
+ORACLES["exported_coefficient_rows"] = " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS pos, '{name}' AS name" for i, name in enumerate(FEATURES))
 
 oracle("confusion_table", "champ", "SELECT tx_fraud, prediction, count(*) AS rows FROM champ GROUP BY ALL")
 ROUNDED = "round(auc, 6) AS auc, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy, round(fraud_f1, 6) AS fraud_f1, rows"
