@@ -47,3 +47,11 @@ def clean(raw: DataFrame, stable: bool = True) -> DataFrame:
     """All cleaning steps, lazily, with a single shuffle (on the transaction id)."""
     valid = valid_rows(raw)
     return keep_one_per_id(valid) if stable else keep_any_per_id(valid)
+
+
+def clean_addition(raw: DataFrame, existing: DataFrame, key: str = KEY) -> DataFrame:
+    """Cleaned rows of ``raw`` whose id is not among ``existing`` rows; a missing id counts
+    as one id. Only the ids of the existing rows are read and shuffled."""
+    known = existing.select(F.col(key).alias("__known"))
+    fresh = clean(raw)
+    return fresh.join(known, fresh[key].eqNullSafe(known["__known"]), "left_anti")

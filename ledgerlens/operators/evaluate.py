@@ -16,7 +16,7 @@ from ledgerlens.functions import hash_hex, normal_two_sided_p, poisson1
 from ledgerlens.operators.skew import global_slices
 from ledgerlens.schemas import KEY, LABEL
 
-SLICES = 2048
+SLICES = 4096
 SLICE_ROWS = 20_000  # a slice smaller than this is not worth a task
 
 

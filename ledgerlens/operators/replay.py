@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.operators.skew import MIN_ROWS, global_slices
 from ledgerlens.schemas import KEY, RAW
 
-SLICES = 2048
+SLICES = 8192
 
 
 def message_value() -> Column:

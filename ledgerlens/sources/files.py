@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.schemas import RAW
@@ -31,17 +32,14 @@ def write_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     writer.option("header", True).option("comment", "!").csv(path)
 
 
-def write_clean(df: DataFrame, path: str, by_date: bool = True) -> None:
-    """Parquet, overwriting; partitioned by transaction date so that reads prune.
+def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Parquet partitioned by transaction date, so that reads prune.
 
     The rebalance groups a date's rows into few files and splits a date that is too big
     for one task.
     """
-    if not by_date:
-        df.write.mode("overwrite").parquet(path)
-        return
     dated = df.withColumn("tx_date", F.to_date("tx_datetime"))
-    dated.hint("rebalance", "tx_date").write.mode("overwrite").partitionBy("tx_date").parquet(path)
+    dated.hint("rebalance", "tx_date").write.mode(mode).partitionBy("tx_date").parquet(path)
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
@@ -78,6 +76,18 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("file string").json(path)
 
 
+def latest_manifest(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
+    """(manifest, version) of the newest version in the folder; empty and 0 when there is none."""
+    try:
+        versions = spark.read.schema("file string, version int").json(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string"), 0
+    newest = versions.agg(F.max("version")).first()[0] or 0
+    return versions.filter(F.col("version") == newest).select("file"), newest
+
+
 # ------------------------------------------------------------ run log
 
 
