@@ -19,6 +19,11 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # streaming state outgrows the heap at scale
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
