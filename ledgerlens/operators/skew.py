@@ -8,10 +8,12 @@ table's size. That bound is what makes collecting or broadcasting it safe.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MAX_HOT = 4096
@@ -102,18 +104,15 @@ def lookup_join(
 # ------------------------------------------------------------------ slices
 
 
-def _two_level(bounds: Sequence) -> list[list]:
-    """Sorted bounds cut into about sqrt(n) runs, so that a lookup is two short scans."""
-    step = max(1, int(len(bounds) ** 0.5))
-    return [list(bounds[i : i + step]) for i in range(0, len(bounds), step)]
-
-
-def slice_of(value: Column, runs: Column) -> Column:
-    """A number that grows with the count of bounds below ``value``; ``runs`` comes from
-    _two_level. Every distinct count has its own number."""
-    passed = F.size(F.filter(runs, lambda run: F.element_at(run, -1) < value))
-    within = F.size(F.filter(F.try_element_at(runs, passed + 1), lambda b: b < value))
-    return passed * F.size(F.try_element_at(runs, F.lit(1))) + F.greatest(within, F.lit(0))
+def bounds_below(value: Column, bounds: Column, most: int) -> Column:
+    """How many of the sorted ``bounds`` (an array column of at most ``most``) lie strictly
+    below ``value``: a binary search in about log2(most) steps."""
+    steps = F.lit([1 << k for k in reversed(range(most.bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(F.get(bounds, found + step - 1) < value, found + step).otherwise(found),
+    )
 
 
 def global_slices(df: DataFrame, columns: Mapping[str, str], slices: int, min_rows: int) -> DataFrame:
@@ -124,17 +123,20 @@ def global_slices(df: DataFrame, columns: Mapping[str, str], slices: int, min_ro
     """
     n = df.count()
     wanted = min(slices, -(-n // min_rows))
-    if wanted <= 1:
-        return df.withColumns({out: F.lit(0) for out in columns.values()})
-    grid = [i / wanted for i in range(1, wanted)]
-    sampled = df.sample(SAMPLE / n, seed=0) if n > SAMPLE else df
-    cuts = sampled.agg(*[F.percentile_approx(c, grid, 10 * wanted).alias(c) for c in columns]).first()
-    found = {}
-    for column, out in columns.items():
-        bounds = sorted(set(cuts[column] or []))
-        runs = F.array(*[F.array(*[F.lit(b) for b in run]) for run in _two_level(bounds)])
-        found[out] = slice_of(F.col(column), runs)
-    return df.withColumns(found)
+    numbers = {out: F.lit(0) for out in columns.values()}
+    if wanted > 1:
+        grid = [i / wanted for i in range(1, wanted)]
+        sampled = df.sample(SAMPLE / n, seed=0) if n > SAMPLE else df
+        cuts = sampled.agg(*[F.percentile_approx(c, grid, 10 * wanted).alias(c) for c in columns]).first()
+        for column, out in columns.items():
+            inner = sorted({float(b) for b in cuts[column] or [] if math.isfinite(b)})
+            if inner:
+                splits = [-math.inf, *inner, math.inf]
+                cut = Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep")
+                df = cut.transform(df)
+                # NULL sorts first, so it belongs to the first slice
+                numbers[out] = F.when(F.col(column).isNull(), 0).otherwise(F.col(out).cast("int"))
+    return df.withColumns(numbers)
 
 
 def hot_bounds(df: DataFrame, keys: Sequence[str], ts: str, min_rows: int) -> DataFrame | None:
@@ -171,7 +173,7 @@ def hot_bounds(df: DataFrame, keys: Sequence[str], ts: str, min_rows: int) -> Da
     schema = T.StructType(
         [T.StructField(f"__{k}", df.schema[k].dataType) for k in keys]
         + [
-            T.StructField("__runs", T.ArrayType(T.ArrayType(ts_type))),
+            T.StructField("__bounds", T.ArrayType(ts_type)),
             T.StructField("__heavy", T.ArrayType(ts_type)),
         ]
     )
@@ -179,7 +181,7 @@ def hot_bounds(df: DataFrame, keys: Sequence[str], ts: str, min_rows: int) -> Da
     for row in rows:
         times = Counter(row["picked"])
         repeated = [t for t, n in times.items() if n > 1]
-        table.append((*[row[k] for k in keys], _two_level(sorted(times)), repeated))
+        table.append((*[row[k] for k in keys], sorted(times), repeated))
     return df.sparkSession.createDataFrame(table, schema)
 
 
@@ -213,14 +215,15 @@ def running_max(
         return df.withColumn(out, F.max(value).over(w))
 
     bounds = F.broadcast(bounds)  # at most MAX_HOT rows
-    index = F.when(F.col("__runs").isNull(), 0).otherwise(slice_of(F.col(ts), F.col("__runs")))
+    passed = bounds_below(F.col(ts), F.col("__bounds"), GRID)
+    index = F.when(F.col("__bounds").isNull(), 0).otherwise(passed)
     instant = F.lit(False) if strict else F.coalesce(F.array_contains("__heavy", F.col(ts)), F.lit(False))
     sliced = (
         df.join(bounds, same_keys(df, bounds, keys, null_safe=True), "left")
         .withColumn("__instant", instant)
         .withColumn("__slice", 2 * index + F.col("__instant").cast("int"))
-        .withColumn("__hot", F.col("__runs").isNotNull())
-        .drop("__runs", "__heavy", *[f"__{k}" for k in keys])
+        .withColumn("__hot", F.col("__bounds").isNotNull())
+        .drop("__bounds", "__heavy", *[f"__{k}" for k in keys])
     )
     tops = sliced.filter("__hot").groupBy(*keys, "__slice").agg(F.max(value).alias("__top"))
     by_slice = Window.partitionBy(*keys).orderBy("__slice")
