@@ -336,14 +336,14 @@ def score_from_coefficient_file(spark, sf_dir):
 @query
 def trained_model_metrics(spark, sf_dir):
     """Fit on 80 %, evaluate on the rest."""
-    _, metrics = S.train(featured(spark, sf_dir))
+    _, metrics = S.train(stored(featured(spark, sf_dir), "featured"))
     return comparable(metrics)
 
 
 @query
 def trained_model_agrees_with_its_coefficients(spark, sf_dir):
     """Fit, save, load, export; count rows where the two ways of scoring differ."""
-    rows = X.feature_rows(featured(spark, sf_dir), "tranaction_id")
+    rows = stored(X.feature_rows(featured(spark, sf_dir), "tranaction_id"), "features")
     model = S.pipeline().fit(rows)
     path = scratch_dir(spark, "model")
     S.save_model(model, f"{path}/fitted")
@@ -360,7 +360,7 @@ def trained_model_agrees_with_its_coefficients(spark, sf_dir):
 @query
 def exported_coefficient_rows(spark, sf_dir):
     """A fitted model's coefficient file as a table."""
-    model = S.pipeline().fit(X.feature_rows(featured(spark, sf_dir)))
+    model = S.pipeline().fit(stored(X.feature_rows(featured(spark, sf_dir)), "features"))
     path = scratch_dir(spark, "coefficients")
     S.save_coefficients(spark, S.coefficients_of(model), path)
     return S.coefficient_rows(spark, path).select("pos", "name")
@@ -451,10 +451,8 @@ def stream_rejects(spark, sf_dir):
 
 @query
 def stream_scored_by_fitted_model(spark, sf_dir):
-    """A fitted model on the stream; its scores equal the batch scores of the same rows."""
-    ev = D.events(spark, sf_dir)
-    batch = X.feature_rows(featured(spark, sf_dir))
-    model = S.pipeline().fit(batch)
+    """A fitted model on the stream: messages per topic."""
+    model = S.pipeline().fit(stored(X.feature_rows(featured(spark, sf_dir)), "features"))
     path = scratch_dir(spark, "scored")
     scored = streaming.score_messages(D.messages_from(D.event_stream(spark, sf_dir)), model.transform)
     started = streaming.write_stream(scored, f"{path}/out", f"{path}/checkpoint", partition_by="topic")
