@@ -23,6 +23,7 @@ from ledgerlens.schemas import LABEL, RAW
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import files
 from ledgerlens import streaming
+from ledgerlens.streaming.alerts import sustained_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -483,6 +484,20 @@ def stream_event_rate(spark, sf_dir):
     return comparable(spark.read.parquet(f"{path}/out"))
 
 
+@query
+def stream_sustained_alert(spark, sf_dir):
+    """All replicas up for five hours in a row, watched on a stream of gauge samples."""
+    samples = D.replica_samples(D.event_stream(spark, sf_dir).withWatermark("ts", "10 minutes"))
+    steps = M.gauge(samples, HOUR, ["deployment"])
+    path = scratch_dir(spark, "alerts")
+    streaming.run_for(streaming.write_stream(steps, f"{path}/steps", f"{path}/steps_checkpoint"))
+    full = spark.readStream.schema(steps.schema).parquet(f"{path}/steps").filter("value = 6")
+    met = full.select("deployment", F.col("window_end").alias("at"))
+    alerts = sustained_stream(met, "deployment", HOUR, 5 * HOUR)
+    streaming.run_for(streaming.write_stream(alerts, f"{path}/out", f"{path}/checkpoint"))
+    return comparable(spark.read.schema(alerts.schema).parquet(f"{path}/out"))
+
+
 # ------------------------------------------------------------ monitoring
 
 

@@ -416,6 +416,12 @@ HOURLY = f"""
 oracle("stream_event_rate", "ev", f"""
     SELECT * FROM ({HOURLY.format(by='')})
     WHERE window_end <= (SELECT strftime(max(ts) - INTERVAL 10 MINUTE, {STAMP}) FROM ev)""")
+oracle("stream_sustained_alert", "replicas", f"""
+    SELECT 'api' AS deployment, strftime(min(at_), {STAMP}) AS since, strftime(min(at_) + INTERVAL 5 HOUR, {STAMP}) AS fired_at
+    FROM (SELECT at_, epoch(at_) / 3600 - row_number() OVER (ORDER BY at_) AS run
+          FROM (SELECT w + INTERVAL 1 HOUR AS at_ FROM replicas WHERE value = 6)
+          WHERE at_ <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM ev))
+    GROUP BY run HAVING max(at_) - min(at_) >= INTERVAL 5 HOUR""")
 
 oracle("outcome_counts", "champ", """
     SELECT count(*) AS predictions_total, count(*) FILTER (prediction = 1) AS fraud_predictions_total FROM champ""")

@@ -12,6 +12,7 @@ from ledgerlens.operators import monitor as M
 from ledgerlens.operators import scoring as S
 from ledgerlens.plans import derive as D
 from ledgerlens.sources import kafka
+from ledgerlens.streaming.alerts import sustained_stream
 
 T0 = datetime(2024, 1, 1)
 MINUTE = timedelta(minutes=1)
@@ -136,3 +137,17 @@ def test_kafka_options():
     assert 'username="me" password="secret";' in options["kafka.sasl.jaas.config"]
     assert options["kafka.ssl.truststore.location"] == "/t.jks"
     assert "kafka.ssl.truststore.location" not in kafka.KafkaAccess("h", "u", "p").options()
+
+
+def test_alert_state_spans_batches(spark, tmp_path):
+    """Runs that cross micro-batches fire once; a gap or a repeated step does not."""
+    folder = str(tmp_path / "steps")
+    for minutes in ([0, 1, 2, 3], [3, 4, 5, 6], [8, 9], [20, 21, 22], [23, 24, 25, 26, 27]):
+        rows = [("api", T0 + m * MINUTE) for m in minutes]
+        spark.createDataFrame(rows, "deployment string, at timestamp").coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema("deployment string, at timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+    alerts = sustained_stream(source, "deployment", MINUTE, 5 * MINUTE)
+    out = str(tmp_path / "out")
+    streaming.run_for(streaming.write_stream(alerts, out, str(tmp_path / "c")))
+    got = sorted(tuple(r) for r in spark.read.schema(alerts.schema).parquet(out).collect())
+    assert got == [("api", T0, T0 + 5 * MINUTE), ("api", T0 + 20 * MINUTE, T0 + 25 * MINUTE)]
