@@ -8,6 +8,7 @@ from ledgerlens.operators.skew import MIN_ROWS, global_slices
 from ledgerlens.schemas import KEY, RAW
 
 SLICES = 8192
+BLOCK = 10_000
 
 
 def message_value() -> Column:
@@ -55,7 +56,10 @@ def replay(
     """
     rows = numbered(df, order, min_rows=min_rows)
     wanted = F.lit(limit) if limit is not None else F.floor(F.col("total") * F.lit(float(passes)))
-    turns = F.ceil((wanted - F.col("row")) / F.col("total")).cast("int")
-    due = rows.filter(turns > 0).withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1)))
+    turns = F.ceil((wanted - F.col("row")) / F.col("total")) - 1
+    due = rows.withColumn("last", turns).filter("last >= 0")
+    # turns are listed in blocks, so that a short table replayed very often needs no long arrays
+    due = due.withColumn("block", F.explode(F.expr(f"sequence(0L, last, {BLOCK}L)")))
+    due = due.withColumn("turn", F.explode(F.expr(f"sequence(block, least(block + {BLOCK - 1}L, last))")))
     position = F.col("turn") * F.col("total") + F.col("row")
     return due.select(position.alias("position"), message_value().alias("value"))

@@ -116,7 +116,7 @@ def test_numbering_and_replay(spark, min_rows):
     assert rows == {v: i for i, v in enumerate(sorted(ids))}
 
 
-@pytest.mark.parametrize("limit", [0, 1, 7, 10, 23])
+@pytest.mark.parametrize("limit", [0, 1, 7, 10, 23, 200_005])
 def test_replay_wraps_around(spark, limit):
     from ledgerlens.schemas import RAW
 
