@@ -36,7 +36,8 @@ def sustained_stream(met: DataFrame, key: str, step: timedelta, hold: timedelta,
                 alerts.append((keys[0], since, now))
         if last is not None:
             state.update((since, last, fired))
-        yield pd.DataFrame(alerts, columns=[key, "since", "fired_at"])
+        if alerts:
+            yield pd.DataFrame(alerts, columns=[key, "since", "fired_at"])
 
     key_type = met.schema[key].dataType.simpleString()
     return (
