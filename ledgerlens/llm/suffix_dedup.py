@@ -203,7 +203,7 @@ def _contexts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     )
 
 
-def _ids(column: pa.Array) -> np.ndarray:
+def ids_of(column: pa.Array) -> np.ndarray:
     return column.fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
@@ -235,7 +235,7 @@ def _anchors(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = _ids(batch.column(0))
+            ids = ids_of(batch.column(0))
             data, offsets = column_bytes(batch.column(1))
             h, c, row, at, start, end = found(data, offsets)
             if not len(h):
@@ -294,12 +294,13 @@ def _settle(length: int, gram: int):
     return run
 
 
-def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, z): texts squeezed before a shuffle."""
     squeeze = ZstdCompressor(level=1).compress
     for batch in batches:
         data, offsets = column_bytes(batch.column(1))
         packed = [squeeze(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        yield pa.RecordBatch.from_pydict({"doc": pa.array(_ids(batch.column(0))), "z": pa.array(packed, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"doc": pa.array(ids_of(batch.column(0))), "z": pa.array(packed, pa.binary())})
 
 
 def _expand(z: bytes) -> np.ndarray:
@@ -381,7 +382,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "anchors",
     )
     wanted = settled.filter(F.col("kind") == SINGLE).groupBy("doc").agg(F.collect_list(F.struct("h", "pos")).alias("wanted"))
-    packed = texts.mapInArrow(_compress, "doc long, z binary")
+    packed = texts.mapInArrow(compressed, "doc long, z binary")
     fetched = packed.join(wanted, "doc").select("doc", "z", "wanted").mapInArrow(_fetch(length, gram), ROWS)
     contexts = stored(settled.filter(F.col("kind") == CONTEXT).unionByName(fetched).select("h", "doc", "pos", "left", "ctx"), "contexts")
     large = contexts.groupBy("h").count().filter(F.col("count") > task_contexts).select("h")
@@ -429,7 +430,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_bytes, n_removed, spans, kept): each document with the bytes that are left, one row per input row."""
     spans = repeated_spans(docs, id_col, text_col, length, **options)
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    packed = texts.mapInArrow(_compress, "doc long, z binary")
+    packed = texts.mapInArrow(compressed, "doc long, z binary")
     return packed.join(spans, "doc", "left").select("doc", "z", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
     )

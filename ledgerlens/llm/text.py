@@ -162,3 +162,34 @@ def joined(rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     first = np.r_[True, (start + lift)[1:] > reach[:-1]] | new_row
     last = np.r_[first[1:], True]
     return rows[first], start[first], (reach - lift)[last]
+
+
+class Words(NamedTuple):
+    first_row: int
+    rows: np.ndarray  # row of each word
+    start: np.ndarray  # its bytes in the column
+    end: np.ndarray
+    code: np.ndarray  # its hash
+    bounds: np.ndarray  # words before each row of the group, and in all
+
+
+def word_groups(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray = BYTE_CODE, size: int = 4 * PIECE) -> Iterator[Words]:
+    """The words of the rows with their hashes, in groups of whole rows of about ``size`` bytes."""
+    n = len(offsets) - 1
+    row = 0
+    while row < n:
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
+        base, part = offsets[row], data[offsets[row] : offsets[stop]]
+        start, end = word_bounds(part, offsets[row:stop] - base)
+        code = np.empty(len(start), np.uint64)
+        at = 0
+        while at < len(start):
+            to = max(at + 1, int(np.searchsorted(end, start[at] + PIECE, side="right")))
+            grams = RangeHash(codes[part[start[at] : end[to - 1]]])
+            a, b = start[at:to] - start[at], end[at:to] - start[at]
+            code[at:to] = mix(grams.of(a, b) + U(0x632BE59BD9B4E019) * (b - a).astype(np.uint64))
+            at = to
+        bounds = np.searchsorted(start, offsets[row : stop + 1] - base)
+        rows = np.repeat(np.arange(row, stop), np.diff(bounds))
+        yield Words(row, rows, start + base, end + base, code, bounds)
+        row = stop
