@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlens.llm.text import RangeHash, Words, column_bytes, mix, word_groups
 
 U = np.uint64
-STEPS, PLACES, WALKS, TABLES = 16, 7, 2, 3  # TABLES per walk
+STEPS, PLACES, WALKS, TABLES = 16, 11, 2, 3  # TABLES per walk
 SHORT = 8  # words
 PAD = U(0x5851F42D4C957F2D)
 _rng = np.random.default_rng(29)
