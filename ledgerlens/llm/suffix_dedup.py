@@ -371,7 +371,7 @@ def _windows(length: int, gram: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 40, task_contexts: int = 200_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 40, task_contexts: int = 5_000) -> DataFrame:
     """(doc, spans): per document with repeats, the byte ranges to remove, sorted and disjoint; doc is ``LAST`` for a null id.
 
     ``task_contexts`` is how many contexts of one gram may be sorted in one task; beyond it, windows are grouped by hash.
