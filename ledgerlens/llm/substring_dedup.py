@@ -10,7 +10,8 @@ smaller id. Grouping every window would move many times the corpus, so a sketch
    a fixed size (32 MB by default), which is broadcast. The sketch only decides what is looked at: with more keys than
    cells it passes more windows, and the result stays the same. Set ``cells`` by the corpus.
 3. The second pass reads the texts again and groups exactly the windows whose key reached two in every row of the
-   sketch. Windows are first grouped within each part, so a passage in very many documents is one row per part.
+   sketch. They go to the task of their key, the consecutive windows of one key as one row of 64-bit hashes. Windows
+   are first grouped within each few megabytes of text, so a passage in very many documents is one row for each.
 
 Words are separated by ASCII white space and compared as they are. A null or empty text has no words. A null id comes
 after all others. Rows with the same id are one document: none is earlier than another.
@@ -107,7 +108,6 @@ def _repeated_windows(window: int, gram: int, bits: int, sketch):
         for batch in batches:
             ids = ids_of(batch.column(0))
             data, offsets = column_bytes(batch.column(1))
-            found = []
             for words in word_groups(data, offsets):
                 h = _gram_hashes(words.code, gram)
                 key = sliding(np.minimum, h, window - gram + 1)
@@ -118,50 +118,59 @@ def _repeated_windows(window: int, gram: int, bits: int, sketch):
                 passed = estimated(heads, table)[run_of]
                 passed &= words.rows[: len(key)] == words.rows[window - 1 :]
                 at = np.flatnonzero(passed)
-                one, two = RangeHash(words.code), RangeHash(mix(words.code ^ U(0xD1B54A32D192ED03)))
-                row = words.rows[at]
-                found.append((mix(one.of(at, at + window)), mix(two.of(at, at + window)), ids[row], at - words.bounds[row - words.first_row]))
-            if not found:
-                continue
-            h1, h2, doc, pos = (np.concatenate(x) for x in zip(*found))
-            order = np.lexsort((pos, doc, h2, h1))
-            h1, h2, doc, pos = (x[order] for x in (h1, h2, doc, pos))
-            later = _later(h1, h2, doc)
-            yield _spans(doc[later], pos[later], window)
-            first = ~later
-            yield pa.RecordBatch.from_pydict({"h1": pa.array(h1[first].view(np.int64)), "h2": pa.array(h2[first].view(np.int64)), "doc": pa.array(doc[first]), "pos": pa.array(pos[first].astype(np.int32)), "end": pa.array(np.full(first.sum(), -1, np.int32))})
+                key, row = key[at], words.rows[at]
+                print_ = mix(RangeHash(mix(words.code ^ U(0xD1B54A32D192ED03))).of(at, at + window))
+                doc, pos = ids[row], at - words.bounds[row - words.first_row]
+                order = np.lexsort((doc, print_, key))
+                later = np.zeros(len(at), bool)
+                later[order] = _later(key[order], print_[order], doc[order])
+                yield _spans(doc[later], pos[later], window)
+                yield _runs(*(x[~later] for x in (key, doc, pos, print_)))
 
     return run
 
 
-def _later(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def _runs(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+    """Consecutive windows of one key as one row."""
+    n = len(key)
+    head = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1)] if n else np.zeros(0, bool)
+    start = np.flatnonzero(head)
+    ends = (np.r_[start, n] * 8).astype(np.int32)
+    blob = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(prints.tobytes())])
+    return pa.RecordBatch.from_pydict({"key": pa.array(key[start].view(np.int64)), "doc": pa.array(doc[start]), "pos": pa.array(pos[start].astype(np.int32)), "end": pa.array(np.full(len(start), -1, np.int32)), "prints": blob})
+
+
+def _later(key: np.ndarray, prints: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Of rows sorted by window and document: whether the window stands in a smaller document."""
-    new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])] if len(h1) else np.zeros(0, bool)
-    first = np.maximum.accumulate(np.where(new, np.arange(len(h1)), 0))
-    return doc > doc[first] if len(h1) else new
+    new = np.r_[True, (key[1:] != key[:-1]) | (prints[1:] != prints[:-1])] if len(key) else np.zeros(0, bool)
+    first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+    return doc > doc[first] if len(key) else new
 
 
 def _spans(doc: np.ndarray, pos: np.ndarray, window: int) -> pa.RecordBatch:
     doc, start, end = joined(doc, pos.astype(np.int64), pos.astype(np.int64) + window)
-    nothing = pa.array(np.zeros(len(doc), np.int64))
-    return pa.RecordBatch.from_pydict({"h1": nothing, "h2": nothing, "doc": pa.array(doc), "pos": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32))})
+    return pa.RecordBatch.from_pydict({"key": pa.array(np.zeros(len(doc), np.int64)), "doc": pa.array(doc), "pos": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32)), "prints": pa.nulls(len(doc), pa.binary())})
 
 
 def _group_windows(window: int):
-    """The rows of a window are together; spans that are ready pass."""
+    """The rows of a key, and so of a window, are together; spans that are ready pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            ready = batch.column(4).to_numpy() >= 0
+            ready = batch.column(3).to_numpy() >= 0
             if ready.any():
                 yield batch.filter(pa.array(ready))
-            rest = batch.filter(pa.array(~ready))
-            parts.append([rest.column(i).to_numpy() for i in range(4)])
+            runs = batch.filter(pa.array(~ready))
+            data, offsets = column_bytes(runs.column(4))
+            n = np.diff(offsets) // 8
+            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            key, doc, pos = (np.repeat(runs.column(i).to_numpy(), n) for i in range(3))
+            parts.append((key, data.copy().view(np.uint64), doc, pos + inner))
         if parts:
-            h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((doc, h2, h1))
-            later = order[_later(h1[order], h2[order], doc[order])]
+            key, prints, doc, pos = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((doc, prints, key))
+            later = order[_later(key[order], prints[order], doc[order])]
             yield _spans(doc[later], pos[later], window)
 
     return run
@@ -175,10 +184,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     merged = parts.repartition(F.col("block")).mapInArrow(_merge_sketches, "block long, bits binary")
     # at most rows * cells / 8 bytes, whatever the corpus
     sketch = docs.sparkSession.sparkContext.broadcast([(r["block"], bytes(r["bits"])) for r in merged.collect()])
-    rows = "h1 long, h2 long, doc long, pos int, end int"
+    rows = "key long, doc long, pos int, end int, prints binary"
     windows = texts.mapInArrow(_repeated_windows(window, gram, bits, sketch), rows)
     # spans that are ready go by document, so that they spread as well
-    spread = F.when(F.col("end") < 0, F.col("h1")).otherwise(F.xxhash64("doc", "pos"))
+    spread = F.when(F.col("end") < 0, F.col("key")).otherwise(F.xxhash64("doc", "pos"))
     spans = windows.repartition(spread).mapInArrow(_group_windows(window), rows)
     return spans.groupBy("doc").agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("start"), F.col("end").cast("long").alias("end"))).alias("spans"))
 
