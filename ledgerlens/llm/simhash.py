@@ -182,14 +182,24 @@ def _similar(least: float):
     return run
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+def _near(x: str, y: str) -> Column:
+    """Whether two sketches differ in at most a quarter of their bits; at a similarity of 0.8 about a seventh differ."""
+    differ = sum(F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(LANES))
+    return differ <= 16 * LANES
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, max_list: int = 16, rounds: int = 3) -> DataFrame:
     """(doc, component) for every id that belongs with a smaller one: near copies by the Jaccard similarity of word shingles.
 
     At a similarity of 0.8 a single fingerprint of 64 bits differs in too many bits for equal bytes to be guaranteed, so
     a sketch holds ``LANES`` fingerprints of the set of words. Texts that agree in two byte pairs of some lane are
-    candidates, which misses about one true pair in a hundred at 0.8 and fewer above. In each list the least id leads:
-    the others are compared with it on their shingle sets, exactly, and those not similar to it choose a new leader
-    among themselves, until none is left. So work is linear in the lists, and a group of copies is one text from the start.
+    candidates, which misses about one true pair in a hundred at 0.8 and fewer above. Candidates whose sketches differ
+    much are dropped, the others compared on their shingle sets, exactly.
+
+    Lists of up to ``max_list`` texts are paired. A longer one holds a group of many near copies: its text with the
+    most neighbours over all lists leads, which is the text the others were made from if that is there, and is
+    compared with each; those not similar to it choose another leader, ``rounds`` times. A pair that only meets in lists
+    where neither ever leads and that no third text links is not found. A group of exact copies is one text from the start.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     sketch = stored(texts.mapInArrow(_sketches, "doc long, t1 long, t2 long, lanes array<long>"), "sketches")
@@ -197,27 +207,42 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = sketch.select("t1", "t2", F.col("doc").alias("copy")).join(first.select("t1", "t2", "doc"), ["t1", "t2"]).filter("copy <> doc")
     keys = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.array(*[F.xxhash64(i, k) for k in _byte_keys(F.get("lanes", i))])))
     index = first.select("doc", F.explode(keys).alias("k"))
-    lists = stored(index.groupBy("k").agg(F.count("*").alias("n"), F.min("doc").alias("lead")).filter("n > 1").select("k", "lead"), "lane-lists")
-    left = stored(index.join(lists, "k").select("k", "doc", "lead"), "lane-index")
-    candidates = stored(left.select("doc").distinct(), "candidates")
+    sizes = stored(index.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "lane-lists")
+    listed = stored(index.join(sizes, "k"), "lane-index")
+    lanes = first.select("doc", "lanes")
+    a_lanes, b_lanes = (lanes.select(F.col("doc").alias(n), F.col("lanes").alias(f"{n}_lanes")) for n in ("a", "b"))
+
+    def near(pairs: DataFrame, name: str) -> DataFrame:
+        """Of (a, b) pairs, each once, those with similar sketches."""
+        return stored(pairs.distinct().join(a_lanes, "a").join(b_lanes, "b").filter(_near("a_lanes", "b_lanes")).select("a", "b"), name)
+
+    short = listed.filter(F.col("n") <= max_list).groupBy("k").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+    pairs = short.select(F.posexplode("docs").alias("i", "a"), "docs").select("a", F.explode(F.slice("docs", F.col("i") + 2, max_list)).alias("b"))
+    found = near(pairs, "short-pairs")
+    candidates = stored(listed.select("doc").distinct(), "candidates")
     sets = stored(texts.join(candidates, "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(_shingle_sets(words), "doc long, shingles array<long>"), "shingles")
-    links = None
-    while not left.isEmpty():
-        pairs = left.filter("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct()
-        x, y = (sets.select(F.col("doc").alias(n), F.col("shingles").alias(s)) for n, s in (("a", "x"), ("b", "y")))
-        found = stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long"), "similar")
-        links = found if links is None else links.unionByName(found)
-        told = found.select(F.col("a").alias("lead"), F.col("b").alias("doc"))
-        rest = stored(left.filter("doc <> lead").join(told, ["lead", "doc"], "left_anti").select("k", "doc"), "rest")
-        leads = stored(rest.groupBy("k").agg(F.count("*").alias("n"), F.min("doc").alias("lead")).filter("n > 1").select("k", "lead"), "leads")
-        left = stored(rest.join(leads, "k"), "left")
+    x, y = (sets.select(F.col("doc").alias(n), F.col("shingles").alias(s)) for n, s in (("a", "x"), ("b", "y")))
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long"), "similar")
+
+    links = similar(found)
+    left = listed.filter(F.col("n") > max_list)
+    weights = stored(left.groupBy("doc").agg(F.sum("n").alias("weight")), "weights")
+    left = stored(left.select("k", "doc").join(weights, "doc"), "long-lists")
+    for _ in range(rounds):
+        if left.isEmpty():
+            break
+        lead = left.groupBy("k").agg(F.max(F.struct("weight", -F.col("doc"))).alias("m")).select("k", (-F.col("m.col2")).alias("lead"))
+        led = stored(left.join(stored(lead, "leads"), "k").filter("doc <> lead"), "led")
+        told = similar(near(led.select(F.col("lead").alias("a"), F.col("doc").alias("b")), "led-pairs"))
+        links = links.unionByName(told)
+        left = stored(led.join(told.select(F.col("a").alias("lead"), F.col("b").alias("doc")), ["lead", "doc"], "left_anti").select("k", "doc", "weight"), "left")
+    linked = stored(components(links), "similar-components")
+    of = F.coalesce("c", "component").alias("component")
     found = copies.select(F.col("copy").alias("id"), F.col("doc").alias("component"))
-    if links is not None:
-        linked = stored(components(links), "similar-components")
-        of = F.coalesce("c", "component").alias("component")
-        more = found.join(linked.select(F.col("id").alias("component"), F.col("component").alias("c")), "component", "left").select("id", of)
-        found = more.unionByName(linked.filter("id <> component"))
-    return found.select(F.col("id").alias("doc"), "component")
+    more = found.join(linked.select(F.col("id").alias("component"), F.col("component").alias("c")), "component", "left").select("id", of)
+    return more.unionByName(linked.filter("id <> component")).select(F.col("id").alias("doc"), "component")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
