@@ -30,8 +30,8 @@ _REPLICATE = """
     named_struct(
         'replicate', {r},
         'auc', try_divide(u{r}, pos{r} * neg{r}),
-        'f1', (pos{r} * {fraud} + neg{r} * {legit}) / (pos{r} + neg{r}),
-        'accuracy', (tp{r} + neg{r} - fp{r}) / (pos{r} + neg{r}),
+        'f1', try_divide(pos{r} * {fraud} + neg{r} * {legit}, pos{r} + neg{r}),
+        'accuracy', try_divide(tp{r} + neg{r} - fp{r}, pos{r} + neg{r}),
         'fraud_f1', {fraud},
         'rows', cast(pos{r} + neg{r} as bigint))"""
 _FRAUD_F1 = "coalesce(try_divide(2 * tp{r}, tp{r} + fp{r} + pos{r}), 0D)"
@@ -89,7 +89,7 @@ def evaluate(
     min_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """One row: exact rank AUC (ties count half), label-weighted F1, accuracy, fraud-class
-    F1 and row count. ``f1`` weighs both classes by size; ``fraud_f1`` is the fraud class."""
+    F1 and row count. No rows give no row. ``f1`` weighs both classes by size; ``fraud_f1`` is the fraud class."""
     rows = scored.select(F.col(score).alias("score"), (F.col(label) == 1).alias("positive"))
     rows = global_slices(rows, {"score": "slice"}, SLICES, min_rows)
     rows = rows.withColumns({"model": F.lit("model"), "w0": F.lit(1)})
@@ -189,14 +189,16 @@ def compare(
 
 def latest_two_versions(versions: DataFrame) -> DataFrame:
     """Per model its newest and second-newest version, by version *number*; models with
-    fewer than two versions are left out.
+    fewer than two versions are left out. A version that is no number is none; equal numbers
+    are settled by run id.
 
     The rank filter is applied per task before the shuffle as well, so a model with very
     many versions sends at most two rows per task.
     """
-    w = Window.partitionBy("model").orderBy(F.col("number").desc())
+    w = Window.partitionBy("model").orderBy(F.col("number").desc(), F.col("run_id").desc())
     ranked = (
         versions.select("model", F.col("version").try_cast("int").alias("number"), "run_id")
+        .filter("number is not null")
         .withColumn("rank", F.row_number().over(w))
         .filter("rank <= 2")
     )

@@ -43,10 +43,13 @@ def pin_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path under the cluster's shared checkpoint folder.
 
-    Falls back to a local temporary folder only when the session names none,
-    which is the single-machine test set-up.
+    Falls back to a local temporary folder only where the session names none and everything
+    runs on one machine. On a cluster that would leave each executor's part on its own disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

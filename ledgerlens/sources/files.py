@@ -66,9 +66,15 @@ def extended_manifest(manifest: DataFrame, added: DataFrame) -> DataFrame:
 
 def write_manifest(manifest: DataFrame, folder: str, version: int) -> str:
     """Write a manifest as its own version, kept apart from the data it describes: the old
-    version stays readable until the new one is complete."""
+    version stays readable until the new one is complete. A folder without rows is what a run
+    that died has left; it is written anew."""
     path = os.path.join(folder, f"version={version:08d}")
-    manifest.write.mode("errorifexists").json(path)
+    try:
+        manifest.write.mode("errorifexists").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS" or not read_manifest(manifest.sparkSession, path).isEmpty():
+            raise
+        manifest.write.mode("overwrite").json(path)
     return path
 
 

@@ -15,14 +15,15 @@ SCORED = "predictions"
 REJECTED = "rejects"
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """(value, timestamp) messages to the raw columns plus ``kafka_ts``.
+def parse_messages(messages: DataFrame, text: str | None = None) -> DataFrame:
+    """(value, timestamp) messages to the raw columns plus ``kafka_ts``, and the message's own text as column ``text``.
 
     Text that is not JSON gives NULLs throughout; a field of the wrong type gives NULL for
     that field.
     """
     parsed = F.from_json(F.col("value").cast("string"), RAW).alias("data")
-    return messages.select(parsed, F.col("timestamp").alias("kafka_ts")).select("data.*", "kafka_ts")
+    own = [F.col("value").cast("string").alias(text)] if text else []
+    return messages.select(parsed, F.col("timestamp").alias("kafka_ts"), *own).select("data.*", "kafka_ts", *([text] if text else []))
 
 
 def message_features(parsed: DataFrame) -> DataFrame:
@@ -39,10 +40,11 @@ def score_messages(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame]
 
     ``scorer`` adds ``prediction``; both ``Coefficients.score`` and a fitted model's
     ``transform`` fit. One read of the source feeds both topics: a message without an id or
-    with an unusable feature is written to the reject topic and cannot stop the query.
+    with an unusable feature is written to the reject topic, with its text as it came and the
+    reason, and cannot stop the query.
     Works on batches and streams.
     """
-    rows = message_features(parse_messages(messages))
+    rows = message_features(parse_messages(messages, "__text"))
     # rejects carry zeros through the scorer, which may refuse NULLs; their score is unused
     safe = {c: F.when(F.col("complete"), F.col(c)).otherwise(0.0) for c in FEATURES}
     scored = scorer(rows.withColumn("__amount", F.col("tx_amount")).withColumns(safe))
@@ -63,6 +65,8 @@ def score_messages(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame]
             *[c for c in RAW.fieldNames() if c != "tx_amount"],
             F.col("__amount").alias("tx_amount"),
             F.col("kafka_ts").alias("event_time"),
+            F.col("__text").alias("message"),
+            F.when(F.col(KEY).isNull(), "no readable id").otherwise("unusable feature").alias("reason"),
         )
     )
     ok = F.col("complete")

@@ -105,3 +105,17 @@ def test_version_numbers_not_text(spark):
     rows = [("m", "9", "r9"), ("m", "10", "r10"), ("m", "2", "r2"), ("lonely", "1", "r1")]
     got = E.latest_two_versions(spark.createDataFrame(rows, "model string, version string, run_id string")).collect()
     assert [tuple(r) for r in got] == [("m", 10, "r10", 9, "r9")]
+
+
+def test_version_that_is_no_number_is_left_out(spark):
+    from ledgerlens.operators.evaluate import latest_two_versions
+
+    rows = spark.createDataFrame([("m", "1", "a"), ("m", "x", "b"), ("n", "2", "c"), ("n", "x", "d"), ("n", "3", "e")], "model string, version string, run_id string")
+    assert [tuple(r) for r in latest_two_versions(rows).select("model", "candidate_version", "champion_version").collect()] == [("n", 3, 2)]
+
+
+def test_bootstrap_of_one_row(spark):
+    from ledgerlens.operators.evaluate import bootstrap
+
+    row = spark.createDataFrame([(1, 1, 0.7)], "tranaction_id long, tx_fraud int, probability double")
+    assert bootstrap(row, {"m": "probability"}, n=10).count() == 10

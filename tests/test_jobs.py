@@ -54,3 +54,49 @@ def test_train_then_validate(spark, clean_path, tmp_path):
     logged = {(r.run_id, r.kind, r.key): r.value for r in spark.read.parquet(log).collect()}
     assert logged[("run-1", "param", "maxIter")] == "10" and float(logged[("run-1", "metric", "auc")]) == metrics.auc
     assert logged[("val-1", "param", "candidate_version")] == "10" and logged[("val-1", "metric", "should_deploy")] == "false"
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ledgerlens.session import scratch_dir
+
+    def session(**conf):
+        context = SimpleNamespace(getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=context)
+
+    with pytest.raises(ValueError):
+        scratch_dir(session(**{"spark.master": "local-cluster[3,2,1024]"}), "t")
+    assert scratch_dir(session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///c"}), "t").startswith("hdfs:///c/t-")
+    assert scratch_dir(session(**{"spark.master": "local[2]"}), "t").startswith("/tmp/run-")
+
+
+def test_manifest_recovers_from_an_unfinished_version(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from ledgerlens.sources.files import latest_manifest, write_manifest
+
+    one = spark.createDataFrame([("a",)], "file string")
+    write_manifest(one, str(tmp_path), 1)
+    (tmp_path / "version=00000002" / "_temporary" / "0").mkdir(parents=True)
+    assert latest_manifest(spark, str(tmp_path))[1] == 1
+    write_manifest(one, str(tmp_path), 2)
+    assert latest_manifest(spark, str(tmp_path))[1] == 2
+    with pytest.raises(AnalysisException):
+        write_manifest(one, str(tmp_path), 2)
+
+
+def test_rejects_keep_their_text(spark):
+    import json
+
+    from ledgerlens.plans.derive import CHAMPION
+    from ledgerlens.streaming import REJECTED, score_messages
+
+    texts = ["not json", '{"tranaction_id":5,"tx_amount":"abc"}']
+    rows = spark.createDataFrame([(t,) for t in texts], "value string").selectExpr("value", "current_timestamp() AS timestamp")
+    out = score_messages(rows, CHAMPION.score).collect()
+    found = {json.loads(r["value"])["message"]: json.loads(r["value"])["reason"] for r in out if r["topic"] == REJECTED}
+    assert found == {texts[0]: "no readable id", texts[1]: "unusable feature"}

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlens.plans import catalog
 from compare import differences, duck
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -19,7 +20,7 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 
 def test_only_model_fits_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"trained_model_metrics"}
+    assert set(catalog.QUERIES) - set(ORACLES) == {"trained_model_metrics"}
     assert set(ORACLES) <= set(QUERIES)
 
 
