@@ -188,6 +188,24 @@ def _near(x: str, y: str) -> Column:
     return differ <= 16 * LANES
 
 
+def _across(lists: DataFrame, linked: DataFrame, lanes: DataFrame) -> DataFrame:
+    """(a, b) with similar sketches that share a list (k, doc) but not a component of ``linked``.
+
+    Lists of one component, as those of a large group of near copies are, drop out. In others the texts outside the
+    largest component are matched with all; this covers every pair between components, and none is made within the
+    largest. The sketches are compared in the join, so only pairs that pass leave it.
+    """
+    known = lists.join(linked, lists["doc"] == linked["id"], "left").select("k", "doc", F.coalesce("component", "doc").alias("c"))
+    known = stored(known, "list-members")
+    parts = known.groupBy("k", "c").agg(F.count("*").alias("n")).groupBy("k").agg(F.max(F.struct("n", "c")).alias("m"), F.count("*").alias("parts"))
+    mixed = stored(parts.filter("parts > 1").select("k", F.col("m.c").alias("major")), "mixed-lists")
+    members = stored(known.join(mixed, "k").join(lanes, "doc").select("k", "doc", "c", "lanes", (F.col("c") == F.col("major")).alias("in_major")), "mixed-members")
+    a, b = (members.select("k", *[F.col(x).alias(f"{n}_{x}") for x in ("doc", "c", "lanes", "in_major")]) for n in ("a", "b"))
+    once = F.col("b_in_major") | (F.col("a_doc") < F.col("b_doc"))
+    pairs = a.filter(~F.col("a_in_major")).join(b, "k").filter((F.col("a_c") != F.col("b_c")) & once & _near("a_lanes", "b_lanes"))
+    return pairs.select(F.least("a_doc", "b_doc").alias("a"), F.greatest("a_doc", "b_doc").alias("b")).distinct()
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, max_list: int = 16, rounds: int = 3) -> DataFrame:
     """(doc, component) for every id that belongs with a smaller one: near copies by the Jaccard similarity of word shingles.
 
@@ -198,8 +216,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Lists of up to ``max_list`` texts are paired. A longer one holds a group of many near copies: its text with the
     most neighbours over all lists leads, which is the text the others were made from if that is there, and is
-    compared with each; those not similar to it choose another leader, ``rounds`` times. A pair that only meets in lists
-    where neither ever leads and that no third text links is not found. A group of exact copies is one text from the start.
+    compared with each; those not similar to it choose another leader, ``rounds`` times. What leaders leave apart in a
+    list is compared across the groups, see ``_across``, so leading saves work but decides nothing. A group of exact
+    copies is one text from the start.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     sketch = stored(texts.mapInArrow(_sketches, "doc long, t1 long, t2 long, lanes array<long>"), "sketches")
@@ -229,7 +248,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links = similar(found)
     left = listed.filter(F.col("n") > max_list)
     weights = stored(left.groupBy("doc").agg(F.sum("n").alias("weight")), "weights")
-    left = stored(left.select("k", "doc").join(weights, "doc"), "long-lists")
+    long_lists = stored(left.select("k", "doc").join(weights, "doc"), "long-lists")
+    left = long_lists
     for _ in range(rounds):
         if left.isEmpty():
             break
@@ -239,6 +259,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = links.unionByName(told)
         left = stored(led.join(told.select(F.col("a").alias("lead"), F.col("b").alias("doc")), ["lead", "doc"], "left_anti").select("k", "doc", "weight"), "left")
     linked = stored(components(links), "similar-components")
+    rest = stored(_across(long_lists.select("k", "doc"), linked, lanes), "rest-pairs")
+    if not rest.isEmpty():
+        tree = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        linked = stored(components(tree.unionByName(similar(rest))), "all-components")
     of = F.coalesce("c", "component").alias("component")
     found = copies.select(F.col("copy").alias("id"), F.col("doc").alias("component"))
     more = found.join(linked.select(F.col("id").alias("component"), F.col("component").alias("c")), "component", "left").select("id", of)

@@ -92,6 +92,26 @@ def test_near_copies_leave_one(docs, none):
     assert simhash.drop_near_copies(none).count() == 0
 
 
+@pytest.mark.parametrize("max_list,rounds", [(16, 3), (2, 1), (2, 0)])
+def test_near_copies_equal_brute_force_however_lists_are_led(spark, max_list, rounds):
+    rng, texts = np.random.default_rng(5), []
+    for family in range(3):
+        words = [f"f{family}n{i}" for i in range(200)]
+        for step in range(30):  # each text differs a little from the one before, the last much from the first
+            words[int(rng.integers(200))] = f"new{family}and{step}"
+            texts.append(" ".join(words))
+    sets = [set(simhash.shingles(simhash.words_of(t), 5)) for t in texts]
+    least = list(range(len(texts)))
+    for _ in texts:
+        for i, x in enumerate(sets):
+            for j in range(i):
+                if len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                    least[i] = least[j] = min(least[i], least[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc"]: r["component"] for r in simhash.similar_groups(docs, max_list=max_list, rounds=rounds).collect()}
+    assert got == {i: c for i, c in enumerate(least) if c != i}
+
+
 @pytest.mark.parametrize("cells", [1 << 20, 1 << 17])
 def test_word_window_repeats_equal_brute_force(docs, none, cells):
     first, want = {}, {}
