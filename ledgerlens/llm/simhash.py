@@ -24,11 +24,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.llm.components import components
 from ledgerlens.llm.store import stored
+from ledgerlens.llm.text import LOWER_CODE, RangeHash, column_bytes, mix, word_groups
 
 LAST = np.iinfo(np.int64).max  # stands for a null id: it comes after all others
 LIST = 8
 LANES = 8  # fingerprints of different hashes in a sketch
-_MIX = np.random.default_rng(11).integers(1, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MINIMA = 16  # least shingle hashes in a sketch, each of another hash
+SPLIT = 8  # of these, those that split long lists
+EQUAL = 6  # of these, those that a candidate pair shares at least
+_rng = np.random.default_rng(11)
+_MIX = _rng.integers(1, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX_SHINGLES = _rng.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -130,23 +136,44 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 # ----------------------------------------- similarity of whole texts, for a filter
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lanes = np.zeros((batch.num_rows, LANES), np.uint64)
-        text_hash = np.zeros((batch.num_rows, 2), np.uint64)
-        for i, text in enumerate(batch.column(1)):
-            words = words_of(text.as_py())
-            text_hash[i] = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.uint64)
-            if words:
-                different = set(words)
-                h = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))
-                mixed = h[:, None] * _MIX
-                lanes[i] = majority((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
-        flat = pa.array(lanes.view(np.int64).ravel())
-        yield pa.RecordBatch.from_pydict({
-            "doc": batch.column(0).fill_null(LAST), "t1": pa.array(text_hash[:, 0].copy().view(np.int64)), "t2": pa.array(text_hash[:, 1].copy().view(np.int64)),
-            "lanes": pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, LANES, dtype=np.int32)), flat),
-        })
+def _minima(column: pa.Array, n: int) -> np.ndarray:
+    """Per row the least hash of its n-word shingles under each of ``MINIMA`` hashes; a row without words has zeros."""
+    data, offsets = column_bytes(column)
+    out = np.zeros((len(column), MINIMA), np.uint64)
+    for group in word_groups(data, offsets, LOWER_CODE):
+        for i in range(len(group.bounds) - 1):
+            codes = group.code[group.bounds[i] : group.bounds[i + 1]]
+            if len(codes):
+                hashes = RangeHash(codes).of_length(min(n, len(codes)))
+                for j, factor in enumerate(_MIX_SHINGLES):
+                    out[group.first_row + i, j] = min(int(mix(hashes[at : at + 65536] * factor).min()) for at in range(0, len(hashes), 65536))
+    return out
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    flat = pa.array(np.ascontiguousarray(rows).view(np.int64).ravel())
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, rows.shape[1], dtype=np.int32)), flat)
+
+
+def _sketches(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lanes = np.zeros((batch.num_rows, LANES), np.uint64)
+            text_hash = np.zeros((batch.num_rows, 2), np.uint64)
+            for i, text in enumerate(batch.column(1)):
+                words = words_of(text.as_py())
+                text_hash[i] = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.uint64)
+                if words:
+                    different = set(words)
+                    h = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))
+                    mixed = h[:, None] * _MIX
+                    lanes[i] = majority((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
+            yield pa.RecordBatch.from_pydict({
+                "doc": batch.column(0).fill_null(LAST), "t1": pa.array(text_hash[:, 0].copy().view(np.int64)), "t2": pa.array(text_hash[:, 1].copy().view(np.int64)),
+                "lanes": _lists(lanes), "minima": _lists(_minima(batch.column(1), n)),
+            })
+
+    return run
 
 
 def _shingle_sets(n: int):
@@ -183,34 +210,65 @@ def _similar(least: float):
 
 
 def _near(x: str, y: str) -> Column:
-    """Whether two sketches differ in at most a quarter of their bits; at a similarity of 0.8 about a seventh differ."""
-    differ = sum(F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(LANES))
-    return differ <= 16 * LANES
+    """Whether two sketches agree: at most a quarter of their bits differ, and enough least shingle hashes are equal.
+
+    At a similarity of 0.8 about a seventh of the bits differ; a least hash is equal with the chance 0.8, so that
+    fewer than ``EQUAL`` of ``MINIMA`` are in about three of a hundred thousand pairs.
+    """
+    differ = sum(F.bit_count(F.get(f"{x}_lanes", F.lit(i)).bitwiseXOR(F.get(f"{y}_lanes", F.lit(i)))) for i in range(LANES))
+    equal = sum((F.get(f"{x}_minima", F.lit(i)) == F.get(f"{y}_minima", F.lit(i))).cast("int") for i in range(MINIMA))
+    return (equal >= EQUAL) & (differ <= 16 * LANES)
+
 
+def _mixed(members: DataFrame, name: str) -> DataFrame:
+    """(k, major): the lists whose members are of several components, and the largest of these."""
+    parts = members.groupBy("k", "c").agg(F.count("*").alias("n")).groupBy("k").agg(F.max(F.struct("n", "c")).alias("m"), F.count("*").alias("parts"))
+    return stored(parts.filter("parts > 1").select("k", F.col("m.c").alias("major")), name)
 
-def _across(lists: DataFrame, linked: DataFrame, lanes: DataFrame) -> DataFrame:
+
+def _shared(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(doc, total, shared): shingles of each of ``docs``, and those that another of them has too."""
+    chosen = sets.join(docs.distinct(), "doc", "left_semi")
+    alone = chosen.select("doc", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("doc").alias("doc"), F.count("*").alias("n")).filter("n = 1")
+    own = alone.groupBy("doc").agg(F.count("*").alias("own"))
+    total = F.size("shingles")
+    return chosen.join(own, "doc", "left").select("doc", total.alias("total"), (total - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _across(lists: DataFrame, linked: DataFrame, sketch: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b) with similar sketches that share a list (k, doc) but not a component of ``linked``.
 
-    Lists of one component, as those of a large group of near copies are, drop out. In others the texts outside the
-    largest component are matched with all; this covers every pair between components, and none is made within the
-    largest. The sketches are compared in the join, so only pairs that pass leave it.
+    Lists of one component, as those of a large group of near copies are, drop out. The members of others are listed
+    anew, once under each of ``SPLIT`` least shingle hashes, so texts of other wording no longer meet; of the pairs at a
+    similarity of 0.8 three in a million share none. In what is still mixed the texts outside the largest component are
+    matched with all; this covers every pair between components, and none is made within the largest. The sketches are
+    compared in the join, so only pairs that pass leave it, each under the first hash that it shares.
+
+    Copies changed a little too much, each in other places, have sketches near each other. But a pair can have no more
+    shingles in common than either side has in common with anyone, which rules out most of them, exactly.
     """
     known = lists.join(linked, lists["doc"] == linked["id"], "left").select("k", "doc", F.coalesce("component", "doc").alias("c"))
     known = stored(known, "list-members")
-    parts = known.groupBy("k", "c").agg(F.count("*").alias("n")).groupBy("k").agg(F.max(F.struct("n", "c")).alias("m"), F.count("*").alias("parts"))
-    mixed = stored(parts.filter("parts > 1").select("k", F.col("m.c").alias("major")), "mixed-lists")
-    members = stored(known.join(mixed, "k").join(lanes, "doc").select("k", "doc", "c", "lanes", (F.col("c") == F.col("major")).alias("in_major")), "mixed-members")
-    a, b = (members.select("k", *[F.col(x).alias(f"{n}_{x}") for x in ("doc", "c", "lanes", "in_major")]) for n in ("a", "b"))
+    whole = stored(known.join(_mixed(known, "mixed-lists").select("k"), "k").select("doc", "c").distinct(), "in-mixed-lists")
+    shared = stored(_shared(whole.select("doc"), sets), "shared-shingles")
+    about = shared.filter(F.col("shared") >= similarity * F.col("total") - 1e-6).join(sketch, "doc")
+    about = stored(whole.join(about, "doc"), "members")
+    split = about.select("*", F.posexplode(F.slice("minima", 1, SPLIT)).alias("place", "least")).withColumn("k", F.xxhash64("place", "least"))
+    members = split.join(_mixed(split.select("k", "c"), "mixed-parts"), "k").withColumn("in_major", F.col("c") == F.col("major"))
+    members = stored(members.drop("major", "least"), "mixed-members")
+    a, b = (members.select("k", "place", *[F.col(x).alias(f"{n}_{x}") for x in members.columns if x not in ("k", "place")]) for n in ("a", "b"))
     once = F.col("b_in_major") | (F.col("a_doc") < F.col("b_doc"))
-    pairs = a.filter(~F.col("a_in_major")).join(b, "k").filter((F.col("a_c") != F.col("b_c")) & once & _near("a_lanes", "b_lanes"))
-    return pairs.select(F.least("a_doc", "b_doc").alias("a"), F.greatest("a_doc", "b_doc").alias("b")).distinct()
+    enough = F.least("a_shared", "b_shared") * (1 + similarity) >= similarity * (F.col("a_total") + F.col("b_total")) - 1e-6
+    met = F.array_position(F.zip_with("a_minima", "b_minima", lambda x, y: x == y), True) == F.col("place") + 1
+    pairs = a.filter(~F.col("a_in_major")).join(b, ["k", "place"]).filter((F.col("a_c") != F.col("b_c")) & once & enough & _near("a", "b") & met)
+    return pairs.select(F.least("a_doc", "b_doc").alias("a"), F.greatest("a_doc", "b_doc").alias("b"))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, max_list: int = 16, rounds: int = 3) -> DataFrame:
     """(doc, component) for every id that belongs with a smaller one: near copies by the Jaccard similarity of word shingles.
 
     At a similarity of 0.8 a single fingerprint of 64 bits differs in too many bits for equal bytes to be guaranteed, so
-    a sketch holds ``LANES`` fingerprints of the set of words. Texts that agree in two byte pairs of some lane are
+    a sketch holds ``LANES`` fingerprints of the set of words, and least hashes of the shingles. Texts that agree in two byte pairs of some lane are
     candidates, which misses about one true pair in a hundred at 0.8 and fewer above. Candidates whose sketches differ
     much are dropped, the others compared on their shingle sets, exactly.
 
@@ -221,19 +279,19 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies is one text from the start.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    sketch = stored(texts.mapInArrow(_sketches, "doc long, t1 long, t2 long, lanes array<long>"), "sketches")
-    first = stored(sketch.groupBy("t1", "t2").agg(F.min_by(F.struct("doc", "lanes"), "doc").alias("s")).select("t1", "t2", "s.doc", "s.lanes"), "texts")
+    sketch = stored(texts.mapInArrow(_sketches(words), "doc long, t1 long, t2 long, lanes array<long>, minima array<long>"), "sketches")
+    first = stored(sketch.groupBy("t1", "t2").agg(F.min_by(F.struct("doc", "lanes", "minima"), "doc").alias("s")).select("t1", "t2", "s.doc", "s.lanes", "s.minima"), "texts")
     copies = sketch.select("t1", "t2", F.col("doc").alias("copy")).join(first.select("t1", "t2", "doc"), ["t1", "t2"]).filter("copy <> doc")
     keys = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.array(*[F.xxhash64(i, k) for k in _byte_keys(F.get("lanes", i))])))
     index = first.select("doc", F.explode(keys).alias("k"))
     sizes = stored(index.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "lane-lists")
     listed = stored(index.join(sizes, "k"), "lane-index")
-    lanes = first.select("doc", "lanes")
-    a_lanes, b_lanes = (lanes.select(F.col("doc").alias(n), F.col("lanes").alias(f"{n}_lanes")) for n in ("a", "b"))
+    sketched = first.select("doc", "lanes", "minima")
+    of_a, of_b = (sketched.select(F.col("doc").alias(n), F.col("lanes").alias(f"{n}_lanes"), F.col("minima").alias(f"{n}_minima")) for n in ("a", "b"))
 
     def near(pairs: DataFrame, name: str) -> DataFrame:
         """Of (a, b) pairs, each once, those with similar sketches."""
-        return stored(pairs.distinct().join(a_lanes, "a").join(b_lanes, "b").filter(_near("a_lanes", "b_lanes")).select("a", "b"), name)
+        return stored(pairs.distinct().join(of_a, "a").join(of_b, "b").filter(_near("a", "b")).select("a", "b"), name)
 
     short = listed.filter(F.col("n") <= max_list).groupBy("k").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
     pairs = short.select(F.posexplode("docs").alias("i", "a"), "docs").select("a", F.explode(F.slice("docs", F.col("i") + 2, max_list)).alias("b"))
@@ -259,7 +317,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = links.unionByName(told)
         left = stored(led.join(told.select(F.col("a").alias("lead"), F.col("b").alias("doc")), ["lead", "doc"], "left_anti").select("k", "doc", "weight"), "left")
     linked = stored(components(links), "similar-components")
-    rest = stored(_across(long_lists.select("k", "doc"), linked, lanes), "rest-pairs")
+    rest = stored(_across(long_lists.select("k", "doc"), linked, sketched, sets, similarity), "rest-pairs")
     if not rest.isEmpty():
         tree = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
         linked = stored(components(tree.unionByName(similar(rest))), "all-components")
