@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import decontaminate, html_text, langid, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity, urls
+from ledgerlens.llm.components import components
 from ledgerlens.llm.queries import tokenizer_path
 
 WORDS = [f"w{i}x{i * 7 % 13}" for i in range(900)]
@@ -86,6 +87,22 @@ def test_simhash_groups_equal_brute_force(docs, none, limit):
     assert simhash.near_groups(none).count() == 0
 
 
+def test_components_equal_brute_force(spark):
+    rng = np.random.default_rng(1)
+    order = rng.permutation(100).tolist()
+    long_way = list(zip(order, order[1:]))  # a chain of ids in no order
+    apart = [(int(a), int(b)) for a, b in rng.integers(200, 400, (100, 2))]
+    links = [*long_way, *apart, *[(599, i) for i in range(500, 550)], (-5, 2**63 - 1)]
+    least = {x: x for link in links for x in link}
+    for _ in links:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    found = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert found == {x: c for x, c in least.items() if x in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_near_copies_leave_one(docs, none):
     left = {r["doc_id"] for r in simhash.drop_near_copies(docs).collect()}
     assert left == {1, 3, 6, 9, 10, 11, None}  # 4 and 5 have no words, as 3; 7 reads as 6; 8 is near 1
