@@ -28,12 +28,11 @@ from ledgerlens.llm.text import LOWER_CODE, RangeHash, column_bytes, mix, word_g
 
 LAST = np.iinfo(np.int64).max  # stands for a null id: it comes after all others
 LIST = 8
-LANES = 8  # fingerprints of different hashes in a sketch
-MINIMA = 16  # least shingle hashes in a sketch, each of another hash
+MINIMA = 32  # least shingle hashes in a sketch, each of another hash
+BAND = 2  # of these, neighbours that make a list together
 SPLIT = 8  # of these, those that split long lists
-EQUAL = 6  # of these, those that a candidate pair shares at least
+EQUAL = 12  # of these, those that a candidate pair shares at least
 _rng = np.random.default_rng(11)
-_MIX = _rng.integers(1, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX_SHINGLES = _rng.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -145,8 +144,8 @@ def _minima(column: pa.Array, n: int) -> np.ndarray:
             codes = group.code[group.bounds[i] : group.bounds[i + 1]]
             if len(codes):
                 hashes = RangeHash(codes).of_length(min(n, len(codes)))
-                for j, factor in enumerate(_MIX_SHINGLES):
-                    out[group.first_row + i, j] = min(int(mix(hashes[at : at + 65536] * factor).min()) for at in range(0, len(hashes), 65536))
+                parts = [mix(hashes[at : at + 8192, None] * _MIX_SHINGLES).min(axis=0) for at in range(0, len(hashes), 8192)]
+                out[group.first_row + i] = np.min(parts, axis=0)
     return out
 
 
@@ -158,19 +157,12 @@ def _lists(rows: np.ndarray) -> pa.ListArray:
 def _sketches(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lanes = np.zeros((batch.num_rows, LANES), np.uint64)
             text_hash = np.zeros((batch.num_rows, 2), np.uint64)
             for i, text in enumerate(batch.column(1)):
-                words = words_of(text.as_py())
-                text_hash[i] = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.uint64)
-                if words:
-                    different = set(words)
-                    h = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))
-                    mixed = h[:, None] * _MIX
-                    lanes[i] = majority((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
+                text_hash[i] = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words_of(text.as_py()))), np.uint64)
             yield pa.RecordBatch.from_pydict({
                 "doc": batch.column(0).fill_null(LAST), "t1": pa.array(text_hash[:, 0].copy().view(np.int64)), "t2": pa.array(text_hash[:, 1].copy().view(np.int64)),
-                "lanes": _lists(lanes), "minima": _lists(_minima(batch.column(1), n)),
+                "minima": _lists(_minima(batch.column(1), n)),
             })
 
     return run
@@ -210,14 +202,13 @@ def _similar(least: float):
 
 
 def _near(x: str, y: str) -> Column:
-    """Whether two sketches agree: at most a quarter of their bits differ, and enough least shingle hashes are equal.
+    """Whether two sketches agree: enough least shingle hashes are equal.
 
-    At a similarity of 0.8 about a seventh of the bits differ; a least hash is equal with the chance 0.8, so that
-    fewer than ``EQUAL`` of ``MINIMA`` are in about three of a hundred thousand pairs.
+    At a similarity of 0.8 a least hash is equal with the chance 0.8, so that fewer than ``EQUAL`` of ``MINIMA`` are in
+    about three of a hundred million pairs, whatever the change was.
     """
-    differ = sum(F.bit_count(F.get(f"{x}_lanes", F.lit(i)).bitwiseXOR(F.get(f"{y}_lanes", F.lit(i)))) for i in range(LANES))
     equal = sum((F.get(f"{x}_minima", F.lit(i)) == F.get(f"{y}_minima", F.lit(i))).cast("int") for i in range(MINIMA))
-    return (equal >= EQUAL) & (differ <= 16 * LANES)
+    return equal >= EQUAL
 
 
 def _mixed(members: DataFrame, name: str) -> DataFrame:
@@ -267,10 +258,11 @@ def _across(lists: DataFrame, linked: DataFrame, sketch: DataFrame, sets: DataFr
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, max_list: int = 16, rounds: int = 3) -> DataFrame:
     """(doc, component) for every id that belongs with a smaller one: near copies by the Jaccard similarity of word shingles.
 
-    At a similarity of 0.8 a single fingerprint of 64 bits differs in too many bits for equal bytes to be guaranteed, so
-    a sketch holds ``LANES`` fingerprints of the set of words, and least hashes of the shingles. Texts that agree in two byte pairs of some lane are
-    candidates, which misses about one true pair in a hundred at 0.8 and fewer above. Candidates whose sketches differ
-    much are dropped, the others compared on their shingle sets, exactly.
+    A sketch holds the least hashes of a text's shingles, ``MINIMA`` of them. Texts with the same ``BAND`` neighbouring
+    ones in some place are candidates. How alike two sketches are depends on the shingles alone, so a copy that is cut, shifted or
+    appended to is found like one with words changed here and there: at a similarity of 0.8 a pair shares no list with
+    the chance (1 - 0.8**2)**16, about one in ten million. Candidates whose sketches differ much are dropped, the others
+    compared on their shingle sets, exactly.
 
     Lists of up to ``max_list`` texts are paired. A longer one holds a group of many near copies: its text with the
     most neighbours over all lists leads, which is the text the others were made from if that is there, and is
@@ -279,15 +271,15 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies is one text from the start.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    sketch = stored(texts.mapInArrow(_sketches(words), "doc long, t1 long, t2 long, lanes array<long>, minima array<long>"), "sketches")
-    first = stored(sketch.groupBy("t1", "t2").agg(F.min_by(F.struct("doc", "lanes", "minima"), "doc").alias("s")).select("t1", "t2", "s.doc", "s.lanes", "s.minima"), "texts")
+    sketch = stored(texts.mapInArrow(_sketches(words), "doc long, t1 long, t2 long, minima array<long>"), "sketches")
+    first = stored(sketch.groupBy("t1", "t2").agg(F.min_by(F.struct("doc", "minima"), "doc").alias("s")).select("t1", "t2", "s.doc", "s.minima"), "texts")
     copies = sketch.select("t1", "t2", F.col("doc").alias("copy")).join(first.select("t1", "t2", "doc"), ["t1", "t2"]).filter("copy <> doc")
-    keys = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.array(*[F.xxhash64(i, k) for k in _byte_keys(F.get("lanes", i))])))
+    keys = F.array(*[F.xxhash64(F.lit(i), *[F.get("minima", F.lit(i + j)) for j in range(BAND)]) for i in range(0, MINIMA, BAND)])
     index = first.select("doc", F.explode(keys).alias("k"))
-    sizes = stored(index.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "lane-lists")
-    listed = stored(index.join(sizes, "k"), "lane-index")
-    sketched = first.select("doc", "lanes", "minima")
-    of_a, of_b = (sketched.select(F.col("doc").alias(n), F.col("lanes").alias(f"{n}_lanes"), F.col("minima").alias(f"{n}_minima")) for n in ("a", "b"))
+    sizes = stored(index.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "band-lists")
+    listed = stored(index.join(sizes, "k"), "band-index")
+    sketched = first.select("doc", "minima")
+    of_a, of_b = (sketched.select(F.col("doc").alias(n), F.col("minima").alias(f"{n}_minima")) for n in ("a", "b"))
 
     def near(pairs: DataFrame, name: str) -> DataFrame:
         """Of (a, b) pairs, each once, those with similar sketches."""

@@ -129,6 +129,20 @@ def test_near_copies_equal_brute_force_however_lists_are_led(spark, max_list, ro
     assert got == {i: c for i, c in enumerate(least) if c != i}
 
 
+def test_near_copies_with_a_block_added_cut_or_moved_are_found(spark):
+    rng, rows = np.random.default_rng(8), []
+    for i in range(0, 600, 4):
+        words = [f"b{w}" for w in rng.integers(0, 10**6, 250)]
+        few = [f"s{w}" for w in rng.integers(0, 40, 250)]  # a small vocabulary: the sets of words are unlike
+        new = [f"n{w}" for w in rng.integers(0, 10**6, 45)]
+        rows += [(i, words), (i + 1, (words + new, words[:205], words[30:] + words[:30])[i // 4 % 3]), (i + 2, few), (i + 3, few + new)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    sets = {i: set(simhash.shingles([x.encode() for x in w], 5)) for i, w in rows}
+    close = {i + 1 for i in sets if i % 2 == 0 and len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])}
+    assert len(close) > 290
+    assert {r["doc"] for r in simhash.similar_groups(docs).collect()} == close
+
+
 @pytest.mark.parametrize("cells", [1 << 20, 1 << 17])
 def test_word_window_repeats_equal_brute_force(docs, none, cells):
     first, want = {}, {}
