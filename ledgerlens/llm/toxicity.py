@@ -77,7 +77,8 @@ def features_of(text: str, lexicon: dict[str, float]) -> tuple[float, ...]:
     near = 0.0
     if hits and yous:
         at = np.array(yous)
-        gaps = np.abs(np.array(hits)[:, None] - at).min(1) if len(hits) * len(at) < 1_000_000 else np.abs(at[np.clip(np.searchsorted(at, hits), 0, len(at) - 1)] - hits)
+        right = np.searchsorted(at, hits)  # the first one at or after a hit
+        gaps = np.minimum(np.abs(at[np.minimum(right, len(at) - 1)] - hits), np.abs(at[np.maximum(right - 1, 0)] - hits))
         near = float((gaps <= REACH).mean())
     obfuscated = OBFUSCATED.findall(lower)
     hidden = sum(1 for w in obfuscated if BETWEEN.sub("", w).translate(LEET) in lexicon)

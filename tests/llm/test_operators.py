@@ -183,6 +183,17 @@ def test_quality_and_toxicity_edges(spark, docs, none, sf_dir):
     assert {r["score"] for r in toxicity.score(docs, toxicity.fit(real, empty)).collect()} == {0.0}
 
 
+def test_nearness_is_the_same_at_every_size():
+    near_you = toxicity.FEATURES.index("near_you")
+    part = ["w"] * 100 + ["you", "bad"] + ["w"] * 100 + ["bad"] + ["w"] * 30 + ["you"] + ["w"] * 100
+    for times in (1, 800):  # 1,600 hits and as many words for the reader: over a million pairs
+        words = part * times
+        hits, yous = ([i for i, w in enumerate(words) if w == x] for x in ("bad", "you"))
+        gaps = [min(abs(h - y) for y in yous[max(0, k - 3) : k + 4]) for k, h in enumerate(hits)]
+        want = sum(g <= toxicity.REACH for g in gaps) / len(gaps)
+        assert toxicity.features_of(" ".join(words), {"bad": 1.0})[near_you] == want == 0.5
+
+
 def test_decontamination(spark, docs, none):
     items = spark.createDataFrame([(1, " ".join(WORDS[100:130])), (2, None), (3, ""), (4, "One TWO"), (5, "never seen " * 9), (4, "one two")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, items, block_items=2).collect()}
