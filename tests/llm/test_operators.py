@@ -258,6 +258,55 @@ def test_language(spark, docs, none, sf_dir):
     assert abs(total - 1) < 0.01
 
 
+def test_language_models_keep_all_grams_in_any_number_of_shards(spark):
+    rng, rows = np.random.default_rng(3), []
+    for i in range(48):  # over 200,000 different grams a language, most of them seen once
+        chars = rng.integers(0x4E00, 0x4E00 + 4000, 10_000) + 2000 * (i % 2)
+        rows.append((i, "".join(map(chr, chars)), "xy"[i % 2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    counts = [{}, {}]
+    for i, text, _ in rows:
+        text = "   " + text
+        for j in range(len(text) - 3):
+            counts[i % 2][text[j : j + 4]] = counts[i % 2].get(text[j : j + 4], 0) + 1
+    assert min(map(len, counts)) > 200_000
+    levels = [[c] for c in counts]
+    for of in levels:
+        for _ in range(3):
+            shorter = {}
+            for g in of[-1]:
+                shorter[g[1:]] = shorter.get(g[1:], 0) + 1
+            of.append(shorter)
+    tables = []
+    for of in levels:
+        tables.append([])
+        for n in of:
+            once, twice = (sum(v == k for v in n.values()) for k in (1, 2))
+            context = {}
+            for g, v in n.items():
+                total, kinds = context.get(g[:-1], (0, 0))
+                context[g[:-1]] = (total + v, kinds + 1)
+            tables[-1].append((n, context, min(max(once / (once + 2 * twice) if once else 0.5, 0.1), 0.95)))
+
+    def p(lang, g):
+        if not g:
+            return 1 / 65536
+        n, context, d = tables[lang][4 - len(g)]
+        total, kinds = context.get(g[:-1], (0, 0))
+        return (max(n.get(g, 0) - d, 0) + d * kinds * p(lang, g[1:])) / total if total else p(lang, g[1:])
+
+    tests = [rows[0][1][:300] + rows[1][1][5000:5200], rows[1][1][-400:], "".join(map(chr, rng.integers(0x4E00, 0x4E00 + 6000, 300))), "plain words"]
+    asked = spark.createDataFrame(list(enumerate(tests)), "doc_id long, text string")
+    found = []
+    for model in (langid.fit(docs), langid.fit(docs, shard_grams=40_000)):
+        found.append({r["doc_id"]: r for r in langid.predict(asked, model).collect()})
+    assert len(model.shards) > 8 and found[0] == found[1]
+    for i, text in enumerate(tests):
+        padded = "   " + text
+        each = [-sum(np.log(p(k, padded[j : j + 4])) for j in range(len(text))) / len(text) for k in (0, 1)]
+        assert abs(found[0][i]["cross_entropy"] - min(each)) < 1e-4 and found[0][i]["lang_pred"] == "xy"[int(np.argmin(each))]
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>T</title><script>var a='</p>';</script></head><body><header>Site</header><nav><a href='/'>Home page</a></nav>"
