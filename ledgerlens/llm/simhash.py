@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.llm.components import components
 from ledgerlens.llm.store import stored
+from ledgerlens.llm.suffix_dedup import row_key
 from ledgerlens.llm.text import LOWER_CODE, RangeHash, column_bytes, mix, word_groups
 
 LAST = np.iinfo(np.int64).max  # stands for a null id: it comes after all others
@@ -161,7 +162,7 @@ def _sketches(n: int):
             for i, text in enumerate(batch.column(1)):
                 text_hash[i] = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words_of(text.as_py()))), np.uint64)
             yield pa.RecordBatch.from_pydict({
-                "doc": batch.column(0).fill_null(LAST), "t1": pa.array(text_hash[:, 0].copy().view(np.int64)), "t2": pa.array(text_hash[:, 1].copy().view(np.int64)),
+                "doc": batch.column(0).fill_null(LAST), "row": batch.column(2), "t1": pa.array(text_hash[:, 0].copy().view(np.int64)), "t2": pa.array(text_hash[:, 1].copy().view(np.int64)),
                 "minima": _lists(_minima(batch.column(1), n)),
             })
 
@@ -256,7 +257,7 @@ def _across(lists: DataFrame, linked: DataFrame, sketch: DataFrame, sets: DataFr
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, max_list: int = 16, rounds: int = 3) -> DataFrame:
-    """(doc, component) for every id that belongs with a smaller one: near copies by the Jaccard similarity of word shingles.
+    """(row, doc, component) for every row that belongs with one of a smaller id, by its ``row_key``: near copies by the Jaccard similarity of word shingles.
 
     A sketch holds the least hashes of a text's shingles, ``MINIMA`` of them. Texts with the same ``BAND`` neighbouring
     ones in some place are candidates. How alike two sketches are depends on the shingles alone, so a copy that is cut, shifted or
@@ -270,10 +271,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     list is compared across the groups, see ``_across``, so leading saves work but decides nothing. A group of exact
     copies is one text from the start.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    sketch = stored(texts.mapInArrow(_sketches(words), "doc long, t1 long, t2 long, minima array<long>"), "sketches")
-    first = stored(sketch.groupBy("t1", "t2").agg(F.min_by(F.struct("doc", "minima"), "doc").alias("s")).select("t1", "t2", "s.doc", "s.minima"), "texts")
-    copies = sketch.select("t1", "t2", F.col("doc").alias("copy")).join(first.select("t1", "t2", "doc"), ["t1", "t2"]).filter("copy <> doc")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), row_key(docs, id_col, text_col).alias("row"))
+    sketch = stored(texts.mapInArrow(_sketches(words), "doc long, row long, t1 long, t2 long, minima array<long>"), "sketches")
+    first = stored(sketch.groupBy("t1", "t2").agg(F.min_by(F.struct("doc", "row", "minima"), F.struct("doc", "row")).alias("s")).select("t1", "t2", F.col("s.row").alias("doc"), F.col("s.doc").alias("order"), "s.minima"), "texts")
+    # from here on a text is known by the key of its first row
+    copies = sketch.select("t1", "t2", F.col("row").alias("copy"), F.col("doc").alias("copy_order")).join(first.select("t1", "t2", "doc", "order"), ["t1", "t2"]).filter("copy <> doc")
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.get("minima", F.lit(i + j)) for j in range(BAND)]) for i in range(0, MINIMA, BAND)])
     index = first.select("doc", F.explode(keys).alias("k"))
     sizes = stored(index.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "band-lists")
@@ -289,7 +291,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = short.select(F.posexplode("docs").alias("i", "a"), "docs").select("a", F.explode(F.slice("docs", F.col("i") + 2, max_list)).alias("b"))
     found = near(pairs, "short-pairs")
     candidates = stored(listed.select("doc").distinct(), "candidates")
-    sets = stored(texts.join(candidates, "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(_shingle_sets(words), "doc long, shingles array<long>"), "shingles")
+    sets = stored(texts.select(F.col("row").alias("doc"), "text").join(candidates, "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(_shingle_sets(words), "doc long, shingles array<long>"), "shingles")
     x, y = (sets.select(F.col("doc").alias(n), F.col("shingles").alias(s)) for n, s in (("a", "x"), ("b", "y")))
 
     def similar(pairs: DataFrame) -> DataFrame:
@@ -303,7 +305,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for _ in range(rounds):
         if left.isEmpty():
             break
-        lead = left.groupBy("k").agg(F.max(F.struct("weight", -F.col("doc"))).alias("m")).select("k", (-F.col("m.col2")).alias("lead"))
+        lead = left.groupBy("k").agg(F.max(F.struct("weight", F.bitwise_not("doc").alias("other"))).alias("m")).select("k", F.bitwise_not("m.other").alias("lead"))
         led = stored(left.join(stored(lead, "leads"), "k").filter("doc <> lead"), "led")
         told = similar(near(led.select(F.col("lead").alias("a"), F.col("doc").alias("b")), "led-pairs"))
         links = links.unionByName(told)
@@ -313,16 +315,19 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not rest.isEmpty():
         tree = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
         linked = stored(components(tree.unionByName(similar(rest))), "all-components")
-    of = F.coalesce("c", "component").alias("component")
-    found = copies.select(F.col("copy").alias("id"), F.col("doc").alias("component"))
-    more = found.join(linked.select(F.col("id").alias("component"), F.col("component").alias("c")), "component", "left").select("id", of)
-    return more.unionByName(linked.filter("id <> component")).select(F.col("id").alias("doc"), "component")
+    ordered = linked.join(first.select(F.col("doc").alias("id"), "order"), "id")
+    least = stored(ordered.groupBy("component").agg(F.min(F.struct("order", "id")).alias("least")), "least-of-components")
+    linked = stored(ordered.join(least, "component").select("id", "order", "least"), "ordered-components")
+    of = copies.join(linked.select(F.col("id").alias("doc"), "least"), "doc", "left")
+    of = of.select(F.col("copy").alias("row"), F.col("copy_order").alias("doc"), F.coalesce("least.order", "order").alias("component"))
+    return of.unionByName(linked.filter("id <> least.id").select(F.col("id").alias("row"), F.col("order").alias("doc"), F.col("least.order").alias("component")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the document with the smallest id stays.
 
-    Rows with the same id are one document and stay or go together, as do rows with a null id, which come last.
+    Rows with the same id and text are one document and stay or go together. Other rows of one id, or without one, are
+    documents of their own; those without an id come last.
     """
-    gone = similar_groups(docs, id_col, text_col, words, similarity).select("doc").distinct()
-    return docs.join(gone, F.coalesce(docs[id_col].cast("long"), F.lit(LAST)) == gone["doc"], "left_anti")
+    gone = similar_groups(docs, id_col, text_col, words, similarity).select("row").distinct()
+    return docs.join(gone, row_key(docs, id_col, text_col) == gone["row"], "left_anti")

@@ -14,7 +14,8 @@ smaller id. Grouping every window would move many times the corpus, so a sketch
    are first grouped within each few megabytes of text, so a passage in very many documents is one row for each.
 
 Words are separated by ASCII white space and compared as they are. A null or empty text has no words. A null id comes
-after all others. Rows with the same id are one document: none is earlier than another.
+after all others. Rows with the same id are one document: none is earlier than another. What is
+cut from a row is known by the hash of its id and text, so rows that share an id, or have none, do not share it.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from zstandard import ZstdDecompressor
 
-from ledgerlens.llm.suffix_dedup import LAST, compressed, ids_of
+from ledgerlens.llm.suffix_dedup import LAST, compressed, ids_of, row_key
 from ledgerlens.llm.text import RangeHash, column_bytes, joined, minimizers, mix, sliding, word_bounds, word_groups
 
 U = np.uint64
@@ -120,24 +121,24 @@ def _repeated_windows(window: int, gram: int, bits: int, sketch):
                 at = np.flatnonzero(passed)
                 key, row = key[at], words.rows[at]
                 print_ = mix(RangeHash(mix(words.code ^ U(0xD1B54A32D192ED03))).of(at, at + window))
-                doc, pos = ids[row], at - words.bounds[row - words.first_row]
+                doc, pos, own = ids[row], at - words.bounds[row - words.first_row], batch.column(2).to_numpy()[row]
                 order = np.lexsort((doc, print_, key))
                 later = np.zeros(len(at), bool)
                 later[order] = _later(key[order], print_[order], doc[order])
-                yield _spans(doc[later], pos[later], window)
-                yield _runs(*(x[~later] for x in (key, doc, pos, print_)))
+                yield _spans(own[later], pos[later], window)
+                yield _runs(*(x[~later] for x in (key, doc, own, pos, print_)))
 
     return run
 
 
-def _runs(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+def _runs(key: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
     """Consecutive windows of one key as one row."""
     n = len(key)
-    head = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1)] if n else np.zeros(0, bool)
+    head = np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (pos[1:] != pos[:-1] + 1)] if n else np.zeros(0, bool)
     start = np.flatnonzero(head)
     ends = (np.r_[start, n] * 8).astype(np.int32)
     blob = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(prints.tobytes())])
-    return pa.RecordBatch.from_pydict({"key": pa.array(key[start].view(np.int64)), "doc": pa.array(doc[start]), "pos": pa.array(pos[start].astype(np.int32)), "end": pa.array(np.full(len(start), -1, np.int32)), "prints": blob})
+    return pa.RecordBatch.from_pydict({"key": pa.array(key[start].view(np.int64)), "doc": pa.array(doc[start]), "row": pa.array(row[start]), "pos": pa.array(pos[start].astype(np.int32)), "end": pa.array(np.full(len(start), -1, np.int32)), "prints": blob})
 
 
 def _later(key: np.ndarray, prints: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -147,9 +148,9 @@ def _later(key: np.ndarray, prints: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return doc > doc[first] if len(key) else new
 
 
-def _spans(doc: np.ndarray, pos: np.ndarray, window: int) -> pa.RecordBatch:
-    doc, start, end = joined(doc, pos.astype(np.int64), pos.astype(np.int64) + window)
-    return pa.RecordBatch.from_pydict({"key": pa.array(np.zeros(len(doc), np.int64)), "doc": pa.array(doc), "pos": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32)), "prints": pa.nulls(len(doc), pa.binary())})
+def _spans(row: np.ndarray, pos: np.ndarray, window: int) -> pa.RecordBatch:
+    row, start, end = joined(row, pos.astype(np.int64), pos.astype(np.int64) + window)
+    return pa.RecordBatch.from_pydict({"key": pa.array(np.zeros(len(row), np.int64)), "doc": pa.array(np.zeros(len(row), np.int64)), "row": pa.array(row), "pos": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32)), "prints": pa.nulls(len(row), pa.binary())})
 
 
 def _group_windows(window: int):
@@ -158,38 +159,38 @@ def _group_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            ready = batch.column(3).to_numpy() >= 0
+            ready = batch.column(4).to_numpy() >= 0
             if ready.any():
                 yield batch.filter(pa.array(ready))
             runs = batch.filter(pa.array(~ready))
-            data, offsets = column_bytes(runs.column(4))
+            data, offsets = column_bytes(runs.column(5))
             n = np.diff(offsets) // 8
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            key, doc, pos = (np.repeat(runs.column(i).to_numpy(), n) for i in range(3))
-            parts.append((key, data.copy().view(np.uint64), doc, pos + inner))
+            key, doc, row, pos = (np.repeat(runs.column(i).to_numpy(), n) for i in range(4))
+            parts.append((key, data.copy().view(np.uint64), doc, row, pos + inner))
         if parts:
-            key, prints, doc, pos = (np.concatenate(x) for x in zip(*parts))
+            key, prints, doc, row, pos = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((doc, prints, key))
             later = order[_later(key[order], prints[order], doc[order])]
-            yield _spans(doc[later], pos[later], window)
+            yield _spans(row[later], pos[later], window)
 
     return run
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 6, cells: int = 1 << 27) -> DataFrame:
-    """(doc, spans): per document with repeats, the ranges of word numbers to remove; doc is ``LAST`` for a null id."""
+    """(row, spans): per row with repeats, by its ``row_key``, the ranges of word numbers to remove."""
     bits = cells.bit_length() - 1
-    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), row_key(docs, id_col, text_col).alias("row"))
     parts = texts.mapInArrow(_part_sketch(window, gram, bits), "block long, once binary, twice binary")
     merged = parts.repartition(F.col("block")).mapInArrow(_merge_sketches, "block long, bits binary")
     # at most rows * cells / 8 bytes, whatever the corpus
     sketch = docs.sparkSession.sparkContext.broadcast([(r["block"], bytes(r["bits"])) for r in merged.collect()])
-    rows = "key long, doc long, pos int, end int, prints binary"
+    rows = "key long, doc long, row long, pos int, end int, prints binary"
     windows = texts.mapInArrow(_repeated_windows(window, gram, bits, sketch), rows)
     # spans that are ready go by document, so that they spread as well
-    spread = F.when(F.col("end") < 0, F.col("key")).otherwise(F.xxhash64("doc", "pos"))
+    spread = F.when(F.col("end") < 0, F.col("key")).otherwise(F.xxhash64("row", "pos"))
     spans = windows.repartition(spread).mapInArrow(_group_windows(window), rows)
-    return spans.groupBy("doc").agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("start"), F.col("end").cast("long").alias("end"))).alias("spans"))
+    return spans.groupBy("row").agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("start"), F.col("end").cast("long").alias("end"))).alias("spans"))
 
 
 def _kept(raw: bytes, spans: pa.Scalar) -> tuple[int, bytes, str]:
@@ -231,9 +232,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed words and the white space behind each of them.
     """
     spans = repeated_spans(docs, id_col, text_col, **options)
-    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    packed = texts.mapInArrow(compressed, "doc long, z binary")
-    return packed.join(spans, "doc", "left").select("doc", "z", "spans").mapInArrow(
+    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), row_key(docs, id_col, text_col).alias("row"))
+    packed = texts.mapInArrow(compressed, "doc long, z binary, row long")
+    return packed.join(spans, "row", "left").select("doc", "z", "spans").mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, kept_words binary, kept_text string"
     )
 
@@ -245,8 +246,8 @@ def digest(removed: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with ``text_col`` as it is without the repeats; the other columns stay as they are."""
     spans = repeated_spans(docs, id_col, text_col, **options)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    joined_ = docs.select(F.struct(*docs.columns).alias("row"), key.alias("__doc")).join(spans, F.col("__doc") == spans["doc"], "left").select("row", "spans")
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), row_key(docs, id_col, text_col).alias("row"))
+    joined_ = rows.join(spans, "row", "left").select(F.col("whole").alias("row"), "spans")
     whole = joined_.filter("spans is null").select("row.*")
     cut = joined_.filter("spans is not null").select(F.lit(0).cast("long").alias("doc"), F.encode(F.col(f"row.{text_col}").cast("string"), "UTF-8").alias("raw"), "spans", "row")
 

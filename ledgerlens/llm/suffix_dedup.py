@@ -15,8 +15,9 @@ limited to its context, the ``length - gram`` bytes on either side of it.
 3. A gram with more contexts than one task should hold is not sorted in one place: its windows are compared by hash in
    a grouped aggregation, which combines before its shuffle.
 
-Texts are UTF-8 bytes; a null or empty text has none. Documents with a null id come after all others. Rows with the
-same id are taken as one document given more than once, so none of them is earlier than another.
+Texts are UTF-8 bytes; a null or empty text has none. Documents with a null id come after all others. A row is known
+by a hash of its id and text: rows with the same of both are one document given more than once, so none of them is earlier
+than another; other rows of one id, or without one, are documents of their own, in order of that hash.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from ledgerlens.llm.store import stored
@@ -33,7 +34,7 @@ from ledgerlens.llm.text import BYTE_CODE, RangeHash, column_bytes, joined, mini
 
 LAST = np.iinfo(np.int64).max  # stands for a null id
 SINGLE, WITNESS, CONTEXT, SPAN = range(4)
-ROWS = "kind int, h long, c long, doc long, pos int, left int, ctx binary"
+ROWS = "kind int, h long, c long, doc long, row long, pos int, left int, ctx binary"
 SHALLOW = 2  # words of 8 bytes
 
 
@@ -181,7 +182,7 @@ def _batch(**columns) -> pa.RecordBatch:
     n = len(columns["doc"])
     whole = {
         name: columns.get(name, np.zeros(n, np.int64))
-        for name in ("kind", "h", "c", "doc", "pos", "left")
+        for name in ("kind", "h", "c", "doc", "row", "pos", "left")
     }
     kinds = {"kind": pa.int32(), "pos": pa.int32(), "left": pa.int32()}
     arrays = {k: pa.array(np.asarray(v).astype(np.int64), pa.int64()).cast(kinds.get(k, pa.int64())) for k, v in whole.items()}
@@ -189,9 +190,14 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(arrays)
 
 
-def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    doc, start, end = joined(doc, start, end)
-    return _batch(kind=np.full(len(doc), SPAN), doc=doc, pos=start, c=end)
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """What tells a row from others, those with the same id too."""
+    return F.xxhash64(docs[id_col].cast("long"), docs[text_col].cast("string"))
+
+
+def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    row, start, end = joined(row, start, end)
+    return _batch(kind=np.full(len(row), SPAN), doc=np.zeros(len(row), np.int64), row=row, pos=start, c=end)
 
 
 def _contexts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -240,24 +246,24 @@ def _anchors(length: int, gram: int):
             h, c, row, at, start, end = found(data, offsets)
             if not len(h):
                 continue
-            doc, base = ids[row], offsets[row]
-            order = np.lexsort((at - base, doc, c, h))
-            h, c, doc, at, start, end, base = (x[order] for x in (h, c, doc, at, start, end, base))
+            doc, base, row = ids[row], offsets[row], batch.column(2).to_numpy()[row]
+            order = np.lexsort((at - base, row, doc, c, h))
+            h, c, doc, row, at, start, end, base = (x[order] for x in (h, c, doc, row, at, start, end, base))
             pos = at - base
             new_h = np.r_[True, h[1:] != h[:-1]]
             new_c = new_h | np.r_[True, c[1:] != c[:-1]]
             first = np.maximum.accumulate(np.where(new_c, np.arange(len(h)), 0))
-            later = (doc != doc[first]) | (pos != pos[first])  # the whole context stands earlier
-            yield _spans(doc[later], (start - base)[later], (end - base)[later])
+            later = (row != row[first]) | (pos != pos[first])  # the whole context stands earlier
+            yield _spans(row[later], (start - base)[later], (end - base)[later])
             several = np.bincount(np.cumsum(new_h) - 1, weights=new_c)[np.cumsum(new_h) - 1] > 1
             lone = new_c & ~several
-            yield _batch(h=h[lone].view(np.int64), c=c[lone].view(np.int64), doc=doc[lone], pos=pos[lone])
+            yield _batch(h=h[lone].view(np.int64), c=c[lone].view(np.int64), doc=doc[lone], row=row[lone], pos=pos[lone])
             tell = new_h & several
-            yield _batch(kind=np.full(tell.sum(), WITNESS), h=h[tell].view(np.int64), c=c[tell].view(np.int64), doc=doc[tell], pos=pos[tell])
+            yield _batch(kind=np.full(tell.sum(), WITNESS), h=h[tell].view(np.int64), c=c[tell].view(np.int64), doc=doc[tell], row=row[tell], pos=pos[tell])
             many = np.flatnonzero(new_c & several)
             for i in range(0, len(many), 50_000):
                 m = many[i : i + 50_000]
-                yield _batch(kind=np.full(len(m), CONTEXT), h=h[m].view(np.int64), c=c[m].view(np.int64), doc=doc[m], pos=pos[m], left=(at - start)[m], ctx=_contexts(data, start[m], end[m]))
+                yield _batch(kind=np.full(len(m), CONTEXT), h=h[m].view(np.int64), c=c[m].view(np.int64), doc=doc[m], row=row[m], pos=pos[m], left=(at - start)[m], ctx=_contexts(data, start[m], end[m]))
 
     return run
 
@@ -274,33 +280,33 @@ def _settle(length: int, gram: int):
                 yield batch.filter(pa.array(ready))
             if not ready.all():
                 b = batch.filter(pa.array(~ready))
-                kept.append([b.column(i).to_numpy() for i in range(5)])
+                kept.append([b.column(i).to_numpy() for i in range(6)])
         if not kept:
             return
-        kind, h, c, doc, pos = (np.concatenate(x) for x in zip(*kept))
-        order = np.lexsort((pos, doc, c, h))
-        kind, h, c, doc, pos = (x[order] for x in (kind, h, c, doc, pos))
+        kind, h, c, doc, row, pos = (np.concatenate(x) for x in zip(*kept))
+        order = np.lexsort((pos, row, doc, c, h))
+        kind, h, c, doc, row, pos = (x[order] for x in (kind, h, c, doc, row, pos))
         new_h = np.r_[True, h[1:] != h[:-1]]
         new_c = new_h | np.r_[True, c[1:] != c[:-1]]
         first = np.maximum.accumulate(np.where(new_c, np.arange(len(h)), 0))
-        later = (doc != doc[first]) | (pos != pos[first])
+        later = (row != row[first]) | (pos != pos[first])
         reach = length - gram
-        yield _spans(doc[later], np.maximum(0, pos[later] - reach), pos[later] + gram + reach)
+        yield _spans(row[later], np.maximum(0, pos[later] - reach), pos[later] + gram + reach)
         of = np.cumsum(new_h) - 1
         several = (np.bincount(of, weights=new_c)[of] > 1) | (np.bincount(of, weights=kind == WITNESS)[of] > 0)
         fetch = new_c & several & (kind == SINGLE)
-        yield _batch(h=h[fetch], c=c[fetch], doc=doc[fetch], pos=pos[fetch])
+        yield _batch(h=h[fetch], c=c[fetch], doc=doc[fetch], row=row[fetch], pos=pos[fetch])
 
     return run
 
 
 def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, z): texts squeezed before a shuffle."""
+    """(doc, z, row): texts squeezed before a shuffle."""
     squeeze = ZstdCompressor(level=1).compress
     for batch in batches:
         data, offsets = column_bytes(batch.column(1))
         packed = [squeeze(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        yield pa.RecordBatch.from_pydict({"doc": pa.array(ids_of(batch.column(0))), "z": pa.array(packed, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"doc": pa.array(ids_of(batch.column(0))), "z": pa.array(packed, pa.binary()), "row": batch.column(2)})
 
 
 def _expand(z: bytes) -> np.ndarray:
@@ -312,12 +318,12 @@ def _fetch(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, z, wanted in zip(*(batch.column(i) for i in range(3))):
+            for doc, z, row, wanted in zip(*(batch.column(i) for i in range(4))):
                 text = _expand(z.as_py())
                 want = wanted.values
                 h, pos = want.field("h").to_numpy(), want.field("pos").to_numpy().astype(np.int64)
                 start, end = np.maximum(0, pos - reach), np.minimum(len(text), pos + gram + reach)
-                yield _batch(kind=np.full(len(h), CONTEXT), h=h, doc=np.full(len(h), doc.as_py()), pos=pos, left=pos - start, ctx=_contexts(text, start, end))
+                yield _batch(kind=np.full(len(h), CONTEXT), h=h, doc=np.full(len(h), doc.as_py()), row=np.full(len(h), row.as_py()), pos=pos, left=pos - start, ctx=_contexts(text, start, end))
 
     return run
 
@@ -330,12 +336,12 @@ def _sorted_spans(length: int, gram: int):
         if not parts:
             return
         whole = pa.Table.from_batches(parts)
-        order = np.lexsort([whole.column(n).to_numpy() for n in ("pos", "doc")])
-        h, doc, pos, left = (whole.column(n).to_numpy()[order].astype(np.int64) for n in ("h", "doc", "pos", "left"))
+        order = np.lexsort([whole.column(n).to_numpy() for n in ("pos", "row", "doc")])
+        h, row, pos, left = (whole.column(n).to_numpy()[order].astype(np.int64) for n in ("h", "row", "pos", "left"))
         data, offsets = column_bytes(whole.column("ctx"))
         start, n = offsets[:-1][order], np.diff(offsets)[order]
         right = n - left - gram
-        place = np.cumsum(np.r_[0, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])])
+        place = np.cumsum(np.r_[0, (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])])
         steps = np.arange(reach)
         pad = np.r_[data, np.zeros(1, np.uint8)]
         # reversed prefixes and suffixes of the gram, padded with zeros
@@ -343,7 +349,7 @@ def _sorted_spans(length: int, gram: int):
         after = np.where(steps < right[:, None], pad[np.clip((start + left + gram)[:, None] + steps, 0, len(data))], 0).astype(np.uint8)
         least, most = shared_offsets(h, place, before, left, after, right)
         hit = least >= 0
-        yield _spans(doc[hit], pos[hit] - most[hit], pos[hit] - least[hit] + length)
+        yield _spans(row[hit], pos[hit] - most[hit], pos[hit] - least[hit] + length)
 
     return run
 
@@ -354,51 +360,52 @@ def _windows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = column_bytes(batch.column("ctx"))
-            doc, pos, left = (batch.column(n).to_numpy().astype(np.int64) for n in ("doc", "pos", "left"))
+            doc, row, pos, left = (batch.column(n).to_numpy().astype(np.int64) for n in ("doc", "row", "pos", "left"))
             ends = np.diff(offsets)
             n = np.maximum(0, ends - length + 1)
-            row = np.repeat(np.arange(len(doc)), n)
-            inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            start = offsets[:-1][row] + inner
+            of = np.repeat(np.arange(len(doc)), n)
+            inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            start = offsets[:-1][of] + inner
             one, two = RangeHash(BYTE_CODE[data]), RangeHash(mix(BYTE_CODE[data]))
             yield pa.RecordBatch.from_pydict({
                 "h1": pa.array(one.of(start, start + length).view(np.int64)),
                 "h2": pa.array(mix(two.of(start, start + length)).view(np.int64)),
-                "doc": pa.array(doc[row]),
-                "pos": pa.array((pos - left)[row] + inner),
+                "doc": pa.array(doc[of]),
+                "row": pa.array(row[of]),
+                "pos": pa.array((pos - left)[of] + inner),
             })
 
     return run
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 40, task_contexts: int = 5_000) -> DataFrame:
-    """(doc, spans): per document with repeats, the byte ranges to remove, sorted and disjoint; doc is ``LAST`` for a null id.
+    """(row, spans): per row with repeats, by its ``row_key``, the byte ranges to remove.
 
     ``task_contexts`` is how many contexts of one gram may be sorted in one task; beyond it, windows are grouped by hash.
     """
-    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), row_key(docs, id_col, text_col).alias("row"))
     settled = stored(
         texts.mapInArrow(_anchors(length, gram), ROWS).repartition(F.col("h")).mapInArrow(_settle(length, gram), ROWS),
         "anchors",
     )
-    wanted = settled.filter(F.col("kind") == SINGLE).groupBy("doc").agg(F.collect_list(F.struct("h", "pos")).alias("wanted"))
-    packed = texts.mapInArrow(compressed, "doc long, z binary")
-    fetched = packed.join(wanted, "doc").select("doc", "z", "wanted").mapInArrow(_fetch(length, gram), ROWS)
-    contexts = stored(settled.filter(F.col("kind") == CONTEXT).unionByName(fetched).select("h", "doc", "pos", "left", "ctx"), "contexts")
+    wanted = settled.filter(F.col("kind") == SINGLE).groupBy("row").agg(F.collect_list(F.struct("h", "pos")).alias("wanted"))
+    packed = texts.mapInArrow(compressed, "doc long, z binary, row long")
+    fetched = packed.join(wanted, "row").select("doc", "z", "row", "wanted").mapInArrow(_fetch(length, gram), ROWS)
+    contexts = stored(settled.filter(F.col("kind") == CONTEXT).unionByName(fetched).select("h", "doc", "row", "pos", "left", "ctx"), "contexts")
     large = contexts.groupBy("h").count().filter(F.col("count") > task_contexts).select("h")
     large = stored(large, "large-grams")
     sort = contexts.join(large, "h", "left_anti").repartition(F.col("h")).mapInArrow(_sorted_spans(length, gram), ROWS)
-    windows = contexts.join(large, "h", "left_semi").select("doc", "pos", "left", "ctx")
-    windows = windows.mapInArrow(_windows(length, gram), "h1 long, h2 long, doc long, pos long")
-    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    windows = contexts.join(large, "h", "left_semi").select("doc", "row", "pos", "left", "ctx")
+    windows = windows.mapInArrow(_windows(length, gram), "h1 long, h2 long, doc long, row long, pos long")
+    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "row", "pos")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     first = stored(first, "first-windows")
-    later = windows.join(first, ["h1", "h2"]).filter(F.struct("doc", "pos") > F.col("first"))
+    later = windows.join(first, ["h1", "h2"]).filter(F.struct("doc", "row", "pos") > F.col("first"))
     spans = (
-        settled.filter(F.col("kind") == SPAN).select("doc", "pos", "c")
-        .unionByName(sort.select("doc", "pos", "c"))
-        .unionByName(later.select("doc", F.col("pos").cast("int").alias("pos"), (F.col("pos") + length).alias("c")))
+        settled.filter(F.col("kind") == SPAN).select("row", "pos", "c")
+        .unionByName(sort.select("row", "pos", "c"))
+        .unionByName(later.select("row", F.col("pos").cast("int").alias("pos"), (F.col("pos") + length).alias("c")))
     )
-    return spans.groupBy("doc").agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("start"), F.col("c").alias("end"))).alias("spans"))
+    return spans.groupBy("row").agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("start"), F.col("c").alias("end"))).alias("spans"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,9 +436,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, **options) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): each document with the bytes that are left, one row per input row."""
     spans = repeated_spans(docs, id_col, text_col, length, **options)
-    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    packed = texts.mapInArrow(compressed, "doc long, z binary")
-    return packed.join(spans, "doc", "left").select("doc", "z", "spans").mapInArrow(
+    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), row_key(docs, id_col, text_col).alias("row"))
+    packed = texts.mapInArrow(compressed, "doc long, z binary, row long")
+    return packed.join(spans, "row", "left").select("doc", "z", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
     )
 

@@ -164,6 +164,21 @@ def test_word_window_repeats_equal_brute_force(docs, none, cells):
     assert {r["text"] for r in cut.collect() if r["doc_id"] == 2} == {""}
 
 
+@pytest.mark.parametrize("limit", [5_000, 1])
+def test_rows_without_an_id_or_of_one_id_are_cut_each_by_itself(spark, limit):
+    old, clean, other = (" ".join(f"{p}{i}" for i in range(100)) for p in ("old", "clean", "other"))
+    rows = [(1, old), (None, old + " " + clean), (None, other), (7, "start " + old), (7, clean[:300].replace("clean", "seven"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(bytes(r["kept"]).decode() for r in suffix_dedup.remove_repeats(docs, task_contexts=limit).collect())
+    assert kept == sorted([old, " " + clean, other, "start ", rows[4][1]])
+    assert sorted(bytes(r["kept_words"]).decode() for r in substring_dedup.remove_repeats(docs).collect()) == sorted([old, clean, other, "start", rows[4][1].strip()])
+    assert sorted(r["text"].strip() for r in substring_dedup.drop_repeats(docs).collect()) == sorted([old, clean, other, "start", rows[4][1].strip()])
+    near = spark.createDataFrame([*rows, (None, other + " more"), (1, old + " more")], docs.schema)
+    left = [r["text"] for r in simhash.drop_near_copies(near).collect()]
+    assert len(left) == 4 and rows[1][1] in left and rows[4][1] in left
+    assert len({old, old + " more", "start " + old} & set(left)) == len({other, other + " more"} & set(left)) == 1
+
+
 def test_quality_counts():
     assert quality.counts("a b c\na b c\n\n a# b")[:5] == (8, 9, 1, 1, 6)
 
