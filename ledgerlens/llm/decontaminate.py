@@ -1,64 +1,75 @@
 """Benchmark decontamination: passages of documents within a small edit distance of a benchmark item.
 
-A CGK walk reads words and, at each step, goes on to the next word or stays, as a random bit of step and word says. Two
-windows at a small edit distance fall into step again after an edit, so their walks agree in most places: edit distance
-becomes Hamming distance. Walks start at words picked by hash (by default all), in items and documents alike, so an item is met at each of
-its picked words, and one undamaged stretch is enough. Each table hashes the words at a few sampled places of a walk
-(bit sampling). A document window that meets an item's in some table is widened to the size of the item, and the edit
-distance to the best place in it is computed exactly, in characters of the lower-case words joined by one space.
+Texts are the characters of their lower-case words joined by one space. Hash tables hold the items' grams of characters,
+one table per length of gram. The length goes with the item's size: of the grams of an item that has the full ``rate``
+of random edits, as many stay whole as its size class says, with the chance ``RECALL`` (simulated, ``_class``). It is the
+longest gram for which these are still a fair share of the item; short items have short grams, long ones long grams.
+
+A place of a document is a candidate if that many grams of an item stand about where the item would have them, that is
+on neighbouring diagonals. All grams of a verbatim passage are whole, so it is always a candidate, and runs of words that are
+changed leave more grams whole than single letters do. The edit distance to the best place around a candidate is then
+computed exactly, in characters.
 
 The tables hold the items alone. They are taken in blocks of ``block_items``, each a pass over the documents, so a
-task never holds more than one block; documents are not shuffled. Items of fewer than ``SHORT`` words match exactly.
-Null or empty items and texts match nothing.
+task never holds more than one block; documents are not shuffled. Items of fewer than ``SHORT`` words match exactly,
+as whole words. Null or empty items and texts match nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.llm.text import RangeHash, Words, column_bytes, mix, word_groups
+from ledgerlens.llm.text import RangeHash, column_bytes, mix, word_groups
 
 U = np.uint64
-STEPS, PLACES, WALKS, TABLES = 16, 11, 2, 3  # TABLES per walk
-SHORT = 8  # words
-PAD = U(0x5851F42D4C957F2D)
-_rng = np.random.default_rng(29)
-TURNS = _rng.integers(1, 2**63, (WALKS, STEPS), dtype=np.uint64) * U(2) + U(1)
-SAMPLED = [[np.sort(_rng.choice(STEPS, PLACES, replace=False)) for _ in range(TABLES)] for _ in range(WALKS)]
+SHORT = 5  # words
+RECALL = 0.99  # of places at the full rate
+LONGEST = 12  # characters of a gram
+GROUP = 1 << 20  # characters of documents looked up at a time
+BETWEEN = np.array([0x110000], np.uint32)  # no character: stands between texts
 
 
 def lowered(column: pa.Array) -> pa.Array:
     return pa.array([(t or "").lower() for t in column.to_pylist()], pa.large_string())
 
 
-def walks(words: Words, picked: np.ndarray) -> Iterator[np.ndarray]:
-    """Per table, the hash of each picked word's walk at the table's places."""
-    # STEPS end marks after each row, so that no walk leaves its row
-    row = words.rows - words.first_row
-    padded = np.full(len(words.code) + (len(words.bounds) - 1) * STEPS, PAD, np.uint64)
-    place = np.arange(len(words.code)) + row * STEPS
-    padded[place] = words.code
-    for walk in range(WALKS):
-        at = place[picked]
-        sums = np.zeros((TABLES, len(at)), np.uint64)
-        for step in range(STEPS):
-            word = padded[at]
-            for table in range(TABLES):
-                if step in SAMPLED[walk][table]:
-                    sums[table] = (sums[table] ^ word) * U(0x9E3779B97F4A7C15)
-                    sums[table] ^= sums[table] >> U(29)
-            at = at + ((word * TURNS[walk, step]) >> U(63)).astype(np.int64)
-        for table in range(TABLES):
-            yield mix(sums[table] + U(walk * TABLES + table + 1))
+def plain(column: pa.Array) -> list[str]:
+    """The lower-case words of each row joined by one space."""
+    return [b" ".join(t.encode("utf-8", "surrogatepass").split()).decode("utf-8", "replace") if t else "" for t in lowered(column).to_pylist()]
+
+
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+@cache
+def _class(size: int, rate: float) -> tuple[int, int]:
+    """For items of ``size`` characters: the length of their grams, and how many of them stay whole at ``rate``."""
+    edits = int(rate * size)
+    rng = np.random.default_rng(size)
+    hit = np.zeros((1000, size + 1), np.int32)
+    np.put_along_axis(hit, 1 + rng.random((1000, size)).argsort(axis=1)[:, :edits], 1, axis=1)
+    sums = hit.cumsum(axis=1)
+    best = (1, 1)
+    for gram in range(1, min(LONGEST, size) + 1):
+        whole = int(np.quantile((sums[:, gram:] == sums[:, :-gram]).sum(axis=1), 1 - RECALL, method="lower"))
+        if gram <= 3 and whole >= 1 or whole >= 0.015 * size + 2:
+            best = (gram, whole)
+    return best
 
 
-def picks(code: np.ndarray, one_in: int) -> np.ndarray:
-    return np.flatnonzero(mix(code) % U(one_in) == 0) if one_in > 1 else np.arange(len(code))
+def size_class(size: int, rate: float) -> tuple[int, int]:
+    """The class of the largest size in steps of a quarter that is not above; from 1000 characters on there is one."""
+    step = 4
+    while step * 5 // 4 <= min(size, 1000):
+        step = step * 5 // 4
+    return _class(min(step, size), rate)
 
 
 def search(pattern: str, text: str) -> int:
@@ -89,45 +100,45 @@ def search(pattern: str, text: str) -> int:
 class Items(NamedTuple):
     ids: list[int]
     texts: list[str]  # lower-case words joined by one space
-    sizes: list[int]  # words
-    hashes: np.ndarray  # of walks, sorted
-    item: np.ndarray
-    offset: np.ndarray  # the picked word's number in its item
-    filter: np.ndarray  # one bit per hash of 20 bits
+    limit: np.ndarray  # edits
+    least: np.ndarray  # grams that a candidate has
+    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # by gram: hashes, items, offsets, one bit per hash of 20 bits
     short: dict[int, tuple[np.ndarray, np.ndarray]]  # by words: hashes, items
 
 
-def index_items(rows: list[tuple[int, str]], one_in: int) -> Items:
+def _grams(text: np.ndarray, gram: int) -> np.ndarray:
+    return mix(RangeHash(mix(text.astype(np.uint64) + U(1))).of_length(gram))
+
+
+def index_items(rows: list[tuple[int, str]], rate: float) -> Items:
     column = lowered(pa.array([t for _, t in rows], pa.string()))
     data, offsets = column_bytes(column)
-    texts = [" ".join(b.decode() for b in data[a:b].tobytes().split()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-    hashes, items, places = [], [], []
+    texts = plain(column)
+    limit, least = np.array([int(rate * len(t)) for t in texts], np.int64), np.zeros(len(rows), np.int64)
+    found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
     short: dict[int, list[tuple[int, int]]] = {}
-    sizes = []
     for words in word_groups(data, offsets):
-        each = np.diff(words.bounds)
-        sizes += each.tolist()
-        number = np.arange(len(words.code)) - words.bounds[words.rows - words.first_row]
-        # a walk of half the steps' words should stay inside the item, where the item is that long
-        size = each[words.rows - words.first_row]
-        at = picks(words.code, one_in)
-        at = at[(size[at] >= SHORT) & (number[at] <= np.maximum(size[at] - STEPS // 2, 0))]
-        for h in walks(words, at):
-            hashes.append(h)
-            items.append(words.rows[at])
-            places.append(number[at])
         grams = RangeHash(words.code)
-        for row, n in enumerate(each.tolist()):
+        for row, n in enumerate(np.diff(words.bounds).tolist()):
+            item = words.first_row + row
             if 0 < n < SHORT:
                 a = words.bounds[row : row + 1]
-                short.setdefault(n, []).append((int(mix(grams.of(a, a + n))[0]), words.first_row + row))
-    h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    order = np.argsort(h, kind="stable")
-    seen = np.zeros(1 << 20, bool)
-    seen[(h >> U(44)).astype(np.int64)] = True
+                short.setdefault(n, []).append((int(mix(grams.of(a, a + n))[0]), item))
+            elif n:
+                gram, least[item] = size_class(len(texts[item]), rate)
+                h = _grams(codes(texts[item]), gram)
+                # of equal grams near each other one is enough: the diagonals are that wide
+                _, at = np.unique(np.stack([h, (np.arange(len(h)) // (2 * limit[item] + 1)).astype(np.uint64)]), axis=1, return_index=True)
+                found.setdefault(gram, []).append((h[at], np.full(len(at), item), at))
+    tables = {}
+    for gram, parts in found.items():
+        h, item, at = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(h, kind="stable")
+        seen = np.zeros(1 << 20, bool)
+        seen[(h >> U(44)).astype(np.int64)] = True
+        tables[gram] = (h[order], item[order], at[order], seen)
     short_tables = {n: tuple(np.array(x, d)[np.argsort(np.array([p[0] for p in v], np.uint64))] for x, d in zip(zip(*v), (np.uint64, np.int64))) for n, v in short.items()}
-    flat = [np.concatenate(x)[order] if x else np.zeros(0, np.int64) for x in (items, places)]
-    return Items([i for i, _ in rows], texts, sizes, h[order], flat[0], flat[1], seen, short_tables)
+    return Items([i for i, _ in rows], texts, limit, least, tables, short_tables)
 
 
 def _pairs(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,42 +149,72 @@ def _pairs(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.nda
     return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
 
 
-def find(column: pa.Array, items: Items, one_in: int, rate: float) -> Iterator[tuple[int, int, int]]:
+def _places(text: np.ndarray, starts: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, from, to): where a group of texts, from ``starts`` on, has enough grams of an item."""
+    for gram, (hashes, of, offset, seen) in items.tables.items():
+        h = _grams(text, gram)
+        maybe = np.flatnonzero(seen[(h >> U(44)).astype(np.int64)])
+        which, entry = _pairs(hashes, h[maybe])
+        if not len(which):
+            continue
+        pos, item = maybe[which], of[entry]
+        row = np.searchsorted(starts, pos, side="right") - 1
+        wide = 2 * items.limit + 1
+        # an offset stands for those up to one width after it, and edits move a gram by up to half of one: three widths hold a place
+        diagonal = (pos - offset[entry]) // wide[item]
+        base = int(diagonal.min())
+        span = int(diagonal.max()) - base + 4
+        pair, dense = np.unique(row * len(items.ids) + item, return_inverse=True)
+        key, n = np.unique(dense * span + diagonal - base, return_counts=True)
+        total = n.copy()
+        for step in (1, 2):
+            after = np.minimum(np.searchsorted(key, key + step), len(key) - 1)
+            total += np.where(key[after] == key + step, n[after], 0)
+        item = pair[key // span] % len(items.ids)
+        good = np.flatnonzero(total >= items.least[item])
+        at, item, row = (key[good] % span + base), item[good], pair[key[good] // span] // len(items.ids)
+        size = np.array([len(t) for t in items.texts])[item]
+        low, high = (at - 1) * wide[item] - items.limit[item], (at + 3) * wide[item] + size + items.limit[item]
+        yield from zip(row.tolist(), item.tolist(), low.tolist(), high.tolist())
+
+
+def find(column: pa.Array, items: Items) -> Iterator[tuple[int, int, int]]:
     """(row, item, edit distance) of a text column, once per row and item."""
-    column = lowered(column)
-    data, offsets = column_bytes(column)
-    for words in word_groups(data, offsets):
-        candidates: set[tuple[int, int, int]] = set()
-        at = picks(words.code, one_in)
-        for h in walks(words, at):
-            maybe = np.flatnonzero(items.filter[(h >> U(44)).astype(np.int64)])
-            which, entry = _pairs(items.hashes, h[maybe])
-            start = at[maybe[which]] - items.offset[entry]
-            candidates.update(zip(words.rows[at[maybe[which]]].tolist(), items.item[entry].tolist(), start.tolist()))
-        best: dict[tuple[int, int], int] = {}
-        for n, (hashes, of) in items.short.items():
-            h = mix(RangeHash(words.code).of_length(n))
-            if len(h):
-                which, entry = _pairs(hashes, h)
-                inside = words.rows[which] == words.rows[which + n - 1]
-                best.update({(r, i): 0 for r, i in zip(words.rows[which[inside]].tolist(), of[entry[inside]].tolist())})
-        looked: dict[tuple[int, int], list[int]] = {}
-        for row, item, start in sorted(candidates):
-            n = items.sizes[item]
-            limit = int(rate * len(items.texts[item]))
-            slack = limit // 2 + 2  # an edit adds or removes a character, so two make a word at least
-            near = looked.setdefault((row, item), [])
-            if best.get((row, item)) == 0 or near and start - near[-1] <= slack // 2:
+    best: dict[tuple[int, int], int] = {}
+    if items.short:
+        data, offsets = column_bytes(lowered(column))
+        for words in word_groups(data, offsets):
+            for n, (hashes, of) in items.short.items():
+                h = mix(RangeHash(words.code).of_length(n))
+                if len(h):
+                    which, entry = _pairs(hashes, h)
+                    inside = words.rows[which] == words.rows[which + n - 1]
+                    best.update({(r, i): 0 for r, i in zip(words.rows[which[inside]].tolist(), of[entry[inside]].tolist())})
+    texts = plain(column)
+    row = 0
+    while row < len(texts):
+        first, size, parts, starts = row, 0, [], []
+        while row < len(texts) and (not parts or size + len(texts[row]) <= GROUP):
+            starts.append(size)
+            parts += [codes(texts[row]), BETWEEN]
+            size += len(texts[row]) + 1
+            row += 1
+        done: dict[tuple[int, int], int] = {}  # up to where a text was searched
+        for in_group, item, low, high in sorted(_places(np.concatenate(parts), np.array(starts), items)):
+            text, pattern = texts[first + in_group], items.texts[item]
+            low, high = max(0, low - starts[in_group]), min(len(text), high - starts[in_group])
+            at = done.get((in_group, item), 0)
+            if high <= at or best.get((first + in_group, item)) == 0:
                 continue
-            near.append(start)
-            low, high = words.bounds[row - words.first_row], words.bounds[row - words.first_row + 1]
-            a, b = max(low, start - slack), min(high, start + n + 2 * slack)
-            text = b" ".join(data[words.start[a] : words.end[b - 1]].tobytes().split()).decode("utf-8", "replace")
-            distance = search(items.texts[item], text)
-            if distance <= limit:
-                best[row, item] = min(distance, best.get((row, item), distance))
-        for (row, item), distance in sorted(best.items()):
-            yield row, item, distance
+            # what was searched is searched again as far as a passage can reach back
+            low = max(low, at - len(pattern) - int(items.limit[item]))
+            done[in_group, item] = high
+            distance = search(pattern, text[low:high])
+            if distance <= items.limit[item]:
+                k = (first + in_group, item)
+                best[k] = min(distance, best.get(k, distance))
+    for (row, item), distance in sorted(best.items()):
+        yield row, item, distance
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_items: int) -> Iterator[list[tuple[int, str]]]:
@@ -189,33 +230,33 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_items: int)
         yield block
 
 
-def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = 0.2, one_in: int = 1, block_items: int = 20_000) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = 0.2, block_items: int = 20_000) -> DataFrame:
     """(doc_id, item_id, distance) for every document row and item whose text it holds within ``rate`` edits per character."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))
     out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance long")
     for block in item_blocks(items, item_col, item_text, block_items):
-        index = index_items(block, one_in)
+        index = index_items(block, rate)
 
         def run(batches: Iterator[pa.RecordBatch], index: Items = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                found = [(ids[row], index.ids[item], d) for row, item, d in find(batch.column(1), index, one_in, rate)]
+                found = [(ids[row], index.ids[item], d) for row, item, d in find(batch.column(1), index)]
                 yield pa.RecordBatch.from_pydict({n: pa.array([f[k] for f in found], pa.int64()) for k, n in enumerate(("doc_id", "item_id", "distance"))})
 
         out = out.unionByName(texts.mapInArrow(run, out.schema))
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = 0.2, one_in: int = 1, block_items: int = 20_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = 0.2, block_items: int = 20_000) -> DataFrame:
     """The rows of ``docs`` that hold no item; rows are read and passed on in place, without a shuffle."""
     for block in item_blocks(items, item_col, item_text, block_items):
-        index = index_items(block, one_in)
+        index = index_items(block, rate)
 
         def run(batches: Iterator[pa.RecordBatch], index: Items = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 column = batch.column(batch.schema.get_field_index(text_col))
-                keep[[row for row, _, _ in find(column, index, one_in, rate)]] = False
+                keep[[row for row, _, _ in find(column, index)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)

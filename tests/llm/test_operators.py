@@ -218,6 +218,41 @@ def test_decontamination(spark, docs, none):
     assert {r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()} == {3, 4, None, 5, 9, 10}
 
 
+def test_decontamination_recall_at_all_sizes_and_kinds_of_edits():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, rng.integers(2, 9))))
+    vocabulary = [word() for _ in range(3000)]
+    some = lambda n: [vocabulary[i] for i in rng.integers(0, 3000, n)]
+    items, docs, of = [], [], []
+    for n in (5, 7, 8, 9, 12, 15, 20, 30, 60):
+        for kind in ("same", "words", "letters", "drop", "shift"):
+            for share in (0.0,) if kind == "same" else (0.1, 0.2):
+                for _ in range(10):
+                    words = some(n)
+                    text = " ".join(words)
+                    limit = int(0.2 * len(text))
+                    if kind == "words":
+                        for i in rng.permutation(n)[: int(share * n)].tolist():
+                            words[i] = words[i][::-1] if len(set(words[i])) > 1 else "x"
+                        made = " ".join(words)
+                    else:
+                        made = list(text)
+                        for i in sorted(rng.permutation(len(text))[: int(share * len(text))].tolist(), reverse=True):
+                            made[i : i + 1] = {"letters": ["#"], "drop": [], "shift": [made[i], "#"]}[kind]
+                        made = "".join(made)
+                    doc = " ".join([*some(40), made, *some(40)])
+                    if decontaminate.search(text, doc) <= limit:  # the edits themselves may be more
+                        items.append((len(items), text))
+                        docs.append(doc)
+                        of.append((n, kind, share))
+    found = {(r, i) for r, i, _ in decontaminate.find(pa.array(docs, pa.string()), decontaminate.index_items(items, 0.2))}
+    missed = [of[i] for i, _ in items if (i, i) not in found]
+    assert len(items) > 700 and not [x for x in missed if x[1] == "same"]
+    assert len(missed) <= 0.01 * len(items), missed
+
+
 def test_url_rules(spark):
     cases = {
         "http://A.Example.ORG/es/1?x": ("a.example.org", "/es/1", "example.org/es/", "block"),
