@@ -24,11 +24,27 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlens.llm.labelled import sample
 
 #: Elements by their part in a page.
-RAW = "script style noscript template svg math iframe object textarea select head".split()
+RAW = "script style noscript template svg math iframe object textarea select title".split()
 NEVER = frozenset("nav footer aside form button dialog menu header audio video canvas".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CONTENT = frozenset("article main".split())
+#: Elements whose end tag may be left out: what, when it opens, closes them, and what keeps that from reaching further out.
+BLOCKS = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
+    " header hgroup hr main menu nav ol p pre search section table ul".split()
+)
+CLOSED_BY = (
+    {"p": BLOCKS | frozenset("li dt dd td th tr thead tbody tfoot caption".split()), "li": frozenset(["li"])}
+    | {x: frozenset("dt dd".split()) for x in ("dt", "dd")}
+    | {x: frozenset("option optgroup".split()) for x in ("option", "optgroup")}
+    | {x: frozenset("td th tr thead tbody tfoot".split()) for x in ("td", "th")}
+    | {"tr": frozenset("tr thead tbody tfoot".split())}
+    | {x: frozenset("thead tbody tfoot".split()) for x in ("thead", "tbody", "tfoot", "caption", "colgroup")}
+)
+SCOPE = {"p": frozenset("table td th caption button object".split()), "li": frozenset("ul ol menu dir table".split()), "dt": frozenset(["dl", "table"]), "dd": frozenset(["dl", "table"])}
+#: A head ends with its first element that is none of these.
+HEAD = frozenset("base link meta title style script noscript template".split())
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer"
     " form login masthead menu menubar nav navbar navigation newsletter notice notification pagination popup promo promoted reaction"
@@ -68,7 +84,34 @@ def boilerplate(name: str, rest: str) -> bool:
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
     """(kind, block, text, left out, inside content): kind is ``text`` or ``tag``; block is the block the text stands in, or
     the tag's name with ``/`` for a closing one."""
-    stack: list[str] = []  # open elements that matter
+    stack: list[str] = []  # open elements
+
+    def pop(name: str) -> None:
+        """Closes up to the nearest element of that name."""
+        nonlocal skipped, content
+        while stack:
+            top = stack.pop()
+            skipped -= top.endswith("!")
+            content -= top.rstrip("!") in CONTENT
+            if top.rstrip("!") == name:
+                break
+
+    def ended(by: str) -> None:
+        """Closes what the start of an element closes without an end tag."""
+        if "head!" in stack and by not in HEAD:
+            pop("head")
+        again = True
+        while again:
+            again = False
+            for top in reversed(stack):
+                top = top.rstrip("!")
+                if by in CLOSED_BY.get(top, ()):
+                    pop(top)
+                    again = True
+                    break
+                # an element of its own kind of parent, or a block other than div and address, keeps the outer ones open
+                if by in SCOPE and top in SCOPE[by] or by not in SCOPE and top == "table":
+                    break
     block, skipped, content, at = "", 0, 0, 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
@@ -81,24 +124,18 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
             continue
         name = name.lower()
         if not m["close"]:
+            ended(name)
             yield "tag", name, "", skipped > 0, content > 0
             if name not in INLINE:
                 block = name
-            out = boilerplate(name, m["rest"])
-            if name not in VOID and not m["rest"].endswith("/") and (out or name in CONTENT or skipped):
+            out = name == "head" or boilerplate(name, m["rest"])
+            if name not in VOID and not m["rest"].endswith("/"):
                 stack.append(name + "!" * out)
                 skipped += out
                 content += name in CONTENT
         else:
-            mark = name if name in stack else name + "!"
-            if stack and (name in stack or mark in stack):
-                # close up to the nearest element of that name
-                while stack:
-                    top = stack.pop()
-                    skipped -= top.endswith("!")
-                    content -= top.rstrip("!") in CONTENT
-                    if top.rstrip("!") == name:
-                        break
+            if name in stack or name + "!" in stack:
+                pop(name)
             yield "tag", "/" + name, "", skipped > 0, content > 0
             if name not in INLINE:
                 block = "/" + name

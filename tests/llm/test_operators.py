@@ -371,6 +371,24 @@ def test_main_text(spark):
         assert (got[2], got[3], got[4], got[5]) == ("", "", "", "plain words only")
 
 
+def test_main_text_without_optional_end_tags():
+    weights = html_text.Weights({}, {})
+    weights.tag = lambda name: -0.01  # which elements are left out is tested, not where the region ends
+    cases = {
+        "<html><head><title>T</title><meta charset=utf-8><body><article><p>All of it stays here.</article>": "All of it stays here.",
+        "<head><title>T</title><style>p {}</style><p>A page without a body tag, as is allowed.": "A page without a body tag, as is allowed.",
+        "<head><title>T</title></head><body><p>With a head that is closed.": "With a head that is closed.",
+        "<article><p>First part of the text.<p class=ad>Buy this<p>Second part of the text.</article>": "First part of the text. Second part of the text.",
+        "<article><div><p>One part of the text.<p class='ad'>Buy this</div><p>Another part of the text.</article>": "One part of the text. Another part of the text.",
+        "<article><ul><li>one item of it<li class=nav-item>Home<li>two items of it<ul><li class=promo>Buy</ul> and more of them</ul><p>The end of it.</article>": "one item of it two items of it and more of them The end of it.",
+        "<article><p>Before the table<table><tr><td class=ad>Buy<td>a cell of it<tr><td>b cell of it</table><p>After the table.</article>": "Before the table a cell of it b cell of it After the table.",
+        "<article><p>Before the part.<div class=ad><p>Buy <b>this<p>now</div><p>After the part.</article>": "Before the part. After the part.",
+        "<article><ol><li>one item of it<div><ul><li>inner item of it</ul></div> rest of one</ol></article>": "one item of it inner item of it rest of one",
+    }
+    for page, text in cases.items():
+        assert html_text.extract(page, weights) == text, page
+
+
 def test_pipeline(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     packed = corpus_pipeline.run(spark, sf_dir)
