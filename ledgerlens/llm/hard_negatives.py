@@ -208,9 +208,18 @@ def prepared(rows: DataFrame, id_col: str, label_col: str, vector_col: str, scal
 
 
 def _sorted(rows: DataFrame, number: str, bits: int, *by: str | Column) -> DataFrame:
-    """The rows in that order, cut into runs of at most 2**bits rows with a number each."""
+    """The rows in that order, cut into runs of 2**bits rows with a number each, from 0 without gaps.
+
+    A row's place is its place in its partition and the rows of the partitions before it, so runs are full however many
+    partitions there are.
+    """
     placed = rows.repartitionByRange(*by).sortWithinPartitions(*by)
-    return stored(placed.withColumn(number, F.shiftright(F.monotonically_increasing_id(), bits)), number)
+    placed = stored(placed.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), number)
+    # one row per partition
+    parts = placed.groupBy("part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    return placed.join(F.broadcast(starts), "part").withColumn(number, F.shiftright(F.col("at") + F.col("shift"), bits)).drop("part", "at", "shift")
 
 
 def _named(side: str, *columns: str) -> list[Column]:
@@ -266,13 +275,12 @@ def mine(
     seeking = stored(anchors.join(wanted, "vec_id"), "seeking")
 
     of_all = _sorted(all_rows, "block", BLOCK_BITS, F.desc("length"), "vec_id")
-    longest = of_all.groupBy("block").agg(F.max("length").alias("longest"))
-    # one row per block; blocks have a dense number so that every team can list those it has to see
-    numbered = stored(longest.withColumn("n", F.row_number().over(Window.orderBy("block"))), "blocks")
+    longest = stored(of_all.groupBy("block").agg(F.max("length").alias("longest")), "blocks")
     needs = seeking.groupBy("team").agg(F.max("length").alias("reach"), F.min(F.array_min("windows.low")).alias("least"))
-    n_blocks = numbered.count()
-    listed = needs.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(max(1, n_blocks)))))
-    meet = listed.join(numbered, "n").filter(F.col("reach") * F.col("longest") * 1.000001 >= F.col("least"))
+    # every team lists the blocks and leaves out those that are too short for it
+    last = longest.agg(F.max("block")).first()[0] or 0
+    listed = needs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))))
+    meet = listed.join(longest, "block").filter(F.col("reach") * F.col("longest") * 1.000001 >= F.col("least"))
     meet = stored(meet.select("block", "team"), "meetings")
     left = of_all.join(meet, "block").select(*vector, *_named("row", "block", "team"))
     right = seeking.join(meet, "team").select(*vector, "windows", *_named("anchor", "block", "team"))
