@@ -1,9 +1,8 @@
 """Model evaluation, bootstrap comparison and the promotion decision.
 
 All metrics of all replicates come from one table: per distinct score, the weight of
-positive and of negative rows. Ranks need the scores in order, so scores are cut into
-even slices; ranks inside a slice come from a window over that slice, and the slices'
-totals (at most SLICES rows) supply what lies below.
+positive and of negative rows. Ranks need the scores in order; running sums over slices of
+that table (``scan.py``) supply what lies below each score.
 """
 
 from __future__ import annotations
@@ -13,11 +12,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions import hash_hex, normal_two_sided_p, poisson1
-from ledgerlens.operators.skew import global_slices
+from ledgerlens.operators.scan import SLICE_ROWS, running_sums
 from ledgerlens.schemas import KEY, LABEL
-
-SLICES = 4096
-SLICE_ROWS = 20_000  # a slice smaller than this is not worth a task
+from ledgerlens.session import stored
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -38,8 +35,8 @@ _FRAUD_F1 = "coalesce(try_divide(2 * tp{r}, tp{r} + fp{r} + pos{r}), 0D)"
 _LEGIT_F1 = "coalesce(try_divide(2 * (neg{r} - fp{r}), 2 * neg{r} - fp{r} + pos{r} - tp{r}), 0D)"
 
 
-def _metrics(rows: DataFrame, weights: int, threshold: float) -> DataFrame:
-    """(model, replicate, auc, f1, ...) from rows (model, slice, score, positive, w0, w1, ...).
+def _metrics(rows: DataFrame, weights: int, threshold: float, slice_rows: int) -> DataFrame:
+    """(model, replicate, auc, f1, ...) from rows (model, score, positive, w0, w1, ...).
 
     Written as SQL text: there are a dozen expressions per replicate.
     """
@@ -47,16 +44,13 @@ def _metrics(rows: DataFrame, weights: int, threshold: float) -> DataFrame:
     def per_replicate(*templates: str) -> list[Column]:
         return [F.expr(t.format(r=r)) for t in templates for r in range(weights)]
 
-    per_score = rows.groupBy("model", "slice", "score").agg(
+    per_score = rows.groupBy("model", "score").agg(
         *per_replicate("sum(if(positive, w{r}, 0)) AS p{r}", "sum(if(positive, 0, w{r})) AS n{r}")
     )
-    lower = "(PARTITION BY model, slice ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    ranked = per_score.select(
-        "*",
-        (F.col("score") > threshold).alias("flagged"),
-        *per_replicate(f"coalesce(sum(n{{r}}) OVER {lower}, 0) AS below{{r}}"),
-    )
-    per_slice = ranked.groupBy("model", "slice").agg(
+    below = {f"n{r}": f"below{r}" for r in range(weights)}
+    # the table of distinct scores is read by a count, a sample and a sort
+    ranked = running_sums(stored(per_score, "scores"), ["model"], ["score"], below, slice_rows, inclusive=False)
+    totals = ranked.withColumn("flagged", F.col("score") > threshold).groupBy("model").agg(
         *per_replicate(
             "cast(sum(p{r}) as double) AS pos{r}",
             "cast(sum(n{r}) as double) AS neg{r}",
@@ -65,15 +59,6 @@ def _metrics(rows: DataFrame, weights: int, threshold: float) -> DataFrame:
             "sum(cast(p{r} as double) * (below{r} + n{r} / 2D)) AS u{r}",
         )
     )
-    # at most SLICES rows per model from here on
-    earlier = "(PARTITION BY model ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    placed = per_slice.select(
-        "*", *per_replicate(f"coalesce(sum(neg{{r}}) OVER {earlier}, 0D) AS earlier{{r}}")
-    )
-    totals = placed.groupBy("model").agg(
-        *per_replicate(*[f"sum({c}{{r}}) AS {c}{{r}}" for c in ("pos", "neg", "tp", "fp")]),
-        *per_replicate("sum(u{r} + pos{r} * earlier{r}) AS u{r}"),
-    )
     structs = [
         _REPLICATE.format(r=r, fraud=_FRAUD_F1.format(r=r), legit=_LEGIT_F1.format(r=r))
         for r in range(weights)
@@ -91,9 +76,8 @@ def evaluate(
     """One row: exact rank AUC (ties count half), label-weighted F1, accuracy, fraud-class
     F1 and row count. No rows give no row. ``f1`` weighs both classes by size; ``fraud_f1`` is the fraud class."""
     rows = scored.select(F.col(score).alias("score"), (F.col(label) == 1).alias("positive"))
-    rows = global_slices(rows, {"score": "slice"}, SLICES, min_rows)
     rows = rows.withColumns({"model": F.lit("model"), "w0": F.lit(1)})
-    return _metrics(rows, 1, threshold).drop("model", "replicate")
+    return _metrics(rows, 1, threshold, min_rows).drop("model", "replicate")
 
 
 def confusion(scored: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -127,15 +111,10 @@ def bootstrap(
     replicates: each replicate is a weight column summed next to the others.
     """
     rows = scored.select(key, (F.col(label) == 1).alias("positive"), *scores.values())
-    slices = {column: f"__slice{i}" for i, column in enumerate(scores.values())}
-    rows = global_slices(rows, slices, SLICES, min_rows)
     rows = replicate_weights(rows, n, key)
-    per_model = [
-        F.struct(F.lit(name).alias("model"), F.col(column).alias("score"), F.col(slices[column]).alias("slice"))
-        for name, column in scores.items()
-    ]
+    per_model = [F.struct(F.lit(name).alias("model"), F.col(column).alias("score")) for name, column in scores.items()]
     rows = rows.select("positive", *[f"w{i}" for i in range(n)], F.inline(F.array(*per_model)))
-    return _metrics(rows, n, threshold)
+    return _metrics(rows, n, threshold, min_rows)
 
 
 def bootstrap_means(replicates: DataFrame) -> DataFrame:

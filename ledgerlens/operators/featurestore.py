@@ -9,7 +9,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.functions import zero_if_missing
-from ledgerlens.operators.skew import MIN_ROWS, hot_bounds, lookup_join, running_max
+from ledgerlens.operators.skew import MIN_ROWS, has_hot_key, latest_so_far, lookup_join
+from ledgerlens.session import stored
 
 
 @dataclass(frozen=True)
@@ -59,9 +60,12 @@ def asof_join(
 
     Equal event times are settled by the later creation time. A value older than its
     view's ttl is NULL. Every entity row is kept once. All views must share one source.
-    One union, one window: no row is ever paired with another, so there is no fan-out.
+    One union, one window: no row is ever paired with another, so there is no fan-out. If a key is hot,
+    the union is written once and scanned in slices.
     """
     head = views[0]
+    if any(list(v.keys) != list(head.keys) for v in views):
+        raise ValueError("views of one source must have the same keys")
     keys, fields = list(head.keys), _fields(views)
     usable = features
     for c in (*keys, head.event_ts):
@@ -71,21 +75,20 @@ def asof_join(
         F.col(head.created).cast("timestamp").alias("created"),
         *fields,
     )
-    side_f = usable.select(
-        *keys,
-        F.col(head.event_ts).cast("timestamp").alias("__ts"),
-        F.lit(0).alias("__side"),
-        latest.alias("__feature"),
-    )
-    side_e = entities.select(
-        *keys,
-        F.col(entity_ts).cast("timestamp").alias("__ts"),
-        F.lit(1).alias("__side"),
-        F.struct(*entities.columns).alias("__entity"),
-    )
+    at_feature = F.col(head.event_ts).cast("timestamp").alias("__ts")
+    at_entity = F.col(entity_ts).cast("timestamp").alias("__ts")
+    side_f = usable.select(*keys, at_feature, F.lit(0).alias("__side"), latest.alias("__feature"))
+    side_e = entities.select(*keys, at_entity, F.lit(1).alias("__side"), F.struct(*entities.columns).alias("__entity"))
+    hot = has_hot_key(side_e.select(*keys).unionByName(side_f.select(*keys)), keys, min_rows)
+    if hot:
+        # one feature row per instant, so that a heavy instant is none for the sort; requests of an instant differ
+        side_f = side_f.groupBy(*keys, "__ts", "__side").agg(F.max("__feature").alias("__feature"))
     both = side_e.unionByName(side_f, allowMissingColumns=True)
-    bounds = hot_bounds(both, keys, "__ts", min_rows)
-    found = running_max(both, keys, "__ts", "__feature", "__found", "__side", bounds=bounds)
+    order = ["__ts", "__side"]
+    if hot:
+        both = stored(both.withColumn("__tie", F.xxhash64("__entity")), "as-of")
+        order.append("__tie")
+    found = latest_so_far(both, keys, order, "__feature", "__found", hot, min_rows=min_rows)
     found = found.filter("__side = 1")
 
     seen = F.col("__found")

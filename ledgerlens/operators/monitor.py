@@ -8,7 +8,8 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlens.operators.skew import MIN_ROWS, hot_bounds, running_max
+from ledgerlens.operators.skew import MIN_ROWS, has_hot_key, latest_so_far
+from ledgerlens.session import stored
 
 
 def _text(t: timedelta) -> str:
@@ -59,13 +60,14 @@ def counter_increases(
 
     Samples of one series and instant count once, by their largest value.
     """
-    bounds = hot_bounds(samples, series, ts, min_rows)
-    if bounds is None:
+    hot = has_hot_key(samples, series, min_rows)
+    if not hot:
         # one shuffle by series serves both the grouping and the window below
         samples = samples.repartition(*series)
     once = samples.groupBy(*series, F.col(ts)).agg(F.max(value).alias(value))
     once = once.withColumn("__sample", F.struct(ts, value))
-    seen = running_max(once, series, ts, "__sample", "__previous", strict=True, bounds=bounds)
+    once = stored(once, "samples") if hot else once
+    seen = latest_so_far(once, series, [ts], "__sample", "__previous", hot, inclusive=False, min_rows=min_rows)
     before = F.col("__previous")[value]
     grown = F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
     return seen.select(*series, ts, value, F.when(before.isNotNull(), grown).alias("increase"))

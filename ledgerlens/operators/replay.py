@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
 
-from ledgerlens.operators.skew import MIN_ROWS, global_slices
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ledgerlens.operators.scan import SLICE_ROWS, numbered
 from ledgerlens.schemas import KEY, RAW
 
-SLICES = 8192
-BLOCK = 10_000
+BLOCK = 10_000  # turns of a row listed at a time
 
 
 def message_value() -> Column:
@@ -22,24 +23,16 @@ def message_value() -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def numbered(df: DataFrame, order: str, out: str = "row", total: str = "total", min_rows: int = MIN_ROWS) -> DataFrame:
-    """Add each row's 0-based rank by a unique numeric column, and the number of rows.
-
-    Ranks run inside even slices; a slice's start is the size of the slices before it. The
-    table of starts has at most SLICES rows, so it is broadcast.
-    """
-    sliced = global_slices(df, {order: "__slice"}, SLICES, min_rows)
-    sizes = sliced.groupBy("__slice").agg(F.count("*").alias("__n"))
-    earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    starts = sizes.select(
-        "__slice",
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"),
-        F.sum("__n").over(everything).alias(total),
-    )
-    rank = F.row_number().over(Window.partitionBy("__slice").orderBy(order)) - 1
-    placed = sliced.withColumn("__rank", rank).join(F.broadcast(starts), "__slice")
-    return placed.withColumn(out, F.col("__start") + F.col("__rank")).drop("__slice", "__start", "__rank")
+def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The rows up to a value that at least n rows do not exceed, a little more than n as a rule: a cut that is estimated
+    from a sketch and then counted, so that only the first rows need sorting. Missing values come first."""
+    total = df.count()
+    if n >= total:
+        return df
+    share = min(1.0, 1.02 * n / total + 0.001)
+    cut = df.agg(F.percentile_approx(order, share, 10_000)).first()[0]
+    head = df.filter((F.col(order) <= cut) | F.col(order).isNull()) if cut is not None else df
+    return head if head.count() >= n else df
 
 
 def replay(
@@ -47,19 +40,25 @@ def replay(
     limit: int | None = None,
     passes: float | None = None,
     order: str = KEY,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """(position, value): ``limit`` messages (or ``passes`` times the table), going through
     the rows in order and starting over at the end. An empty table gives no messages.
 
-    Each row works out on its own at which positions it is due.
+    Each row works out on its own at which positions it is due. A limit below the size of the table sorts no
+    more than the first rows. Turns are dealt out in blocks, so a short table replayed very often comes out of many tasks.
     """
-    rows = numbered(df, order, min_rows=min_rows)
-    wanted = F.lit(limit) if limit is not None else F.floor(F.col("total") * F.lit(float(passes)))
-    turns = F.ceil((wanted - F.col("row")) / F.col("total")) - 1
-    due = rows.withColumn("last", turns).filter("last >= 0")
-    # turns are listed in blocks, so that a short table replayed very often needs no long arrays
+    total = df.count()
+    wanted = limit if limit is not None else math.floor(total * float(passes))
+    spark = df.sparkSession
+    if not total or wanted <= 0:
+        return spark.createDataFrame([], "position long, value string")
+    rows = numbered(first_rows(df, order, wanted), [F.asc_nulls_first(order)], "row", min_rows)
+    turns = F.ceil((F.lit(wanted) - F.col("row")) / F.lit(total)) - 1
+    due = rows.withColumn("last", turns.cast("long")).filter("last >= 0")
     due = due.withColumn("block", F.explode(F.expr(f"sequence(0L, last, {BLOCK}L)")))
+    if wanted // total > BLOCK:
+        due = due.repartition("row", "block")
     due = due.withColumn("turn", F.explode(F.expr(f"sequence(block, least(block + {BLOCK - 1}L, last))")))
-    position = F.col("turn") * F.col("total") + F.col("row")
+    position = F.col("turn") * F.lit(total) + F.col("row")
     return due.select(position.alias("position"), message_value().alias("value"))

@@ -8,18 +8,15 @@ table's size. That bound is what makes collecting or broadcasting it safe.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ledgerlens.operators.scan import running_max
 
 MAX_HOT = 4096
 MIN_ROWS = 1_000_000
-GRID = 2048  # most slices per hot key
-SAMPLE = 4_000_000  # rows looked at to choose slice bounds
 
 
 class _Heavy(NamedTuple):
@@ -101,148 +98,25 @@ def lookup_join(
     return hot_rows.unionByName(join(left.join(hot, is_hot, "left_anti"), right))
 
 
-# ------------------------------------------------------------------ slices
-
-
-def bounds_below(value: Column, bounds: Column, most: int) -> Column:
-    """How many of the sorted ``bounds`` (an array column of at most ``most``) lie strictly
-    below ``value``: a binary search in about log2(most) steps."""
-    steps = F.lit([1 << k for k in reversed(range(most.bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: F.when(F.get(bounds, found + step - 1) < value, found + step).otherwise(found),
-    )
-
+def has_hot_key(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> bool:
+    """Whether some key holds more rows than one task should take."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(4 * MAX_HOT))
+    sizes = df.groupBy(bucket.alias("bucket")).count()
+    if (sizes.agg(F.max("count")).first()[0] or 0) <= min_rows:
+        return False
+    return not df.groupBy(*keys).count().filter(F.col("count") > min_rows).isEmpty()
 
-def global_slices(df: DataFrame, columns: Mapping[str, str], slices: int, min_rows: int) -> DataFrame:
-    """Cut the range of each column into even slices; ``columns`` maps it to its slice number.
 
-    There are at most ``slices`` slices, and one per ``min_rows`` rows at most. Cut points
-    come from a sample; they only balance the work, every row gets its slice.
-    """
-    n = df.count()
-    wanted = min(slices, -(-n // min_rows))
-    numbers = {out: F.lit(0) for out in columns.values()}
-    if wanted > 1:
-        grid = [i / wanted for i in range(1, wanted)]
-        sampled = df.sample(SAMPLE / n, seed=0) if n > SAMPLE else df
-        cuts = sampled.agg(*[F.percentile_approx(c, grid, 10 * wanted).alias(c) for c in columns]).first()
-        for column, out in columns.items():
-            inner = sorted({float(b) for b in cuts[column] or [] if math.isfinite(b)})
-            if inner:
-                splits = [-math.inf, *inner, math.inf]
-                cut = Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep")
-                df = cut.transform(df)
-                # NULL sorts first, so it belongs to the first slice
-                numbers[out] = F.when(F.col(column).isNull(), 0).otherwise(F.col(out).cast("int"))
-    return df.withColumns(numbers)
-
-
-def hot_bounds(df: DataFrame, keys: Sequence[str], ts: str, min_rows: int) -> DataFrame | None:
-    """Per hot key: its slice bounds in time, and the instants too heavy for one slice.
-
-    A key gets one bound per task's share of rows it holds, so all keys together have at
-    most 2 * MAX_HOT bounds. Bounds come from a sample and only balance the work.
-    """
-    heavy = _heavy_rows(df.select(*keys, ts), keys, min_rows)
-    if heavy is None:
-        return None
-    fine = min(GRID, 8 * -(-heavy.n // heavy.limit))
-    grid = [i / fine for i in range(1, fine)]
-    share = min(1.0, SAMPLE / heavy.n)
-    sampled = heavy.rows.sample(share, seed=0) if share < 1 else heavy.rows
-    stats = (
-        sampled.groupBy(*keys)
-        .agg(
-            (F.count("*") / share).alias("n"),
-            F.percentile_approx(ts, grid, 10 * fine).alias("grid"),
-        )
-        .filter(F.col("n") > heavy.limit)
-        .filter(F.col("grid").isNotNull())
-    )
-    wanted = F.least(F.lit(fine), F.ceil(F.col("n") / F.lit(heavy.limit)))
-    picked = F.transform(
-        F.sequence(F.lit(1), (wanted - 1).cast("int")),
-        lambda i: F.element_at("grid", F.greatest((i * fine / wanted).cast("int"), F.lit(1))),
-    )
-    rows = stats.select(*keys, picked.alias("picked")).collect()
-    if not rows:
-        return None
-    ts_type = df.schema[ts].dataType
-    schema = T.StructType(
-        [T.StructField(f"__{k}", df.schema[k].dataType) for k in keys]
-        + [
-            T.StructField("__bounds", T.ArrayType(ts_type)),
-            T.StructField("__heavy", T.ArrayType(ts_type)),
-        ]
-    )
-    table = []
-    for row in rows:
-        times = Counter(row["picked"])
-        repeated = [t for t, n in times.items() if n > 1]
-        table.append((*[row[k] for k in keys], sorted(times), repeated))
-    return df.sparkSession.createDataFrame(table, schema)
-
-
-def running_max(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    value: str,
-    out: str,
-    side: str | None = None,
-    strict: bool = False,
-    bounds: DataFrame | None = None,
+def latest_so_far(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, out: str, hot: bool, inclusive: bool = True, min_rows: int = MIN_ROWS
 ) -> DataFrame:
-    """``max(value)`` over rows with the same keys up to this one in (ts, side) order.
-
-    ``value`` is usually a struct that starts with the time, making this "the latest
-    row so far". With ``side``, only rows of side 1 may read ``out``, and they see
-    every side-0 row of their own instant. ``strict`` looks at earlier rows only and
-    expects one row per key and instant. ``bounds`` is what ``hot_bounds`` returned for
-    the same rows.
-
-    Without a hot key this is one window over one shuffle. A hot key is cut into time
-    slices of even size: the window runs per slice, and each slice is handed the
-    maximum of the slices before it. An instant that alone holds more than a slice is
-    a slice of its own; all its rows share one answer, so they need no window.
+    """``max(value)`` over rows with the same keys up to this one in ``order``, or before it.
+
+    ``value`` is usually a struct that starts with the time, making this "the latest row so far". Without a hot key
+    this is one window over one shuffle, with one it is a scan over slices of the sorted rows, whatever their keys.
     """
-    frame = (Window.unboundedPreceding, -1 if strict else Window.currentRow)
-    order = [ts] + ([side] if side else [])
-    if bounds is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
-        return df.withColumn(out, F.max(value).over(w))
-
-    bounds = F.broadcast(bounds)  # at most MAX_HOT rows
-    passed = bounds_below(F.col(ts), F.col("__bounds"), GRID)
-    index = F.when(F.col("__bounds").isNull(), 0).otherwise(passed)
-    instant = F.lit(False) if strict else F.coalesce(F.array_contains("__heavy", F.col(ts)), F.lit(False))
-    sliced = (
-        df.join(bounds, same_keys(df, bounds, keys, null_safe=True), "left")
-        .withColumn("__instant", instant)
-        .withColumn("__slice", 2 * index + F.col("__instant").cast("int"))
-        .withColumn("__hot", F.col("__bounds").isNotNull())
-        .drop("__bounds", "__heavy", *[f"__{k}" for k in keys])
-    )
-    tops = sliced.filter("__hot").groupBy(*keys, "__slice").agg(F.max(value).alias("__top"))
-    by_slice = Window.partitionBy(*keys).orderBy("__slice")
-    carry = tops.select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        F.col("__slice").alias("__of_slice"),
-        F.max("__top").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
-        F.max("__top").over(by_slice.rowsBetween(Window.unboundedPreceding, 0)).alias("__through"),
-    )
-    carry = F.broadcast(carry)  # slices of hot keys: a few times MAX_HOT rows at most
-
-    def with_carry(rows: DataFrame, answer: Column) -> DataFrame:
-        cond = same_keys(rows, carry, keys, null_safe=True) & (rows["__slice"] == carry["__of_slice"])
-        joined = rows.join(carry, cond & rows["__hot"], "left")
-        return joined.withColumn(out, answer).select(*df.columns, out)
-
-    w = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(*frame)
-    within = sliced.filter(~F.col("__instant")).withColumn("__within", F.max(value).over(w))
-    answered = with_carry(within, F.greatest("__within", "__before"))
-    if strict:
-        return answered
-    return answered.unionByName(with_carry(sliced.filter("__instant"), F.col("__through")))
+    if hot:
+        return running_max(df, keys, order, value, out, min_rows, inclusive)
+    end = Window.currentRow if inclusive else -1
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    return df.withColumn(out, F.max(value).over(w))

@@ -20,7 +20,7 @@ from ledgerlens.operators import scoring as S
 from ledgerlens.operators.replay import replay
 from ledgerlens.plans import derive as D
 from ledgerlens.schemas import LABEL, RAW
-from ledgerlens.session import scratch_dir
+from ledgerlens.session import scratch_dir, stored
 from ledgerlens.sources import files
 from ledgerlens import streaming
 from ledgerlens.streaming.alerts import sustained_stream
@@ -64,15 +64,6 @@ def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.with_features(cleaned(spark, sf_dir))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and go on from there, so that
-    operators that look at their input more than once do not recompute it."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def scored_by_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = X.feature_rows(featured(spark, sf_dir), "tranaction_id")
     scored = rows.select(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "ledgerlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,3 +53,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the scratch folder and go on from there: what reads it more than once does not
+    recompute it, and if an executor is lost its tasks reread the table."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

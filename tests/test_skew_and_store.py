@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import featurestore as FS
 from ledgerlens.operators import skew
-from ledgerlens.operators.replay import numbered, replay
+from ledgerlens.operators.replay import first_rows, replay
+from ledgerlens.operators.scan import numbered
 
 T0 = datetime(2024, 1, 1)
 STATS = "driver_id long, event_timestamp timestamp, created timestamp, conv_rate float, acc_rate float, avg_daily_trips long"
@@ -59,15 +60,6 @@ def test_asof_join_against_brute_force(spark, seed, min_rows):
     assert out.count() == len(entities) and got == brute_force(stats, entities)
 
 
-def test_heavy_instants_are_found(spark):
-    stats, _ = random_case(3, 2000)
-    df = spark.createDataFrame(stats, STATS).select("driver_id", F.col("event_timestamp").alias("ts"))
-    bounds = skew.hot_bounds(df, ["driver_id"], "ts", 60)
-    row = bounds.filter("__driver_id = 0").first()
-    assert row["__heavy"] == [T0 + timedelta(hours=50)] and len(row["__bounds"]) > 3
-    assert skew.hot_bounds(df, ["driver_id"], "ts", 1_000_000) is None
-
-
 def test_created_time_settles_ties_and_ttl_is_inclusive(spark):
     at = T0 + timedelta(hours=30)
     stats = spark.createDataFrame([(1, T0, T0, 0.1, 0.1, 1), (1, T0, T0 + timedelta(hours=1), 0.2, 0.2, 2)], STATS)
@@ -112,7 +104,7 @@ def test_online_features(spark, min_rows):
 def test_numbering_and_replay(spark, min_rows):
     ids = random.Random(5).sample(range(10**12), 500)
     df = spark.createDataFrame([(i,) for i in ids], "tranaction_id long").repartition(6)
-    rows = {r.tranaction_id: r.row for r in numbered(df, "tranaction_id", min_rows=min_rows).collect()}
+    rows = {r.tranaction_id: r.row for r in numbered(df, ["tranaction_id"], slice_rows=min_rows).collect()}
     assert rows == {v: i for i, v in enumerate(sorted(ids))}
 
 
@@ -132,22 +124,6 @@ def test_replay_of_nothing(spark):
     assert replay(spark.createDataFrame([], RAW), limit=5).count() == 0
 
 
-def test_bounds_below(spark):
-    bounds = sorted(random.Random(6).sample(range(1000), 77))
-    df = spark.range(-1, 1001).withColumn("b", F.lit(bounds))
-    for r in df.select("id", skew.bounds_below(F.col("id"), F.col("b"), 100).alias("n")).collect():
-        assert r.n == sum(b < r.id for b in bounds)
-
-
-def test_global_slices_keep_order(spark):
-    rng = random.Random(7)
-    values = [None, float("nan"), float("-inf"), float("inf")] + [rng.gauss(0, 1) for _ in range(1000)]
-    df = spark.createDataFrame([(v, 1.0) for v in values], "v double, flat double")
-    rows = skew.global_slices(df, {"v": "a", "flat": "b"}, 50, 20).orderBy("v").collect()
-    numbers = [r.a for r in rows]
-    assert numbers == sorted(numbers) and len(set(numbers)) > 40 and len({r.b for r in rows}) == 1
-
-
 def test_lookup_join_hot_keys(spark):
     left = spark.createDataFrame([(None if i % 3 == 0 else i % 10, i) for i in range(300)], "k int, v int")
     right = spark.createDataFrame([(k, str(k)) for k in [*range(5), None]], "k int, name string")
