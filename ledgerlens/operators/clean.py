@@ -49,9 +49,13 @@ def clean(raw: DataFrame, stable: bool = True) -> DataFrame:
     return keep_one_per_id(valid) if stable else keep_any_per_id(valid)
 
 
-def clean_addition(raw: DataFrame, existing: DataFrame, key: str = KEY) -> DataFrame:
-    """Cleaned rows of ``raw`` whose id is not among ``existing`` rows; a missing id counts
-    as one id. Only the ids of the existing rows are read and shuffled."""
-    known = existing.select(F.col(key).alias("__known"))
-    fresh = clean(raw)
-    return fresh.join(known, fresh[key].eqNullSafe(known["__known"]), "left_anti")
+def merged_survivors(fresh: DataFrame, existing: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
+    """(survivors, replaced) when cleaned rows join cleaned rows of earlier files.
+
+    ``survivors`` holds one row for each id of ``fresh``, the same one that cleaning all files together keeps: the smallest
+    of a set is the smaller of its parts' smallest. ``replaced`` are the existing rows of these ids. A missing id counts as one
+    id. Existing rows of other ids are looked up by id only and not shuffled again where Spark can filter them first.
+    """
+    ids = fresh.select(F.col(key).alias("__id"))
+    replaced = existing.join(ids, existing[key].eqNullSafe(ids["__id"]), "left_semi")
+    return keep_one_per_id(fresh.unionByName(replaced), key), replaced

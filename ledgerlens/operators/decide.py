@@ -111,17 +111,24 @@ def reliability(scored: DataFrame, label: str = LABEL, score: str = "probability
     )
 
 
-def _pooled(bands: pd.DataFrame) -> pd.DataFrame:
-    """Neighbouring bands put together until fraud rates grow from band to band; the bands come in order of score."""
-    kept: list[list] = []
-    for low, high, rows, frauds in zip(bands["low"], bands["high"], bands["rows"], bands["frauds"]):
-        kept.append([low, high, int(rows), int(frauds)])
-        while len(kept) > 1 and kept[-2][3] * kept[-1][2] >= kept[-1][3] * kept[-2][2]:
-            _, high_, rows_, frauds_ = kept.pop()
-            kept[-1][1:] = [high_, kept[-1][2] + rows_, kept[-1][3] + frauds_]
-    out = pd.DataFrame(kept, columns=["low", "high", "rows", "frauds"])
-    out.insert(0, "slice", np.int64(bands["slice"].iloc[0] // FAN_IN))
-    return out
+def _pooling(fan_in: int):
+    """A function for tasks, which need not have this package: neighbouring bands put together until fraud rates grow from
+    band to band."""
+
+    def pooled(bands: pd.DataFrame) -> pd.DataFrame:
+        bands = bands.sort_values("low")
+        kept: list[list] = []
+        for low, high, rows, frauds in zip(bands["low"], bands["high"], bands["rows"], bands["frauds"]):
+            kept.append([low, high, int(rows), int(frauds)])
+            while len(kept) > 1 and kept[-2][3] * kept[-1][2] >= kept[-1][3] * kept[-2][2]:
+                _, high_, rows_, frauds_ = kept.pop()
+                kept[-1][1:] = [high_, kept[-1][2] + rows_, kept[-1][3] + frauds_]
+        out = pd.DataFrame(kept, columns=["low", "high", "rows", "frauds"])
+        # the number of the group in which this list meets its neighbours
+        out.insert(0, "slice", np.int64(bands["slice"].iloc[0] // fan_in))
+        return out
+
+    return pooled
 
 
 def reliability_bands(scored: DataFrame, label: str = LABEL, score: str = "probability", slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -134,13 +141,9 @@ def reliability_bands(scored: DataFrame, label: str = LABEL, score: str = "proba
     rows = F.col("frauds") + F.col("legitimate")
     bands = sliced.select(F.col(SLICE).cast("long").alias("slice"), F.col("score").alias("low"), F.col("score").alias("high"), rows.alias("rows"), "frauds")
 
-    def pooled(group: pd.DataFrame) -> pd.DataFrame:
-        return _pooled(group.sort_values("low"))
-
     slices = sliced.agg(F.max(SLICE)).first()[0] or 0
     while True:
-        # each list is handed on under the number of the lists it will meet
-        bands = stored(bands.groupBy("slice").applyInPandas(pooled, BANDS), "bands")
+        bands = stored(bands.groupBy("slice").applyInPandas(_pooling(FAN_IN), BANDS), "bands")
         if not slices:
             break
         slices //= FAN_IN

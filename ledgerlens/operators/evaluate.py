@@ -96,6 +96,14 @@ def replicate_weights(df: DataFrame, n: int, key: str = KEY) -> DataFrame:
     return df.withColumns(blocks).withColumns(draws).drop(*blocks)
 
 
+def resample(df: DataFrame, replicate: int = 0, key: str = KEY) -> DataFrame:
+    """The rows of one resample with replacement: each row as often as its weight says, with the ``copy`` from 0 on."""
+    weighted = replicate_weights(df, replicate + 1, key)
+    weight = f"w{replicate}"
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(weight) - 1))
+    return weighted.filter(F.col(weight) > 0).select(*df.columns, copies.alias("copy"))
+
+
 def bootstrap(
     scored: DataFrame,
     scores: Mapping[str, str],

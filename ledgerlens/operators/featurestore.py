@@ -122,6 +122,37 @@ def historical_features(
     return on_demand(out) if on_demand else out
 
 
+def write_source(features: DataFrame, path: str, event_ts: str = "event_timestamp") -> None:
+    """Write a feature table by date of its events, so that readers skip the dates they cannot need."""
+    dated = features.withColumn("event_date", F.to_date(event_ts))
+    dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
+
+
+def features_from_files(
+    entities: DataFrame, paths: dict[str, str], views: Sequence[FeatureView], entity_ts: str = "event_timestamp", min_rows: int = MIN_ROWS
+) -> DataFrame:
+    """``historical_features`` with the sources named by the paths of ``write_source``.
+
+    The times of the entities bound what is read: no date after the last of them, and none that all views of the source find
+    too old for the first. One small aggregate finds the two.
+    """
+    spark = entities.sparkSession
+    at = F.col(entity_ts).cast("timestamp")
+    first, last = entities.agg(F.min(at), F.max(at)).first()
+    sources = {}
+    for source, group in _by_source(views).items():
+        rows = spark.read.parquet(paths[source])
+        if last is None:
+            rows = rows.limit(0)
+        else:
+            rows = rows.filter(F.col("event_date") <= F.to_date(F.lit(last)))
+            if all(v.ttl is not None for v in group):
+                oldest = F.lit(first) - F.lit(max(v.ttl for v in group))
+                rows = rows.filter(F.col("event_date") >= F.to_date(oldest))
+        sources[source] = rows.drop("event_date")
+    return historical_features(entities, sources, views, entity_ts=entity_ts, min_rows=min_rows)
+
+
 def latest_features(
     features: DataFrame,
     views: Sequence[FeatureView],

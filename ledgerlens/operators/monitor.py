@@ -21,6 +21,25 @@ def window_of(ts: str, length: timedelta, step: timedelta | None = None) -> Colu
     return F.window(ts, _text(length), _text(step) if step else None)
 
 
+def _sliding(events: DataFrame, ts: str, length: timedelta, step: timedelta, by: Sequence[str], value: Column) -> DataFrame:
+    """(w, by..., total): sums over sliding windows of a table, put together from the sums of one step each.
+
+    Rows are summed once per step, their *pane*; only panes are copied to the windows they belong to.
+    """
+    width, hop = int(length.total_seconds()), int(step.total_seconds())
+    panes = events.groupBy(window_of(ts, step).alias("pane"), *by).agg(value.alias("part"))
+    offsets = F.array(*[F.lit(k * hop) for k in range(width // hop)])
+    copies = panes.select(*by, "part", F.unix_seconds("pane.start").alias("at"), F.explode(offsets).alias("back"))
+    start = F.timestamp_seconds(F.col("at") - F.col("back"))
+    window = F.struct(start.alias("start"), F.timestamp_seconds(F.col("at") - F.col("back") + width).alias("end"))
+    return copies.groupBy(window.alias("w"), *by).agg(F.sum("part").alias("total"))
+
+
+def _in_panes(df: DataFrame, length: timedelta, step: timedelta | None) -> bool:
+    """Whether windows are made of whole steps; a stream has its own windows."""
+    return step is not None and not df.isStreaming and step < length and length % step == timedelta(0)
+
+
 def event_rate(
     events: DataFrame,
     ts: str,
@@ -30,7 +49,10 @@ def event_rate(
 ) -> DataFrame:
     """Events per second in each window (and category). Batch or stream; on a stream set a
     watermark first."""
-    grouped = events.groupBy(window_of(ts, length, step).alias("w"), *by).agg(F.count("*").alias("events"))
+    if _in_panes(events, length, step):
+        grouped = _sliding(events, ts, length, step, by, F.count("*")).withColumnRenamed("total", "events")
+    else:
+        grouped = events.groupBy(window_of(ts, length, step).alias("w"), *by).agg(F.count("*").alias("events"))
     return grouped.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
@@ -81,9 +103,11 @@ def counter_rate(
     ts: str = "ts",
 ) -> DataFrame:
     """Increase per second in each window. No extrapolation to the window's edges."""
-    grouped = increases.groupBy(window_of(ts, length, step).alias("w"), *by).agg(
-        (F.sum("increase") / length.total_seconds()).alias("per_second")
-    )
+    if _in_panes(increases, length, step):
+        grouped = _sliding(increases, ts, length, step, by, F.sum("increase"))
+    else:
+        grouped = increases.groupBy(window_of(ts, length, step).alias("w"), *by).agg(F.sum("increase").alias("total"))
+    grouped = grouped.withColumn("per_second", F.col("total") / length.total_seconds())
     return grouped.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "per_second"
     )

@@ -11,9 +11,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlens.functions import decide, linear, logistic
+from ledgerlens.functions import decide, linear, logistic, strict_timestamp_or_null
 from ledgerlens.operators.evaluate import evaluate
-from ledgerlens.operators.features import feature_rows, hash_split
+from ledgerlens.operators.features import feature_rows, hash_split, with_features
 from ledgerlens.schemas import COEFFICIENT_FILE, FEATURES, LABEL
 
 # The training parameters.
@@ -56,6 +56,27 @@ SHIPPED = Coefficients(
 )
 
 
+def score_requests(requests: DataFrame, model: Coefficients = SHIPPED) -> tuple[DataFrame, DataFrame]:
+    """(responses, rejects) for requests (transaction_id, tx_amount, tx_datetime), the time as text.
+
+    A response has the request's id, which may be missing, the prediction and the probability to six digits. A request without
+    an amount or whose time is not exactly ``yyyy-MM-dd HH:mm:ss`` is rejected, with the reason beside its columns.
+    Batch or stream; no shuffle.
+    """
+    amount = F.col("tx_amount").cast("double")
+    at = strict_timestamp_or_null(F.col("tx_datetime"))
+    reason = (
+        F.when(amount.isNull() | F.isnan(amount), "no amount")
+        .when(F.col("tx_datetime").isNull(), "no time")
+        .when(at.isNull(), "unreadable time")
+    )
+    judged = requests.withColumn("reason", reason)
+    rejects = judged.filter("reason is not null").select("transaction_id", "tx_amount", "tx_datetime", "reason")
+    scored = model.score(with_features(judged.filter("reason is null").withColumn("tx_datetime", at)))
+    responses = scored.select("transaction_id", "prediction", F.round("probability", 6).alias("fraud_probability"))
+    return responses, rejects
+
+
 def pipeline(handle_invalid: str = "error") -> Pipeline:
     """Assemble the five features, then logistic regression. Inputs must be complete:
     batches drop incomplete rows first and streams route them away."""

@@ -8,20 +8,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlens.operators import clean as C
+from ledgerlens.operators import decide as Z
 from ledgerlens.operators import evaluate as E
 from ledgerlens.operators import features as X
 from ledgerlens.operators import featurestore as FS
+from ledgerlens.operators import history as H
 from ledgerlens.operators import monitor as M
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import scoring as S
 from ledgerlens.operators.replay import replay
 from ledgerlens.plans import derive as D
+from ledgerlens.plans import jobs
 from ledgerlens.schemas import LABEL, RAW
 from ledgerlens.session import scratch_dir, stored
-from ledgerlens.sources import files
+from ledgerlens.sources import files, manifest
 from ledgerlens import streaming
 from ledgerlens.streaming.alerts import sustained_stream
 
@@ -30,6 +33,8 @@ QUERIES: dict[str, Query] = {}
 
 HOUR = timedelta(hours=1)
 LATENCY_BOUNDS = [10.0, 25.0, 50.0, 100.0, 250.0, 500.0]
+SCORE_BOUNDS = [0.1, 0.25, 0.5, 0.75, 0.9]
+SALT = "pepper"
 REPLICATES = 10
 VIEWS = [FS.DRIVER_EFFICIENCY, FS.DRIVER_ACTIVITY]
 SHORT_VIEWS = [
@@ -56,6 +61,11 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
+def _off_ties(column: str) -> Column:
+    """Moved off the middle between two rounded values, where means of cents often lie."""
+    return (F.col(column) + 1e-9).alias(column)
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.clean(D.raw_transactions(spark, sf_dir))
 
@@ -148,12 +158,13 @@ def new_files(spark, sf_dir):
 
 @query
 def manifest_update(spark, sf_dir):
-    """Old manifest and new files, written as a new version and read back."""
+    """Old files and new ones, committed as two versions and read back."""
     ev = D.events(spark, sf_dir)
     old = _manifest(ev)
-    merged = files.extended_manifest(old, files.new_files(D.daily_files(ev), old))
-    path = files.write_manifest(merged, scratch_dir(spark, "manifest"), version=1)
-    return files.read_manifest(spark, path)
+    folder = scratch_dir(spark, "manifest")
+    manifest.commit(old, folder, version=1)
+    manifest.commit(files.new_files(D.daily_files(ev), old), folder, version=2)
+    return manifest.latest(spark, folder)[0]
 
 
 @query
@@ -180,6 +191,18 @@ def clean_any_survivor_ids(spark, sf_dir):
     return C.clean(D.raw_transactions(spark, sf_dir), stable=False).select("tranaction_id")
 
 
+@query
+def incremental_cleaning(spark, sf_dir):
+    """Rows of odd hours cleaned first, those of even hours added: copies, an hour apart, come in either order."""
+    raw = D.raw_transactions(spark, sf_dir)
+    path, out = scratch_dir(spark, "raw"), scratch_dir(spark, "cleaned")
+    hour = F.pmod(F.floor(F.col("tx_time_seconds") / 3600), F.lit(2))
+    files.write_raw(raw.withColumn("half", hour), path, ["half"])
+    jobs.clean_files(spark, f"{path}/half=1", out)
+    jobs.add_to_clean(spark, f"{path}/half=0", out)
+    return comparable(files.read_clean(spark, out).drop("tx_date"))
+
+
 @query
 def time_features(spark, sf_dir):
     return comparable(X.feature_rows(featured(spark, sf_dir), "tranaction_id"))
@@ -192,6 +215,52 @@ def hash_split_sides(spark, sf_dir):
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
+@query
+def time_split_sides(spark, sf_dir):
+    """Train, valid and test by time, cut where exactly 70 and 85 percent of the rows have happened."""
+    rows = stored(cleaned(spark, sf_dir).select("tranaction_id", "tx_datetime"), "times")
+    return H.time_split(rows, "tx_datetime").select("tranaction_id", "side")
+
+
+@query
+def customer_history(spark, sf_dir):
+    """Per transaction how many the customer has made in seven days, and their mean amount."""
+    rows = stored(cleaned(spark, sf_dir).select("tranaction_id", "customer_id", "tx_datetime", "tx_amount"), "amounts")
+    found = H.with_trailing(rows, ["customer_id"], "tx_datetime", "tx_amount", "week")
+    return comparable(found.select("tranaction_id", "customer_id", "week_n", _off_ties("week_mean")))
+
+
+@query
+def terminal_history(spark, sf_dir):
+    """The same per terminal, with narrow slices and every busy terminal on the path for hot keys."""
+    rows = stored(cleaned(spark, sf_dir).select("tranaction_id", "terminal_id", "tx_datetime", "tx_amount"), "amounts")
+    found = H.with_trailing(rows, ["terminal_id"], "tx_datetime", "tx_amount", "week", width=H.WEEK, min_rows=20)
+    return comparable(found.select("tranaction_id", "terminal_id", "week_n", _off_ties("week_mean")))
+
+
+@query
+def amount_drift(spark, sf_dir):
+    """Stability index of each week's amounts against those of the first ten days."""
+    rows = stored(cleaned(spark, sf_dir).select("tx_datetime", "tx_amount"), "amounts")
+    week, early = F.date_trunc("week", "tx_datetime"), F.col("tx_datetime") < "2024-01-11"
+    return comparable(H.drift(rows, week, "tx_amount", LATENCY_BOUNDS, early))
+
+
+@query
+def score_drift(spark, sf_dir):
+    """The same for the champion's scores, which fall and rise with the share of night hours."""
+    rows = stored(D.CHAMPION.score(featured(spark, sf_dir)).select("tx_datetime", "probability"), "scores")
+    week, early = F.date_trunc("week", "tx_datetime"), F.col("tx_datetime") < "2024-01-11"
+    return comparable(H.drift(rows, week, "probability", SCORE_BOUNDS, early))
+
+
+@query
+def pseudonymous_customers(spark, sf_dir):
+    """Transactions per customer, the id replaced by a salted hash."""
+    rows = cleaned(spark, sf_dir).withColumn("customer", H.pseudonym(F.col("customer_id"), SALT))
+    return Q.counts_by(rows, "customer")
+
+
 # ------------------------------------------------------------ data quality
 
 
@@ -280,6 +349,16 @@ def point_in_time_hot_keys(spark, sf_dir):
     return comparable(FS.asof_join(D.entity_rows(ev), D.driver_stats(ev), SHORT_VIEWS, min_rows=10))
 
 
+@query
+def point_in_time_from_files(spark, sf_dir):
+    """The same with lifetimes, from a source written by date and read by path."""
+    ev = D.events(spark, sf_dir)
+    path = scratch_dir(spark, "features")
+    FS.write_source(D.driver_stats(ev), path)
+    asked = D.entity_rows(ev).filter("event_timestamp >= '2024-01-20'")
+    return comparable(FS.features_from_files(asked, {"driver_stats": path}, SHORT_VIEWS))
+
+
 @query
 def latest_feature_values(spark, sf_dir):
     ev = D.events(spark, sf_dir)
@@ -403,6 +482,91 @@ def latest_two_versions(spark, sf_dir):
     return E.latest_two_versions(D.model_versions(D.events(spark, sf_dir)))
 
 
+@query
+def resampled_rows(spark, sf_dir):
+    """One bootstrap resample as rows."""
+    return E.resample(cleaned(spark, sf_dir).select("tranaction_id"), replicate=3)
+
+
+# ------------------------------------------------------------ thresholds and decisions
+
+
+def _curve(spark, sf_dir) -> DataFrame:
+    """The decision curve of scores to four digits, so that many rows share a score."""
+    return Z.decision_curve(_rounded(spark, sf_dir), slice_rows=500)
+
+
+def _rounded(spark, sf_dir, digits: int = 4) -> DataFrame:
+    return stored(scored_by_both(spark, sf_dir).withColumn("probability", F.round("champion_p", digits)), "rounded")
+
+
+@query
+def decision_curve(spark, sf_dir):
+    return _curve(spark, sf_dir)
+
+
+@query
+def recall_at_five_percent(spark, sf_dir):
+    """The most recall with at most one in twenty legitimate transactions flagged."""
+    return comparable(Z.recall_at(_curve(spark, sf_dir), 0.05))
+
+
+@query
+def average_precision(spark, sf_dir):
+    return comparable(Z.average_precision(_curve(spark, sf_dir)))
+
+
+@query
+def best_threshold(spark, sf_dir):
+    """The threshold of greatest expected value under the same bound."""
+    return comparable(Z.best_threshold(_curve(spark, sf_dir), saved=100.0, checked=10.0, declined=5.0))
+
+
+@query
+def brier_score(spark, sf_dir):
+    return comparable(Z.brier_score(scored_by_both(spark, sf_dir), score="champion_p"))
+
+
+@query
+def reliability_bins(spark, sf_dir):
+    return comparable(Z.reliability(_rounded(spark, sf_dir)))
+
+
+@query
+def reliability_bands(spark, sf_dir):
+    """Bands pooled by isotonic regression over scores to two digits, from many slices."""
+    return comparable(Z.reliability_bands(_rounded(spark, sf_dir, 2), slice_rows=5))
+
+
+@query
+def precision_at_100(spark, sf_dir):
+    return comparable(Z.precision_at(_rounded(spark, sf_dir), 100))
+
+
+@query
+def loss_report(spark, sf_dir):
+    """Lost amounts and declined legitimate transactions per day, week and month after routing by two thresholds."""
+    routed = Z.routed(D.CHAMPION.score(featured(spark, sf_dir)), review_from=0.5, decline_from=0.9)
+    return comparable(Z.loss_report(routed, "tx_datetime", "tx_amount"), 4)
+
+
+@query
+def routed_decisions(spark, sf_dir):
+    routed = Z.routed(D.CHAMPION.score(featured(spark, sf_dir)), review_from=0.5, decline_from=0.9)
+    return routed.groupBy("decision", LABEL).agg(F.count("*").alias("rows"))
+
+
+@query
+def request_responses(spark, sf_dir):
+    """Requests scored by the shipped coefficients; some lack an id."""
+    return S.score_requests(D.requests(spark, sf_dir))[0]
+
+
+@query
+def request_rejects(spark, sf_dir):
+    return comparable(S.score_requests(D.requests(spark, sf_dir))[1])
+
+
 # ------------------------------------------------------------ messages and streams
 
 

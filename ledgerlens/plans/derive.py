@@ -81,6 +81,14 @@ def messages_from(events: DataFrame) -> DataFrame:
     return rows.select(text.cast("binary").alias("value"), "timestamp")
 
 
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests from raw transactions: every 50th lacks its id, every 79th its amount."""
+    no_id = F.when(F.col("tranaction_id") % 50 != 0, F.col("tranaction_id"))
+    no_amount = F.when(F.col("tranaction_id") % 79 != 0, F.col("tx_amount"))
+    rows = raw_transactions(spark, sf_dir)
+    return rows.select(no_id.alias("transaction_id"), no_amount.alias("tx_amount"), "tx_datetime")
+
+
 def driver_stats(events: DataFrame) -> DataFrame:
     """Feature rows; event times are cut to the hour, so that equal times occur."""
     return events.filter("event_type = 'view'").select(

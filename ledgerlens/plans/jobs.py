@@ -13,38 +13,60 @@ from ledgerlens.operators import evaluate as E
 from ledgerlens.operators import features as X
 from ledgerlens.operators import scoring as S
 from ledgerlens.operators.replay import replay
-from ledgerlens.schemas import FEATURES, LABEL
-from ledgerlens.session import scratch_dir
-from ledgerlens.sources import files, kafka
+from ledgerlens.schemas import FEATURES, KEY, LABEL
+from ledgerlens.session import pin_utc, scratch_dir, stored
+from ledgerlens.sources import files, kafka, manifest
 
 
 def clean_files(spark: SparkSession, paths: str | list[str], out: str) -> None:
     """Raw files to cleaned Parquet by date, replacing what was there."""
+    pin_utc(spark)
     files.write_clean(C.clean(files.read_raw(spark, paths)), out)
 
 
+def add_to_clean(spark: SparkSession, paths: str | list[str], out: str) -> None:
+    """Clean raw files into ``out``, which holds the cleaned rows of other files: as if all had been cleaned together.
+
+    Only dates that get or lose a row are written anew. Repeating a run, or a run that died while it replaced dates,
+    changes nothing that is right already.
+    """
+    pin_utc(spark)
+    existing = files.read_clean(spark, out)
+    fresh = stored(C.clean(files.read_raw(spark, paths)), "fresh")
+    columns = fresh.columns
+    survivors, replaced = C.merged_survivors(fresh, existing.select(*columns))
+    survivors, replaced = stored(survivors, "survivors"), stored(replaced, "replaced")
+    touched = survivors.select(F.to_date("tx_datetime").alias("d")).union(replaced.select(F.to_date("tx_datetime")))
+    dates = [r["d"] for r in touched.distinct().collect()]  # one per date
+    if not dates:
+        return
+    ids = fresh.select(F.col(KEY).alias("__id"))
+    kept = existing.filter(F.col("tx_date").isin(dates)).select(*columns)
+    kept = kept.join(ids, kept[KEY].eqNullSafe(ids["__id"]), "left_anti")
+    whole = stored(kept.unionByName(survivors), "dates")
+    files.replace_dates(whole, out, [str(d) for d in dates])
+
+
 def clean_new_files(
     spark: SparkSession, folder: str, out: str, manifest_folder: str, incremental: bool = False
 ) -> bool:
     """Run the cleaning if the folder holds files the manifest lacks; True if it ran.
 
-    By default everything is cleaned again. ``incremental`` reads the new files only and
-    appends rows whose id is not in ``out`` yet, so that repeating a run that failed before
-    the manifest was written adds nothing twice.
+    By default everything is cleaned again. ``incremental`` reads the new files only and gives the same rows. The files
+    are committed to the manifest last; a run that failed before is repeated by the next one, and of two runs at once
+    the later one is told by ``manifest.VersionTaken``.
     """
     listing = files.list_files(spark, folder)
-    manifest, version = files.latest_manifest(spark, manifest_folder)
-    names = [r["file"] for r in files.new_files(listing, manifest).collect()]  # names only
-    if not names:
+    known, version = manifest.latest(spark, manifest_folder)
+    added = stored(files.new_files(listing, known), "new-files")
+    if added.isEmpty():
         return False
     if incremental and version:
-        raw = files.read_raw(spark, [os.path.join(folder, n) for n in names])
-        added = C.clean_addition(raw, files.read_clean(spark, out))
-        files.write_clean(added, out, mode="append")
+        # the reader takes its paths from the driver; only the new ones are listed
+        add_to_clean(spark, [os.path.join(folder, r["file"]) for r in added.collect()], out)
     else:
         clean_files(spark, os.path.join(folder, "*.txt"), out)
-    added_names = spark.createDataFrame([(n,) for n in names], "file string")
-    files.write_manifest(files.extended_manifest(manifest, added_names), manifest_folder, version + 1)
+    manifest.commit(added, manifest_folder, version + 1)
     return True
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ledgerlens.functions import poisson1_thresholds
 from ledgerlens.operators.scoring import SHIPPED, Coefficients
 from ledgerlens.plans.derive import CANDIDATE, CHAMPION
-from ledgerlens.plans.catalog import LATENCY_BOUNDS, REPLICATES
+from ledgerlens.plans.catalog import LATENCY_BOUNDS, REPLICATES, SALT, SCORE_BOUNDS
 from ledgerlens.schemas import FEATURES, RAW
 
 ORACLES: dict[str, str] = {}
@@ -229,6 +229,52 @@ PARTS["runs"] = """
         FROM (SELECT at_, epoch(at_) / 3600 - row_number() OVER (ORDER BY at_) AS run FROM met)
         GROUP BY run"""
 
+PARTS["r4"] = "SELECT tranaction_id, tx_fraud, tx_fraud = 1 AS fraud, round(champion_p, 4) AS p FROM sc"
+PARTS["r2"] = "SELECT round(champion_p, 2) AS p, count(*) AS n, count(*) FILTER (tx_fraud = 1) AS f FROM sc GROUP BY 1"
+PARTS["curve"] = """
+        SELECT p AS score, count(*) FILTER (fraud) AS frauds, count(*) FILTER (NOT fraud) AS legitimate,
+               CAST(sum(count(*) FILTER (fraud)) OVER w AS BIGINT) AS caught,
+               CAST(sum(count(*) FILTER (NOT fraud)) OVER w AS BIGINT) AS false_alarms
+        FROM r4 GROUP BY p WINDOW w AS (ORDER BY p DESC)"""
+PARTS["rates"] = """
+        SELECT *, caught / (SELECT max(caught) FROM curve) AS recall, caught / (caught + false_alarms) AS precision,
+               false_alarms / (SELECT max(false_alarms) FROM curve) AS false_alarm_rate
+        FROM curve"""
+# the greatest of the least means over all stretches that hold a score: isotonic regression by its definition
+PARTS["sums"] = """
+        SELECT p, n, f, row_number() OVER (ORDER BY p) AS i, sum(n) OVER (ORDER BY p) AS un, sum(f) OVER (ORDER BY p) AS uf FROM r2"""
+PARTS["fitted"] = """
+        SELECT p, n, f, max(least_mean) AS fit
+        FROM (SELECT x.p, x.n, x.f, a.i, min((b.uf - a.uf + a.f) / (b.un - a.un + a.n)) AS least_mean
+              FROM sums x JOIN sums a ON a.i <= x.i JOIN sums b ON b.i >= x.i GROUP BY ALL)
+        GROUP BY p, n, f"""
+
+
+def _psi(relation: str, value: str, bounds) -> str:
+    """The stability index per week against the first ten days."""
+    arms = " ".join(f"WHEN {value} < {b!r} THEN {i}" for i, b in enumerate(bounds))
+    return f"""
+        SELECT strftime(period, {STAMP}) AS period, CAST(any_value(rows) AS BIGINT) AS rows, round(sum(
+                   CASE WHEN n = 0 AND b = 0 THEN 0
+                        ELSE (greatest(n, 0.5) / rows - greatest(b, 0.5) / total)
+                             * ln((greatest(n, 0.5) / rows) / (greatest(b, 0.5) / total)) END), 6) AS psi
+        FROM (SELECT period, bin, count(*) FILTER (own = bin)::DOUBLE AS n, count(*)::DOUBLE AS rows
+              FROM (SELECT date_trunc('week', tx_datetime)::TIMESTAMP AS period, CASE {arms} ELSE {len(bounds)} END AS own FROM {relation}),
+                   (SELECT unnest(range({len(bounds) + 1})) AS bin)
+              GROUP BY ALL)
+        JOIN (SELECT bin, count(*) FILTER (own = bin)::DOUBLE AS b, count(*)::DOUBLE AS total
+              FROM (SELECT CASE {arms} ELSE {len(bounds)} END AS own FROM {relation} WHERE tx_datetime < '2024-01-11'),
+                   (SELECT unnest(range({len(bounds) + 1})) AS bin)
+              GROUP BY ALL) USING (bin)
+        GROUP BY period"""
+
+
+def _history(key: str) -> str:
+    return f"""
+        SELECT tranaction_id, {key}, count(*) OVER w AS week_n, round(avg(tx_amount) OVER w + 1e-9, 6) AS week_mean
+        FROM clean WINDOW w AS (PARTITION BY {key} ORDER BY tx_datetime RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)"""
+
+
 PARENTS = {
     "shifted": ["ev"], "raw": ["shifted"], "valid": ["raw"], "clean": ["valid"], "feat": ["clean"],
     "champ": ["feat"], "manifest": ["ev"], "listing": ["ev"], "stats": ["ev"], "stats1": ["stats"],
@@ -238,7 +284,8 @@ PARENTS = {
     "msg": ["raw"], "mrow": ["msg"], "mfeat": ["mrow"], "samples": ["ev"], "grown": ["samples"],
     "hist": ["ev"], "bsamples": ["ev", "bounds"], "bgrown": ["bsamples"], "brates": ["bgrown"],
     "steps": ["grown"], "limits": ["ev"], "usage": ["steps", "limits"], "replicas": ["ev"],
-    "met": ["replicas", "usage"], "runs": ["met"],
+    "met": ["replicas", "usage"], "runs": ["met"], "r4": ["sc"], "r2": ["sc"], "curve": ["r4"], "rates": ["curve"],
+    "sums": ["r2"], "fitted": ["sums"],
 }
 
 
@@ -451,3 +498,70 @@ oracle("cpu_utilisation", "usage", f"""
 oracle("overload_alert", "runs", f"""
     SELECT 'api' AS deployment, strftime(since, {STAMP}) AS since, strftime(until, {STAMP}) AS until, steps
     FROM runs WHERE until - since >= INTERVAL 5 HOUR""")
+
+
+# ------------------------------------------------------------ thresholds, history, incremental work
+
+oracle("incremental_cleaning", "clean", _clean_rows("clean"))
+oracle("time_split_sides", "clean", """
+    SELECT tranaction_id, CASE WHEN tx_datetime <= (SELECT quantile_disc(tx_datetime, 0.7) FROM clean) THEN 'train'
+                               WHEN tx_datetime <= (SELECT quantile_disc(tx_datetime, 0.85) FROM clean) THEN 'valid' ELSE 'test' END AS side
+    FROM clean""")
+oracle("customer_history", "clean", _history("customer_id"))
+oracle("terminal_history", "clean", _history("terminal_id"))
+oracle("amount_drift", "clean", _psi("clean", "tx_amount", LATENCY_BOUNDS))
+oracle("score_drift", "champ", _psi("champ", "p", SCORE_BOUNDS))
+oracle("pseudonymous_customers", "clean", f"""
+    SELECT sha256('{SALT}:' || CAST(customer_id AS VARCHAR)) AS customer, count(*) AS rows FROM clean GROUP BY customer_id""")
+oracle("resampled_rows", "weighted", """
+    SELECT tranaction_id, unnest(range(w)) AS copy FROM weighted WHERE replicate = 3 AND w > 0""")
+oracle("decision_curve", "curve", "SELECT * FROM curve")
+oracle("recall_at_five_percent", "rates", """
+    SELECT score AS threshold, round(recall, 6) AS recall, round(false_alarm_rate, 6) AS false_alarm_rate
+    FROM rates WHERE false_alarm_rate <= 0.05 ORDER BY caught DESC, score DESC LIMIT 1""")
+oracle("average_precision", "rates", "SELECT round(sum(frauds * precision) / sum(frauds), 6) AS average_precision FROM rates")
+oracle("best_threshold", "rates", """
+    SELECT score AS threshold, value, round(recall, 6) AS recall, round(precision, 6) AS precision,
+           round(false_alarm_rate, 6) AS false_alarm_rate, caught + false_alarms AS flagged
+    FROM (SELECT *, caught * 100.0::DOUBLE - (caught + false_alarms) * 10 - false_alarms * 5 AS value FROM rates)
+    WHERE false_alarm_rate <= 0.05 ORDER BY value DESC, score DESC LIMIT 1""")
+oracle("brier_score", "sc", "SELECT count(*) AS rows, round(avg((champion_p - tx_fraud) ** 2), 6) AS brier FROM sc")
+oracle("reliability_bins", "r4", """
+    SELECT CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, count(*) AS rows, round(avg(p), 6) AS mean_score,
+           round(avg(tx_fraud), 6) AS fraud_rate
+    FROM r4 GROUP BY 1""")
+oracle("reliability_bands", "fitted", """
+    SELECT min(p) AS low, max(p) AS high, CAST(sum(n) AS BIGINT) AS rows, round(sum(f) / sum(n), 6) AS fraud_rate FROM fitted GROUP BY fit""")
+oracle("precision_at_100", "r4", """
+    SELECT count(*) AS k, round(avg(tx_fraud), 6) AS precision FROM (SELECT * FROM r4 ORDER BY p DESC, tranaction_id LIMIT 100)""")
+oracle("loss_report", "champ", f"""
+    SELECT period, strftime(date_trunc(period, tx_datetime)::TIMESTAMP, {STAMP}) AS start, count(*) AS transactions,
+           round(sum(CASE WHEN tx_fraud = 1 AND p < 0.5 THEN tx_amount ELSE 0 END), 4) AS lost,
+           count(*) FILTER (tx_fraud = 1 AND p < 0.5) AS frauds_lost, count(*) FILTER (tx_fraud = 0 AND p >= 0.9) AS legitimate_declined,
+           round(count(*) FILTER (tx_fraud = 0 AND p >= 0.9) / count(*) FILTER (tx_fraud = 0), 4) AS declined_share
+    FROM champ, (SELECT unnest(['day', 'week', 'month']) AS period) GROUP BY ALL""")
+oracle("routed_decisions", "champ", """
+    SELECT CASE WHEN p >= 0.9 THEN 'decline' WHEN p >= 0.5 THEN 'review' ELSE 'approve' END AS decision, tx_fraud, count(*) AS rows
+    FROM champ GROUP BY ALL""")
+PARTS["asked"] = """
+        SELECT CASE WHEN tranaction_id % 50 <> 0 THEN tranaction_id END AS transaction_id,
+               CASE WHEN tranaction_id % 79 <> 0 THEN tx_amount END AS tx_amount, tx_datetime,
+               TRY_CAST(tx_datetime AS TIMESTAMP) AS at_
+        FROM raw"""
+PARTS["asked_feat"] = """
+        SELECT *, hour(at_)::double AS hour_of_day, (dayofweek(at_) + 1)::double AS day_of_week,
+               CASE WHEN dayofweek(at_) IN (0, 6) THEN 1.0::double ELSE 0.0::double END AS is_weekend,
+               CASE WHEN hour(at_) BETWEEN 0 AND 6 THEN 1.0::double ELSE 0.0::double END AS is_night
+        FROM asked WHERE tx_amount IS NOT NULL AND tx_datetime NOT LIKE '% 24:%'"""
+PARENTS |= {"asked": ["raw"], "asked_feat": ["asked"]}
+oracle("request_responses", "asked_feat", f"""
+    SELECT transaction_id, CAST(CASE WHEN {probability(SHIPPED)} > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction,
+           round({probability(SHIPPED)}, 6) AS fraud_probability
+    FROM asked_feat""")
+oracle("request_rejects", "asked", """
+    SELECT transaction_id, round(tx_amount, 6) AS tx_amount, tx_datetime,
+           CASE WHEN tx_amount IS NULL THEN 'no amount' ELSE 'unreadable time' END AS reason
+    FROM asked WHERE tx_amount IS NULL OR tx_datetime LIKE '% 24:%'""")
+ORACLES["point_in_time_from_files"] = (
+    "SELECT * FROM (" + ORACLES["point_in_time_with_expiry"] + ") WHERE event_timestamp >= '2024-01-20'"
+)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.schemas import RAW
+from ledgerlens.sources.manifest import file_system
 
 
 def read_raw(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -46,6 +46,21 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def replace_dates(df: DataFrame, path: str, dates: Sequence[str]) -> None:
+    """Write cleaned rows in place of those of the given dates and of their own dates; other dates stay as they are.
+
+    ``df`` must not read ``path``. The new files of all dates are complete before the first old one goes.
+    """
+    spark = df.sparkSession
+    dated = df.withColumn("tx_date", F.to_date("tx_datetime"))
+    writer = dated.hint("rebalance", "tx_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("tx_date").parquet(path)
+    left = {str(r["tx_date"]) for r in dated.select("tx_date").distinct().collect()}  # one row per date
+    for date in set(dates) - left:
+        fs, at = file_system(spark, os.path.join(path, f"tx_date={date}"))
+        fs.delete(at, True)
+
+
 # ------------------------------------------------------------ incremental files
 
 
@@ -60,40 +75,6 @@ def new_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     return listing.select("file").distinct().join(manifest.select("file"), "file", "left_anti")
 
 
-def extended_manifest(manifest: DataFrame, added: DataFrame) -> DataFrame:
-    return manifest.select("file").union(added.select("file")).distinct()
-
-
-def write_manifest(manifest: DataFrame, folder: str, version: int) -> str:
-    """Write a manifest as its own version, kept apart from the data it describes: the old
-    version stays readable until the new one is complete. A folder without rows is what a run
-    that died has left; it is written anew."""
-    path = os.path.join(folder, f"version={version:08d}")
-    try:
-        manifest.write.mode("errorifexists").json(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_ALREADY_EXISTS" or not read_manifest(manifest.sparkSession, path).isEmpty():
-            raise
-        manifest.write.mode("overwrite").json(path)
-    return path
-
-
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("file string").json(path)
-
-
-def latest_manifest(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
-    """(manifest, version) of the newest version in the folder; empty and 0 when there is none."""
-    try:
-        versions = spark.read.schema("file string, version int").json(folder)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "file string"), 0
-    newest = versions.agg(F.max("version")).first()[0] or 0
-    return versions.filter(F.col("version") == newest).select("file"), newest
-
-
 # ------------------------------------------------------------ run log
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import clean as C
 from ledgerlens.operators import quality as Q
 from ledgerlens.schemas import RAW
-from ledgerlens.sources import files
+from ledgerlens.sources import files, manifest as log
 
 NOON = "2022-11-04 10:00:00"
 
@@ -107,8 +107,10 @@ def test_file_discovery(spark, tmp_path):
     manifest = spark.createDataFrame([("a.txt",), ("gone.txt",)], "file string")
     new = files.new_files(listing, manifest)
     assert sorted(r.file for r in new.collect()) == ["b.txt", "c.txt"]
-    path = files.write_manifest(files.extended_manifest(manifest, new), str(tmp_path / "m"), 2)
-    done = files.read_manifest(spark, path)
+    log.commit(manifest, str(tmp_path / "m"), 1)
+    log.commit(new, str(tmp_path / "m"), 2)
+    done, version = log.latest(spark, str(tmp_path / "m"))
+    assert version == 2
     assert sorted(r.file for r in done.collect()) == ["a.txt", "b.txt", "c.txt", "gone.txt"]
     assert files.new_files(listing, done).isEmpty()
 

@@ -126,3 +126,18 @@ def test_text_to_numbers(spark):
         "99999999999": None, "1.2.3": None,
     }
     assert got["1e3"][1] == 1000.0 and got["12.7"][1] == 12.7 and got["Err"][1] is None and got["1.2.3"][1] is None
+
+
+def test_requests_are_scored_or_rejected(spark):
+    """The shipped model gives a high amount the higher probability, and a low one at noon is legitimate."""
+    rows = [
+        (1, 10000.0, "2026-03-23 10:00:00"), (2, 1.0, "2026-03-23 10:00:00"), (None, 5.0, "2026-03-23 10:00:00"),
+        (3, None, "2026-03-23 10:00:00"), (4, 5.0, None), (5, 5.0, "2026-03-23T10:00:00"), (6, 5.0, "2026-03-23"), (7, float("nan"), "x"),
+    ]
+    requests = spark.createDataFrame(rows, "transaction_id long, tx_amount double, tx_datetime string")
+    responses, rejects = S.score_requests(requests)
+    got = {r.transaction_id: r for r in responses.collect()}
+    assert set(got) == {1, 2, None} and got[1].fraud_probability > got[2].fraud_probability and got[2].prediction == 0
+    assert all((r.fraud_probability > 0.5) == (r.prediction == 1) for r in got.values())
+    reasons = {r.transaction_id: r.reason for r in rejects.collect()}
+    assert reasons == {3: "no amount", 7: "no amount", 4: "no time", 5: "unreadable time", 6: "unreadable time"}

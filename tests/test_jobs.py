@@ -1,10 +1,13 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import scoring as S
 from ledgerlens.plans import derive as D
 from ledgerlens.plans import jobs
-from ledgerlens.sources import files
+from ledgerlens.schemas import RAW
+from ledgerlens.sources import files, manifest as log
 
 
 @pytest.fixture(scope="module")
@@ -34,8 +37,10 @@ def test_new_files_only(spark, tmp_path, incremental):
     assert run() and not run()
     df = files.read_clean(spark, out)
     assert df.count() == 30 and df.select("tranaction_id").distinct().count() == 30
-    assert files.latest_manifest(spark, manifest)[1] == 2
-    assert sorted(r.file for r in files.latest_manifest(spark, manifest)[0].collect()) == ["a.txt", "b.txt"]
+    names, version = log.latest(spark, manifest)
+    assert version == 2 and sorted(r.file for r in names.collect()) == ["a.txt", "b.txt"]
+    # ten of the second file's rows are the earlier copies, and replace those of the first
+    assert df.filter("hour(tx_datetime) = 9").count() == 20
 
 
 def test_train_then_validate(spark, clean_path, tmp_path):
@@ -73,20 +78,66 @@ def test_scratch_folder_must_be_shared_on_a_cluster():
     assert scratch_dir(session(**{"spark.master": "local[2]"}), "t").startswith("/tmp/run-")
 
 
-def test_manifest_recovers_from_an_unfinished_version(spark, tmp_path):
-    import pytest
-    from pyspark.errors import AnalysisException
-
-    from ledgerlens.sources.files import latest_manifest, write_manifest
-
-    one = spark.createDataFrame([("a",)], "file string")
-    write_manifest(one, str(tmp_path), 1)
-    (tmp_path / "version=00000002" / "_temporary" / "0").mkdir(parents=True)
-    assert latest_manifest(spark, str(tmp_path))[1] == 1
-    write_manifest(one, str(tmp_path), 2)
-    assert latest_manifest(spark, str(tmp_path))[1] == 2
-    with pytest.raises(AnalysisException):
-        write_manifest(one, str(tmp_path), 2)
+def test_manifest_has_one_winner_and_passes_over_the_dead(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+
+    def names(*files_):
+        return spark.createDataFrame([(f,) for f in files_], "file string")
+
+    def found():
+        df, version = log.latest(spark, folder)
+        return sorted(r.file for r in df.collect()), version
+
+    assert found() == ([], 0)
+    log.commit(names("a"), folder, 1)
+    # a run that died before its commit, and one that died within it
+    names("lost").write.json(f"{folder}/names/00000002-dead")
+    assert found() == (["a"], 1)
+    log.commit(names("b", "a"), folder, 2)
+    with pytest.raises(log.VersionTaken):
+        log.commit(names("late"), folder, 2)
+    assert log.create_once(spark, f"{folder}/commits/00000003", "") and found() == (["a", "b"], 3)
+    with pytest.raises(log.VersionTaken):
+        log.commit(names("c"), folder, 3)
+    monkeypatch.setattr(log, "EVERY", 4)
+    log.commit(names("c"), folder, 4)
+    log.commit(names("d"), folder, 5)
+    assert found() == (["a", "b", "c", "d"], 5)
+    # the reader needs nothing from before the last whole list
+    for old in ("1", "2"):
+        assert len(list((tmp_path / "names").glob(f"0000000{old}-*"))) >= 1
+    import shutil
+
+    for path in (tmp_path / "names").glob("0000000[12]-*"):
+        shutil.rmtree(path)
+    assert found() == (["a", "b", "c", "d"], 5)
+
+
+def test_incremental_cleaning_equals_cleaning_everything(spark, tmp_path):
+    """Ids come back in later files with earlier and later times, on other dates, and without an id."""
+    rng = random.Random(8)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(3):
+        rows = []
+        for _ in range(60):
+            i = rng.choice(["", *range(40)])
+            rows.append(f"{i},2022-11-{rng.randrange(1, 6):02d} {rng.randrange(24):02d}:00:00,{rng.randrange(3)},7,{rng.randrange(3)}.5,1,1,0,0")
+        (folder / f"{n}.txt").write_text("# header\n" + "\n".join(rows) + "\n")
+    # the last file moves the only row of a date away
+    (folder / "1.txt").write_text((folder / "1.txt").read_text() + "999,2022-12-24 10:00:00,1,7,5.0,1,1,0,0\n")
+    (folder / "2.txt").write_text((folder / "2.txt").read_text() + "999,2022-12-23 10:00:00,1,7,5.0,1,1,0,0\n")
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    jobs.clean_files(spark, str(folder / "0.txt"), step)
+    for name in ("1.txt", "2.txt", "2.txt"):  # the last one is repeated
+        jobs.add_to_clean(spark, [str(folder / name)], step)
+    jobs.clean_files(spark, str(folder), whole)
+
+    def rows_of(path):
+        return sorted(map(str, files.read_clean(spark, path).select(*RAW.fieldNames(), "tx_date").collect()))
+
+    assert rows_of(step) == rows_of(whole)
+    assert not (tmp_path / "step" / "tx_date=2022-12-24").exists()
 
 
 def test_rejects_keep_their_text(spark):
