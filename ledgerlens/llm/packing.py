@@ -9,12 +9,13 @@ padding. No task ever holds more than a batch of texts, the open windows, or ``f
 
 Ids are those of a byte-level BPE file of the ``tokenizers`` library, with ``end_id`` after each document. They are made
 by ``tiktoken``, which reads the same ranks and gives the same ids about five times as fast; a text that holds the name
-of a special token goes through ``tokenizers`` itself. A null or empty text is the end id alone.
+of a special token, or a run of white space so long that ``tiktoken`` would run out of stack, goes through ``tokenizers`` itself. A null or empty text is the end id alone.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +31,10 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: White space that the pattern would have to try one by one from its end.
+BLANKS = re.compile(r"\s{5000}")
+
+
 class Encoder:
     """Token ids of texts by a byte-level BPE file."""
 
@@ -48,7 +53,7 @@ class Encoder:
         self.path, self.whole = path, None
 
     def ids(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or BLANKS.search(text):
             if self.whole is None:
                 from tokenizers import Tokenizer
 
