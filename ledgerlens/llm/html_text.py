@@ -42,6 +42,7 @@ CLOSED_BY = (
     | {"tr": frozenset("tr thead tbody tfoot".split())}
     | {x: frozenset("thead tbody tfoot".split()) for x in ("thead", "tbody", "tfoot", "caption", "colgroup")}
 )
+CLOSES = {by: [top for top, closers in CLOSED_BY.items() if by in closers] for by in frozenset().union(*CLOSED_BY.values())}
 SCOPE = {"p": frozenset("table td th caption button object".split()), "li": frozenset("ul ol menu dir table".split()), "dt": frozenset(["dl", "table"]), "dd": frozenset(["dl", "table"])}
 #: A head ends with its first element that is none of these.
 HEAD = frozenset("base link meta title style script noscript template".split())
@@ -53,11 +54,10 @@ BOILERPLATE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+DEPTH = 512  # open elements that are kept track of, as in browsers; what opens further in belongs to these
+NAME = re.compile(r"[a-z][a-z0-9:-]*", re.I)
+UNTIL = re.compile(r"[\"'>]")
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 LABEL = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 PART = re.compile(r"[A-Za-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -81,10 +81,68 @@ def boilerplate(name: str, rest: str) -> bool:
     return False
 
 
+class Tags:
+    """The tags of a page, each found by one look ahead; no part of a page is looked at more than a few times, however
+    broken it is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()  # quotes that open where no tag ends after them
+
+    def end(self, at: int) -> int:
+        """The place of the ``>`` that ends the tag whose name or attributes go on at ``at``, or -1.
+
+        A quoted value may hold ``>``. A quote that is never closed is an ordinary character, and if quotes would
+        hide every ``>`` to the end of the page, the first one ends the tag.
+        """
+        page, seen, i = self.page, [], at
+        while True:
+            m = UNTIL.search(page, i) if i <= max(self.last.values()) else None
+            if m is None or m.start() in self.dead:
+                self.dead.update(seen)
+                return page.find(">", at) if self.last[">"] >= at else -1
+            if m.group() == ">":
+                return m.start()
+            seen.append(m.start())
+            closed = page.find(m.group(), m.end()) if self.last[m.group()] >= m.end() else -1
+            i = m.end() if closed < 0 else closed + 1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool, str, bool]]:
+        """(start, end, name, closing, attributes, raw) in order; comments and declarations have no name. The end of an element
+        whose content is no markup is that of its content."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            if page.startswith("!--", at):
+                stop = page.find("-->", at)
+                at = len(page) if stop < 0 else stop + 3
+                yield start, at, "", False, "", False
+                continue
+            closing = page.startswith("/", at)
+            m = NAME.match(page, at + closing)
+            if m is None:
+                if page[at : at + 1] in ("!", "?", "/") and self.last[">"] > at:
+                    at = page.find(">", at) + 1
+                    yield start, at, "", False, "", False
+                continue
+            stop = self.end(m.end())
+            if stop < 0:
+                continue
+            name, rest = m.group().lower(), page[m.end() : stop]
+            at = stop + 1
+            raw = name in RAW_END and not closing
+            if raw and not rest.endswith("/"):
+                over = RAW_END[name].search(page, at)
+                at = over.end() if over else len(page)
+            yield start, at, name, closing, rest, raw
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
     """(kind, block, text, left out, inside content): kind is ``text`` or ``tag``; block is the block the text stands in, or
     the tag's name with ``/`` for a closing one."""
     stack: list[str] = []  # open elements
+    open_: Counter = Counter()  # how many of each name
 
     def pop(name: str) -> None:
         """Closes up to the nearest element of that name."""
@@ -93,6 +151,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
             top = stack.pop()
             skipped -= top.endswith("!")
             content -= top.rstrip("!") in CONTENT
+            open_[top.rstrip("!")] -= 1
             if top.rstrip("!") == name:
                 break
 
@@ -100,7 +159,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         """Closes what the start of an element closes without an end tag."""
         if "head!" in stack and by not in HEAD:
             pop("head")
-        again = True
+        again = any(open_[top] for top in CLOSES.get(by, ()))
         while again:
             again = False
             for top in reversed(stack):
@@ -113,24 +172,23 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
                 if by in SCOPE and top in SCOPE[by] or by not in SCOPE and top == "table":
                     break
     block, skipped, content, at = "", 0, 0, 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            yield "text", block, page[at : m.start()], skipped > 0, content > 0
-        at = m.end()
-        if m["raw"]:
-            yield "tag", m["raw"].lower(), "", True, content > 0
-        name = m["name"]
-        if name is None:
+    for start, end, name, closing, rest, raw in Tags(page):
+        if start > at:
+            yield "text", block, page[at:start], skipped > 0, content > 0
+        at = end
+        if raw:
+            yield "tag", name, "", True, content > 0
+        elif not name:
             continue
-        name = name.lower()
-        if not m["close"]:
+        elif not closing:
             ended(name)
             yield "tag", name, "", skipped > 0, content > 0
             if name not in INLINE:
                 block = name
-            out = name == "head" or boilerplate(name, m["rest"])
-            if name not in VOID and not m["rest"].endswith("/"):
+            out = name == "head" or boilerplate(name, rest)
+            if name not in VOID and not rest.endswith("/") and len(stack) < DEPTH:
                 stack.append(name + "!" * out)
+                open_[name] += 1
                 skipped += out
                 content += name in CONTENT
         else:
