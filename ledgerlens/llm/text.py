@@ -1,7 +1,8 @@
 """Whole Arrow text columns as byte arrays: pieces, words and rolling hashes, without a loop per character.
 
 All hashes are 64-bit prefix hashes ``sum(x[i] * B**i) * B**-start`` (mod 2**64), so the hash of any
-range costs one subtraction and one product.
+range costs one subtraction and one product. Modulo a power of two, long ranges can be made to collide (a Thue-Morse word
+of 1,024 letters and its complement always do), so a word of more than ``LONG_WORD`` bytes is known by a digest instead.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
 _rng = np.random.default_rng(20_240_517)
@@ -22,6 +24,7 @@ BASE = 0x9E3779B97F4A7C15
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 PIECE = 1 << 20  # bytes handled at a time
+LONG_WORD = 32
 _powers: list[np.ndarray] = []
 
 
@@ -189,6 +192,9 @@ def word_groups(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray = BYTE_
             a, b = start[at:to] - start[at], end[at:to] - start[at]
             code[at:to] = mix(grams.of(a, b) + U(0x632BE59BD9B4E019) * (b - a).astype(np.uint64))
             at = to
+        for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+            word = part[start[i] : end[i]].tobytes()
+            code[i] = xxhash.xxh3_64_intdigest(word.lower() if codes is LOWER_CODE else word)
         bounds = np.searchsorted(start, offsets[row : stop + 1] - base)
         rows = np.repeat(np.arange(row, stop), np.diff(bounds))
         yield Words(row, rows, start + base, end + base, code, bounds)
