@@ -25,16 +25,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlens.llm.components import components
 from ledgerlens.llm.store import stored
 from ledgerlens.llm.suffix_dedup import row_key
-from ledgerlens.llm.text import LOWER_CODE, RangeHash, column_bytes, mix, word_groups
 
 LAST = np.iinfo(np.int64).max  # stands for a null id: it comes after all others
 LIST = 8
-MINIMA = 32  # least shingle hashes in a sketch, each of another hash
-BAND = 2  # of these, neighbours that make a list together
-SPLIT = 8  # of these, those that split long lists
-EQUAL = 12  # of these, those that a candidate pair shares at least
-_rng = np.random.default_rng(11)
-_MIX_SHINGLES = _rng.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -72,15 +65,16 @@ def _fingerprints(n: int):
                     hashes = np.fromiter((digest(s, 42) for s in parts), np.uint64, len(parts))
                     out[i] = majority(hashes[:, None])[0]
             ids = batch.column(0).fill_null(LAST)
-            yield pa.RecordBatch.from_pydict({"doc": ids, "fp": pa.array(out.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"doc": ids, "fp": pa.array(out.view(np.int64)), "row": batch.column(2)})
 
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(doc, fp) for every row. A null or empty text, or one without words, has the fingerprint 0."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string"))
-    return texts.mapInArrow(_fingerprints(words), "doc long, fp long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, row: Column | None = None) -> DataFrame:
+    """(doc, fp, row) for every row, ``row`` being a column to carry along. A null or empty text, or one without words, has the fingerprint 0."""
+    carried = F.lit(None) if row is None else row
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string"), carried.cast("long").alias("row"))
+    return texts.mapInArrow(_fingerprints(words), "doc long, fp long, row long")
 
 
 def _byte_keys(fp: Column) -> list[Column]:
@@ -116,218 +110,36 @@ def close_pairs(distinct: DataFrame, max_list: int = LIST) -> DataFrame:
     return verified.unionByName(stars.distinct())
 
 
+def _classes(prints: DataFrame, first: Column, max_list: int) -> DataFrame:
+    """(fp, component): for every fingerprint the least ``first`` of the rows whose fingerprints links reach from it."""
+    of_print = stored(prints.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fingerprints")
+    # links join fingerprints, not ids: rows without an id, or of one id, are reached each by itself
+    found = stored(components(close_pairs(of_print.select("fp"), max_list)), "components")
+    part = of_print.join(found, of_print["fp"] == found["id"], "left").select("fp", "first", F.coalesce("component", "fp").alias("part"))
+    least = part.groupBy("part").agg(F.min("first").alias("component"))
+    return stored(part.join(least, "part").select("fp", "component"), "fingerprint-classes")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_list: int = LIST) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row; fingerprints link at two differing bits or fewer.
 
-    component_id is the smallest id that links reach, the document itself included; null ids are reached last.
+    component_id is the smallest id that links reach, the document itself included; null ids are reached last. Rows of one id
+    with different texts are linked by their texts alone.
     """
     prints = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    first = stored(prints.groupBy("fp").agg(F.min("doc").alias("first")), "distinct-fingerprints")
-    pairs = close_pairs(first.select("fp"), max_list)
-    of = first.select(F.col("fp").alias("a"), F.col("first").alias("a_id"))
-    to = first.select(F.col("fp").alias("b"), F.col("first").alias("b_id"))
-    found = components(pairs.join(of, "a").join(to, "b"), "a_id", "b_id")
-    classes = first.join(found, first["first"] == found["id"], "left").select("fp", F.coalesce("component", "first").alias("component"))
-    joined = prints.join(stored(classes, "fingerprint-classes"), "fp")
+    joined = prints.join(_classes(prints, F.col("doc"), max_list), "fp")
     real = lambda c: F.when(F.col(c) != LAST, F.col(c))
     return joined.select(real("doc").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real("component").alias("component_id"))
 
 
-# ----------------------------------------- similarity of whole texts, for a filter
-
-
-def _minima(column: pa.Array, n: int) -> np.ndarray:
-    """Per row the least hash of its n-word shingles under each of ``MINIMA`` hashes; a row without words has zeros."""
-    data, offsets = column_bytes(column)
-    out = np.zeros((len(column), MINIMA), np.uint64)
-    for group in word_groups(data, offsets, LOWER_CODE):
-        for i in range(len(group.bounds) - 1):
-            codes = group.code[group.bounds[i] : group.bounds[i + 1]]
-            if len(codes):
-                hashes = RangeHash(codes).of_length(min(n, len(codes)))
-                parts = [mix(hashes[at : at + 8192, None] * _MIX_SHINGLES).min(axis=0) for at in range(0, len(hashes), 8192)]
-                out[group.first_row + i] = np.min(parts, axis=0)
-    return out
-
-
-def _lists(rows: np.ndarray) -> pa.ListArray:
-    flat = pa.array(np.ascontiguousarray(rows).view(np.int64).ravel())
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, rows.shape[1], dtype=np.int32)), flat)
-
-
-def _sketches(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text_hash = np.zeros((batch.num_rows, 2), np.uint64)
-            for i, text in enumerate(batch.column(1)):
-                text_hash[i] = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words_of(text.as_py()))), np.uint64)
-            yield pa.RecordBatch.from_pydict({
-                "doc": batch.column(0).fill_null(LAST), "row": batch.column(2), "t1": pa.array(text_hash[:, 0].copy().view(np.int64)), "t2": pa.array(text_hash[:, 1].copy().view(np.int64)),
-                "minima": _lists(_minima(batch.column(1), n)),
-            })
-
-    return run
-
-
-def _shingle_sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = []
-            for text in batch.column(1):
-                parts = shingles(words_of(text.as_py()), n)
-                sets.append(np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))).view(np.int64))
-            offsets = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_pydict({"doc": batch.column(0), "shingles": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
-
-    return run
-
-
-def _similar(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = []
-            for name in ("x", "y"):
-                column = batch.column(batch.schema.get_field_index(name))
-                sides.append((column.offsets.to_numpy(), column.values.to_numpy()))
-            (xo, xv), (yo, yv) = sides
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                a, b = xv[xo[i] : xo[i + 1]], yv[yo[i] : yo[i + 1]]
-                if min(len(a), len(b)) >= least * max(len(a), len(b)):
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    keep[i] = shared >= least * (len(a) + len(b) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return run
-
-
-def _near(x: str, y: str) -> Column:
-    """Whether two sketches agree: enough least shingle hashes are equal.
-
-    At a similarity of 0.8 a least hash is equal with the chance 0.8, so that fewer than ``EQUAL`` of ``MINIMA`` are in
-    about three of a hundred million pairs, whatever the change was.
-    """
-    equal = sum((F.get(f"{x}_minima", F.lit(i)) == F.get(f"{y}_minima", F.lit(i))).cast("int") for i in range(MINIMA))
-    return equal >= EQUAL
-
-
-def _mixed(members: DataFrame, name: str) -> DataFrame:
-    """(k, major): the lists whose members are of several components, and the largest of these."""
-    parts = members.groupBy("k", "c").agg(F.count("*").alias("n")).groupBy("k").agg(F.max(F.struct("n", "c")).alias("m"), F.count("*").alias("parts"))
-    return stored(parts.filter("parts > 1").select("k", F.col("m.c").alias("major")), name)
-
-
-def _shared(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(doc, total, shared): shingles of each of ``docs``, and those that another of them has too."""
-    chosen = sets.join(docs.distinct(), "doc", "left_semi")
-    alone = chosen.select("doc", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("doc").alias("doc"), F.count("*").alias("n")).filter("n = 1")
-    own = alone.groupBy("doc").agg(F.count("*").alias("own"))
-    total = F.size("shingles")
-    return chosen.join(own, "doc", "left").select("doc", total.alias("total"), (total - F.coalesce("own", F.lit(0))).alias("shared"))
-
-
-def _across(lists: DataFrame, linked: DataFrame, sketch: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) with similar sketches that share a list (k, doc) but not a component of ``linked``.
-
-    Lists of one component, as those of a large group of near copies are, drop out. The members of others are listed
-    anew, once under each of ``SPLIT`` least shingle hashes, so texts of other wording no longer meet; of the pairs at a
-    similarity of 0.8 three in a million share none. In what is still mixed the texts outside the largest component are
-    matched with all; this covers every pair between components, and none is made within the largest. The sketches are
-    compared in the join, so only pairs that pass leave it, each under the first hash that it shares.
-
-    Copies changed a little too much, each in other places, have sketches near each other. But a pair can have no more
-    shingles in common than either side has in common with anyone, which rules out most of them, exactly.
-    """
-    known = lists.join(linked, lists["doc"] == linked["id"], "left").select("k", "doc", F.coalesce("component", "doc").alias("c"))
-    known = stored(known, "list-members")
-    whole = stored(known.join(_mixed(known, "mixed-lists").select("k"), "k").select("doc", "c").distinct(), "in-mixed-lists")
-    shared = stored(_shared(whole.select("doc"), sets), "shared-shingles")
-    about = shared.filter(F.col("shared") >= similarity * F.col("total") - 1e-6).join(sketch, "doc")
-    about = stored(whole.join(about, "doc"), "members")
-    split = about.select("*", F.posexplode(F.slice("minima", 1, SPLIT)).alias("place", "least")).withColumn("k", F.xxhash64("place", "least"))
-    members = split.join(_mixed(split.select("k", "c"), "mixed-parts"), "k").withColumn("in_major", F.col("c") == F.col("major"))
-    members = stored(members.drop("major", "least"), "mixed-members")
-    a, b = (members.select("k", "place", *[F.col(x).alias(f"{n}_{x}") for x in members.columns if x not in ("k", "place")]) for n in ("a", "b"))
-    once = F.col("b_in_major") | (F.col("a_doc") < F.col("b_doc"))
-    enough = F.least("a_shared", "b_shared") * (1 + similarity) >= similarity * (F.col("a_total") + F.col("b_total")) - 1e-6
-    met = F.array_position(F.zip_with("a_minima", "b_minima", lambda x, y: x == y), True) == F.col("place") + 1
-    pairs = a.filter(~F.col("a_in_major")).join(b, ["k", "place"]).filter((F.col("a_c") != F.col("b_c")) & once & enough & _near("a", "b") & met)
-    return pairs.select(F.least("a_doc", "b_doc").alias("a"), F.greatest("a_doc", "b_doc").alias("b"))
-
-
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, max_list: int = 16, rounds: int = 3) -> DataFrame:
-    """(row, doc, component) for every row that belongs with one of a smaller id, by its ``row_key``: near copies by the Jaccard similarity of word shingles.
-
-    A sketch holds the least hashes of a text's shingles, ``MINIMA`` of them. Texts with the same ``BAND`` neighbouring
-    ones in some place are candidates. How alike two sketches are depends on the shingles alone, so a copy that is cut, shifted or
-    appended to is found like one with words changed here and there: at a similarity of 0.8 a pair shares no list with
-    the chance (1 - 0.8**2)**16, about one in ten million. Candidates whose sketches differ much are dropped, the others
-    compared on their shingle sets, exactly.
-
-    Lists of up to ``max_list`` texts are paired. A longer one holds a group of many near copies: its text with the
-    most neighbours over all lists leads, which is the text the others were made from if that is there, and is
-    compared with each; those not similar to it choose another leader, ``rounds`` times. What leaders leave apart in a
-    list is compared across the groups, see ``_across``, so leading saves work but decides nothing. A group of exact
-    copies is one text from the start.
-    """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), row_key(docs, id_col, text_col).alias("row"))
-    sketch = stored(texts.mapInArrow(_sketches(words), "doc long, row long, t1 long, t2 long, minima array<long>"), "sketches")
-    first = stored(sketch.groupBy("t1", "t2").agg(F.min_by(F.struct("doc", "row", "minima"), F.struct("doc", "row")).alias("s")).select("t1", "t2", F.col("s.row").alias("doc"), F.col("s.doc").alias("order"), "s.minima"), "texts")
-    # from here on a text is known by the key of its first row
-    copies = sketch.select("t1", "t2", F.col("row").alias("copy"), F.col("doc").alias("copy_order")).join(first.select("t1", "t2", "doc", "order"), ["t1", "t2"]).filter("copy <> doc")
-    keys = F.array(*[F.xxhash64(F.lit(i), *[F.get("minima", F.lit(i + j)) for j in range(BAND)]) for i in range(0, MINIMA, BAND)])
-    index = first.select("doc", F.explode(keys).alias("k"))
-    sizes = stored(index.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "band-lists")
-    listed = stored(index.join(sizes, "k"), "band-index")
-    sketched = first.select("doc", "minima")
-    of_a, of_b = (sketched.select(F.col("doc").alias(n), F.col("minima").alias(f"{n}_minima")) for n in ("a", "b"))
-
-    def near(pairs: DataFrame, name: str) -> DataFrame:
-        """Of (a, b) pairs, each once, those with similar sketches."""
-        return stored(pairs.distinct().join(of_a, "a").join(of_b, "b").filter(_near("a", "b")).select("a", "b"), name)
-
-    short = listed.filter(F.col("n") <= max_list).groupBy("k").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
-    pairs = short.select(F.posexplode("docs").alias("i", "a"), "docs").select("a", F.explode(F.slice("docs", F.col("i") + 2, max_list)).alias("b"))
-    found = near(pairs, "short-pairs")
-    candidates = stored(listed.select("doc").distinct(), "candidates")
-    sets = stored(texts.select(F.col("row").alias("doc"), "text").join(candidates, "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(_shingle_sets(words), "doc long, shingles array<long>"), "shingles")
-    x, y = (sets.select(F.col("doc").alias(n), F.col("shingles").alias(s)) for n, s in (("a", "x"), ("b", "y")))
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long"), "similar")
-
-    links = similar(found)
-    left = listed.filter(F.col("n") > max_list)
-    weights = stored(left.groupBy("doc").agg(F.sum("n").alias("weight")), "weights")
-    long_lists = stored(left.select("k", "doc").join(weights, "doc"), "long-lists")
-    left = long_lists
-    for _ in range(rounds):
-        if left.isEmpty():
-            break
-        lead = left.groupBy("k").agg(F.max(F.struct("weight", F.bitwise_not("doc").alias("other"))).alias("m")).select("k", F.bitwise_not("m.other").alias("lead"))
-        led = stored(left.join(stored(lead, "leads"), "k").filter("doc <> lead"), "led")
-        told = similar(near(led.select(F.col("lead").alias("a"), F.col("doc").alias("b")), "led-pairs"))
-        links = links.unionByName(told)
-        left = stored(led.join(told.select(F.col("a").alias("lead"), F.col("b").alias("doc")), ["lead", "doc"], "left_anti").select("k", "doc", "weight"), "left")
-    linked = stored(components(links), "similar-components")
-    rest = stored(_across(long_lists.select("k", "doc"), linked, sketched, sets, similarity), "rest-pairs")
-    if not rest.isEmpty():
-        tree = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        linked = stored(components(tree.unionByName(similar(rest))), "all-components")
-    ordered = linked.join(first.select(F.col("doc").alias("id"), "order"), "id")
-    least = stored(ordered.groupBy("component").agg(F.min(F.struct("order", "id")).alias("least")), "least-of-components")
-    linked = stored(ordered.join(least, "component").select("id", "order", "least"), "ordered-components")
-    of = copies.join(linked.select(F.col("id").alias("doc"), "least"), "doc", "left")
-    of = of.select(F.col("copy").alias("row"), F.col("copy_order").alias("doc"), F.coalesce("least.order", "order").alias("component"))
-    return of.unionByName(linked.filter("id <> least.id").select(F.col("id").alias("row"), F.col("order").alias("doc"), F.col("least.order").alias("component")))
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each group the document with the smallest id stays.
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_list: int = LIST) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the document with the smallest id stays.
 
     Rows with the same id and text are one document and stay or go together. Other rows of one id, or without one, are
-    documents of their own; those without an id come last.
+    documents of their own; those without an id come last. Texts without words are copies of each other.
     """
-    gone = similar_groups(docs, id_col, text_col, words, similarity).select("row").distinct()
+    prints = stored(fingerprints(docs, id_col, text_col, words, row_key(docs, id_col, text_col)), "fingerprints")
+    first = F.struct("doc", "row")
+    classes = _classes(prints, first, max_list)
+    gone = prints.join(classes, "fp").filter(first != F.col("component")).select("row").distinct()
     return docs.join(gone, row_key(docs, id_col, text_col) == gone["row"], "left_anti")
