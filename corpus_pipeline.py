@@ -15,7 +15,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group whose fingerprints of three-word shingles links of two bits or fewer join."""
     return simhash.drop_near_copies(docs)
 
 
@@ -42,7 +42,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Models, sketches and tokenizers are beyond SQL; the tests compare with brute force.
+#: Models, fingerprints and tokenizers are beyond SQL; the tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
