@@ -1,84 +1,50 @@
 """Benchmark decontamination: passages of documents within a small edit distance of a benchmark item.
 
-Texts are the characters of their lower-case words joined by one space. Hash tables hold the items' grams of characters,
-one table per length of gram. The length goes with the item's size: of the grams of an item that has the full ``rate``
-of random edits, as many stay whole as its size class says, with the chance ``RECALL`` (simulated, ``_class``). It is the
-longest gram for which these are still a fair share of the item; short items have short grams, long ones long grams.
-
-A place of a document is a candidate if that many grams of an item stand about where the item would have them, that is
-on neighbouring diagonals. All grams of a verbatim passage are whole, so it is always a candidate, and runs of words that are
-changed leave more grams whole than single letters do. The edit distance to the best place around a candidate is then
-computed exactly, in characters.
-
-The tables hold the items alone. They are taken in blocks of ``block_items``, each a pass over the documents, so a
-task never holds more than one block; documents are not shuffled. Items of fewer than ``SHORT`` words match exactly,
-as whole words. Null or empty items and texts match nothing.
+Texts are sequences of lower-case words. An item of n words is found where a stretch of a document is within ``rate * n``
+edits of it, each the change, loss or gain of a word; items of fewer than ``1 / rate`` words are found verbatim.
+
+Candidates come from the random-walk embedding of Chakraborty, Goldenberg and Koucky. A walk through a window of the item's size puts
+out the word it stands at, step by step, and then a random bit of that word decides whether it goes on or
+stays. Two walks with the same bits that have come apart over an edit tend to meet again, so few edits leave few
+differing places: edit distance becomes Hamming distance. Bit sampling then hashes the words put out at ``SAMPLES`` random places; each
+of ``TABLES`` repetitions has bits and places of its own. They are enough for a recall of ``RECALL`` at the full number of edits,
+which the tests measure for items of 1 to 60 words. Items go by size classes, a class walks through windows of its size at
+every word of a document. A class whose items allow no edit samples all places, so it finds all.
+
+A window can only hold an item if all but ``rate`` of its words occur in items of the class at all; walks start at such windows alone,
+which loses nothing. The edit distance to the best stretch around a candidate is computed exactly.
+
+The tables hold the items alone. They are taken in blocks of bounded numbers of items and words, each a pass over the documents, so a
+task never holds more than one block; documents are not shuffled. Null or empty items and texts match nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.llm.text import RangeHash, column_bytes, mix, word_groups
+from ledgerlens.llm.text import column_bytes, mix, word_groups
 
 U = np.uint64
-SHORT = 5  # words
-RECALL = 0.99  # of places at the full rate
-LONGEST = 12  # characters of a gram
-GROUP = 1 << 20  # characters of documents looked up at a time
-BETWEEN = np.array([0x110000], np.uint32)  # no character: stands between texts
+RECALL = 0.99  # of passages with the full number of edits
+TABLES, SAMPLES = 20, 2
+STEPS = 48  # of a walk, within which places are sampled
+BLOCK_WORDS = 2_000_000  # of the items in a block; a larger item is a block by itself
 
 
 def lowered(column: pa.Array) -> pa.Array:
     return pa.array([(t or "").lower() for t in column.to_pylist()], pa.large_string())
 
 
-def plain(column: pa.Array) -> list[str]:
-    """The lower-case words of each row joined by one space."""
-    return [b" ".join(t.encode("utf-8", "surrogatepass").split()).decode("utf-8", "replace") if t else "" for t in lowered(column).to_pylist()]
-
-
-def codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
-
-
-@cache
-def _class(size: int, rate: float) -> tuple[int, int]:
-    """For items of ``size`` characters: the length of their grams, and how many of them stay whole at ``rate``."""
-    edits = int(rate * size)
-    rng = np.random.default_rng(size)
-    hit = np.zeros((1000, size + 1), np.int32)
-    np.put_along_axis(hit, 1 + rng.random((1000, size)).argsort(axis=1)[:, :edits], 1, axis=1)
-    sums = hit.cumsum(axis=1)
-    best = (1, 1)
-    for gram in range(1, min(LONGEST, size) + 1):
-        whole = int(np.quantile((sums[:, gram:] == sums[:, :-gram]).sum(axis=1), 1 - RECALL, method="lower"))
-        if gram <= 3 and whole >= 1 or whole >= 0.015 * size + 2:
-            best = (gram, whole)
-    return best
-
-
-def size_class(size: int, rate: float) -> tuple[int, int]:
-    """The class of the largest size in steps of a quarter that is not above; from 1000 characters on there is one."""
-    step = 4
-    while step * 5 // 4 <= min(size, 1000):
-        step = step * 5 // 4
-    return _class(min(step, size), rate)
-
-
-def search(pattern: str, text: str) -> int:
+def search(pattern: Sequence, text: Sequence) -> int:
     """The least edit distance between the pattern and any part of the text (bit-parallel columns)."""
-    if pattern in text:
-        return 0
     m = len(pattern)
     full, high = (1 << m) - 1, 1 << (m - 1)
-    of: dict[str, int] = {}
+    of: dict = {}
     for i, c in enumerate(pattern):
         of[c] = of.get(c, 0) | 1 << i
     up, down, now, best = full, 0, m, m
@@ -97,48 +63,82 @@ def search(pattern: str, text: str) -> int:
     return best
 
 
-class Items(NamedTuple):
-    ids: list[int]
-    texts: list[str]  # lower-case words joined by one space
-    limit: np.ndarray  # edits
-    least: np.ndarray  # grams that a candidate has
-    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # by gram: hashes, items, offsets, one bit per hash of 20 bits
-    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by words: hashes, items
+def size_class(words: int, rate: float) -> tuple[int, int]:
+    """(size, edits): the largest class that is not above that many words, in steps of a quarter, and the edits that its longest
+    items allow. Sizes without edits are classes of their own."""
+    size, after = 1, 2
+    while after <= words:
+        size, after = after, max(after + 1, after * 5 // 4 if int(rate * after) else 0)
+    return size, int(rate * (after - 1))
+
+
+class Walk(NamedTuple):
+    """One table of a class: the bits of its walks and the steps that are sampled."""
 
+    seed: int
+    steps: list[int]
 
-def _grams(text: np.ndarray, gram: int) -> np.ndarray:
-    return mix(RangeHash(mix(text.astype(np.uint64) + U(1))).of_length(gram))
+
+def walks(size: int, edits: int) -> list[Walk]:
+    rng = np.random.default_rng(size)
+    if not edits:
+        # equal windows have equal walks, whatever is sampled; all steps tell others apart
+        return [Walk(int(rng.integers(1, 2**63)), list(range(size * 3)))]
+    within = min(STEPS, size * 8 // 5)
+    return [Walk(int(rng.integers(1, 2**63)), sorted(rng.choice(within, SAMPLES, replace=False).tolist())) for _ in range(TABLES)]
+
+
+def embedded(code: np.ndarray, start: np.ndarray, end: np.ndarray, walk: Walk) -> np.ndarray:
+    """The hash of the sampled steps of the walks from ``start``; beyond ``end`` there is nothing."""
+    at, last = start.copy(), len(code) - 1
+    out = np.full(len(start), walk.seed, np.uint64)
+    sampled = set(walk.steps)
+    for step in range(walk.steps[-1] + 1):
+        word = np.where(at < end, code[np.minimum(at, last)], U(0))
+        if step in sampled:
+            out = mix(out ^ word) * U(3)
+        bits = mix(word ^ U(walk.seed) ^ U(step * 0x9E3779B97F4A7C15 % 2**64))
+        at += (bits >> U(63)).astype(np.int64)
+    return out
+
+
+class SizeClass(NamedTuple):
+    size: int
+    edits: int
+    words: np.ndarray  # sorted codes of all words of its items
+    tables: list[tuple[Walk, np.ndarray, np.ndarray]]  # sorted hashes, and their items
+
+
+class Items(NamedTuple):
+    ids: list[int]
+    words: list[list[bytes]]
+    limit: list[int]
+    classes: list[SizeClass]
 
 
 def index_items(rows: list[tuple[int, str]], rate: float) -> Items:
-    column = lowered(pa.array([t for _, t in rows], pa.string()))
-    data, offsets = column_bytes(column)
-    texts = plain(column)
-    limit, least = np.array([int(rate * len(t)) for t in texts], np.int64), np.zeros(len(rows), np.int64)
-    found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-    short: dict[int, list[tuple[int, int]]] = {}
+    data, offsets = column_bytes(lowered(pa.array([t for _, t in rows], pa.string())))
+    texts: list[list[bytes]] = [[] for _ in rows]
+    codes: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
     for words in word_groups(data, offsets):
-        grams = RangeHash(words.code)
-        for row, n in enumerate(np.diff(words.bounds).tolist()):
-            item = words.first_row + row
-            if 0 < n < SHORT:
-                a = words.bounds[row : row + 1]
-                short.setdefault(n, []).append((int(mix(grams.of(a, a + n))[0]), item))
-            elif n:
-                gram, least[item] = size_class(len(texts[item]), rate)
-                h = _grams(codes(texts[item]), gram)
-                # of equal grams near each other one is enough: the diagonals are that wide
-                _, at = np.unique(np.stack([h, (np.arange(len(h)) // (2 * limit[item] + 1)).astype(np.uint64)]), axis=1, return_index=True)
-                found.setdefault(gram, []).append((h[at], np.full(len(at), item), at))
-    tables = {}
-    for gram, parts in found.items():
-        h, item, at = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(h, kind="stable")
-        seen = np.zeros(1 << 20, bool)
-        seen[(h >> U(44)).astype(np.int64)] = True
-        tables[gram] = (h[order], item[order], at[order], seen)
-    short_tables = {n: tuple(np.array(x, d)[np.argsort(np.array([p[0] for p in v], np.uint64))] for x, d in zip(zip(*v), (np.uint64, np.int64))) for n, v in short.items()}
-    return Items([i for i, _ in rows], texts, limit, least, tables, short_tables)
+        for k in range(len(words.bounds) - 1):
+            a, b = words.bounds[k], words.bounds[k + 1]
+            item = words.first_row + k
+            texts[item] = [data[s:e].tobytes() for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist())]
+            if b > a:
+                codes.setdefault(size_class(int(b - a), rate), []).append((item, words.code[a:b]))
+    classes = []
+    for (size, edits), members in sorted(codes.items()):
+        item = np.array([i for i, _ in members])
+        heads = np.concatenate([c[:size] for _, c in members])
+        start = np.arange(len(members)) * size
+        tables = []
+        for walk in walks(size, edits):
+            h = embedded(heads, start, start + size, walk)
+            order = np.argsort(h, kind="stable")
+            tables.append((walk, h[order], item[order]))
+        classes.append(SizeClass(size, edits, np.unique(np.concatenate([c for _, c in members])), tables))
+    return Items([i for i, _ in rows], texts, [int(rate * len(t)) for t in texts], classes)
 
 
 def _pairs(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,89 +149,75 @@ def _pairs(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.nda
     return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
 
 
-def _places(text: np.ndarray, starts: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
-    """(text, item, from, to): where a group of texts, from ``starts`` on, has enough grams of an item."""
-    for gram, (hashes, of, offset, seen) in items.tables.items():
-        h = _grams(text, gram)
-        maybe = np.flatnonzero(seen[(h >> U(44)).astype(np.int64)])
-        which, entry = _pairs(hashes, h[maybe])
-        if not len(which):
+def _candidates(code: np.ndarray, row_end: np.ndarray, classes: list[SizeClass]) -> np.ndarray:
+    """(word, item) where a window that begins at the word shares a table entry with an item; each once, in order."""
+    found = [np.zeros((0, 2), np.int64)]
+    every = np.arange(len(code))
+    for c in classes:
+        place = np.minimum(np.searchsorted(c.words, code), len(c.words) - 1)
+        known = np.r_[0, np.cumsum(c.words[place] == code)]
+        end = np.minimum(every + c.size, row_end)
+        start = np.flatnonzero(known[end] - known[:-1] >= c.size - c.edits)
+        if not len(start):
             continue
-        pos, item = maybe[which], of[entry]
-        row = np.searchsorted(starts, pos, side="right") - 1
-        wide = 2 * items.limit + 1
-        # an offset stands for those up to one width after it, and edits move a gram by up to half of one: three widths hold a place
-        diagonal = (pos - offset[entry]) // wide[item]
-        base = int(diagonal.min())
-        span = int(diagonal.max()) - base + 4
-        pair, dense = np.unique(row * len(items.ids) + item, return_inverse=True)
-        key, n = np.unique(dense * span + diagonal - base, return_counts=True)
-        total = n.copy()
-        for step in (1, 2):
-            after = np.minimum(np.searchsorted(key, key + step), len(key) - 1)
-            total += np.where(key[after] == key + step, n[after], 0)
-        item = pair[key // span] % len(items.ids)
-        good = np.flatnonzero(total >= items.least[item])
-        at, item, row = (key[good] % span + base), item[good], pair[key[good] // span] // len(items.ids)
-        size = np.array([len(t) for t in items.texts])[item]
-        low, high = (at - 1) * wide[item] - items.limit[item], (at + 3) * wide[item] + size + items.limit[item]
-        yield from zip(row.tolist(), item.tolist(), low.tolist(), high.tolist())
+        for walk, hashes, items in c.tables:
+            which, entry = _pairs(hashes, embedded(code, start, end[start], walk))
+            found.append(np.stack([start[which], items[entry]], axis=1))
+    return np.unique(np.concatenate(found), axis=0)
 
 
 def find(column: pa.Array, items: Items) -> Iterator[tuple[int, int, int]]:
     """(row, item, edit distance) of a text column, once per row and item."""
-    best: dict[tuple[int, int], int] = {}
-    if items.short:
-        data, offsets = column_bytes(lowered(column))
-        for words in word_groups(data, offsets):
-            for n, (hashes, of) in items.short.items():
-                h = mix(RangeHash(words.code).of_length(n))
-                if len(h):
-                    which, entry = _pairs(hashes, h)
-                    inside = words.rows[which] == words.rows[which + n - 1]
-                    best.update({(r, i): 0 for r, i in zip(words.rows[which[inside]].tolist(), of[entry[inside]].tolist())})
-    texts = plain(column)
-    row = 0
-    while row < len(texts):
-        first, size, parts, starts = row, 0, [], []
-        while row < len(texts) and (not parts or size + len(texts[row]) <= GROUP):
-            starts.append(size)
-            parts += [codes(texts[row]), BETWEEN]
-            size += len(texts[row]) + 1
-            row += 1
-        done: dict[tuple[int, int], int] = {}  # up to where a text was searched
-        for in_group, item, low, high in sorted(_places(np.concatenate(parts), np.array(starts), items)):
-            text, pattern = texts[first + in_group], items.texts[item]
-            low, high = max(0, low - starts[in_group]), min(len(text), high - starts[in_group])
-            at = done.get((in_group, item), 0)
-            if high <= at or best.get((first + in_group, item)) == 0:
+    data, offsets = column_bytes(lowered(column))
+    for words in word_groups(data, offsets):
+        if not len(words.code):
+            continue
+        sizes = np.diff(words.bounds)
+        row_end = np.repeat(words.bounds[1:], sizes)
+        best: dict[tuple[int, int], int] = {}
+        done: dict[tuple[int, int], int] = {}  # up to where a row was searched for an item
+        for at, item in _candidates(words.code, row_end, items.classes).tolist():
+            row = int(words.rows[at])
+            first, last = int(words.bounds[row - words.first_row]), int(row_end[at])
+            pattern, limit = items.words[item], items.limit[item]
+            high = min(last, at + len(pattern) + 2 * limit + 1)
+            seen = done.get((row, item), 0)
+            if high <= seen or best.get((row, item)) == 0:
                 continue
+            low = max(first, at - 2 * limit - 1)
             # what was searched is searched again as far as a passage can reach back
-            low = max(low, at - len(pattern) - int(items.limit[item]))
-            done[in_group, item] = high
-            distance = search(pattern, text[low:high])
-            if distance <= items.limit[item]:
-                k = (first + in_group, item)
-                best[k] = min(distance, best.get(k, distance))
-    for (row, item), distance in sorted(best.items()):
-        yield row, item, distance
+            low = max(low, seen - len(pattern) - limit)
+            done[row, item] = high
+            part = [data[s:e].tobytes() for s, e in zip(words.start[low:high].tolist(), words.end[low:high].tolist())]
+            distance = search(pattern, part)
+            if distance <= limit:
+                best[row, item] = min(distance, best.get((row, item), distance))
+        for (row, item), distance in sorted(best.items()):
+            yield row, item, distance
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_items: int) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks, in order of their ids, so that the driver holds one block at a time."""
     rows = items.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).orderBy(id_col)
     block: list[tuple[int, str]] = []
+    words = 0
     for r in rows.toLocalIterator():
-        block.append((r[0], r[1]))
-        if len(block) == block_items:
+        n = r[1].count(" ") + 1
+        if block and (len(block) == block_items or words + n > BLOCK_WORDS):
             yield block
-            block = []
+            block, words = [], 0
+        block.append((r[0], r[1]))
+        words += n
     if block:
         yield block
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = 0.2, block_items: int = 20_000) -> DataFrame:
-    """(doc_id, item_id, distance) for every document row and item whose text it holds within ``rate`` edits per character."""
+    """(doc_id, item_id, distance) for every document row and item that it holds within ``rate`` edits per word of the item, once.
+
+    distance is that of the best place looked at. Rows without an id, repeated rows and items of one id are each taken by
+    themselves; empty tables give no rows; other columns are not looked at.
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))
     out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance long")
     for block in item_blocks(items, item_col, item_text, block_items):

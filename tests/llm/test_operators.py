@@ -236,32 +236,38 @@ def test_decontamination_recall_at_all_sizes_and_kinds_of_edits():
     word = lambda: "".join(map(chr, rng.integers(97, 123, rng.integers(2, 9))))
     vocabulary = [word() for _ in range(3000)]
     some = lambda n: [vocabulary[i] for i in rng.integers(0, 3000, n)]
-    items, docs, of = [], [], []
-    for n in (5, 7, 8, 9, 12, 15, 20, 30, 60):
-        for kind in ("same", "words", "letters", "drop", "shift"):
+    items, docs, of, want = [], [], [], set()
+    for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 15, 20, 25, 30, 40, 60):
+        for kind in ("same", "change", "lose", "gain", "mix"):
             for share in (0.0,) if kind == "same" else (0.1, 0.2):
-                for _ in range(10):
-                    words = some(n)
-                    text = " ".join(words)
-                    limit = int(0.2 * len(text))
-                    if kind == "words":
-                        for i in rng.permutation(n)[: int(share * n)].tolist():
-                            words[i] = words[i][::-1] if len(set(words[i])) > 1 else "x"
-                        made = " ".join(words)
-                    else:
-                        made = list(text)
-                        for i in sorted(rng.permutation(len(text))[: int(share * len(text))].tolist(), reverse=True):
-                            made[i : i + 1] = {"letters": ["#"], "drop": [], "shift": [made[i], "#"]}[kind]
-                        made = "".join(made)
-                    doc = " ".join([*some(40), made, *some(40)])
-                    if decontaminate.search(text, doc) <= limit:  # the edits themselves may be more
-                        items.append((len(items), text))
-                        docs.append(doc)
+                for _ in range(12):
+                    text = some(n)
+                    made = list(text)
+                    for _ in range(int(share * n)):
+                        i = int(rng.integers(len(made)))
+                        what = kind if kind != "mix" else ("change", "lose", "gain")[int(rng.integers(3))]
+                        made[i : i + 1] = {"change": [word()], "lose": [], "gain": [made[i], word()]}[what]
+                    doc = [*some(40), *made, *some(40)]
+                    if decontaminate.search(text, doc) <= int(0.2 * n):
+                        want.add((len(items), len(items)))
+                        items.append((len(items), " ".join(text)))
+                        docs.append(" ".join(doc))
                         of.append((n, kind, share))
-    found = {(r, i) for r, i, _ in decontaminate.find(pa.array(docs, pa.string()), decontaminate.index_items(items, 0.2))}
-    missed = [of[i] for i, _ in items if (i, i) not in found]
-    assert len(items) > 700 and not [x for x in missed if x[1] == "same"]
-    assert len(missed) <= 0.01 * len(items), missed
+    found = {(r, i): d for r, i, d in decontaminate.find(pa.array(docs, pa.string()), decontaminate.index_items(items, 0.2))}
+    missed = [of[i] for _, i in want - set(found)]
+    assert len(items) > 1500 and not [x for x in missed if x[1] == "same"]
+    assert len(missed) <= (1 - decontaminate.RECALL) * len(items), missed
+    # whatever was found is within the limit
+    for (r, i), d in found.items():
+        pattern = items[i][1].split()
+        assert decontaminate.search(pattern, docs[r].split()) <= d <= int(0.2 * len(pattern))
+
+
+def test_size_classes_cover_all_sizes():
+    for rate in (0.0, 0.1, 0.2, 0.5):
+        for n in range(1, 300):
+            size, edits = decontaminate.size_class(n, rate)
+            assert size <= n and edits >= int(rate * n) and (edits or size == n)
 
 
 def test_url_rules(spark):
