@@ -13,6 +13,7 @@ import corpus_pipeline
 from ledgerlens.llm import decontaminate, html_text, langid, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity, urls
 from ledgerlens.llm.components import components
 from ledgerlens.llm.queries import tokenizer_path
+from ledgerlens.llm.store import stored
 
 WORDS = [f"w{i}x{i * 7 % 13}" for i in range(900)]
 LONG = " ".join(WORDS[:400])
@@ -435,13 +436,94 @@ def test_main_text_without_optional_end_tags():
         assert html_text.extract(page, weights) == text, page
 
 
-def test_pipeline(spark, sf_dir):
-    assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
-    packed = corpus_pipeline.run(spark, sf_dir)
+def ascii_words(text):
+    return (text or "").encode().split()
+
+
+def test_every_pipeline_stage_equals_brute_force(spark, sf_dir):
+    """Each stage on what the one before it kept."""
+    assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "simhash_near_dedup", "substring_dedup", "benchmark_decontamination", "packing",
+    ]
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert len(rows) == docs.count()
+
+    def run(name, before):
+        after = stored(stages[name](spark, before, sf_dir), name)
+        if name != "packing":
+            assert after.columns == docs.columns and [f.dataType for f in after.schema] == [f.dataType for f in docs.schema]
+        return after, {r["doc_id"]: r["text"] for r in after.collect()} if name != "packing" else None
+
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    kept = packed.select("doc_id").distinct()
-    assert kept.count() > 100
+    clean, left = run("toxicity", docs)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert left == {r["doc_id"]: rows[r["doc_id"]] for r in scored if r["score"] < 0.5} and 100 < len(left) < len(rows)
     # the smallest tables have about nine toxic documents to learn from
-    assert kept.join(labels.filter("toxic = 1"), "doc_id").count() < 0.5 * labels.filter("toxic = 1").count()
-    totals = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m"))
-    assert totals.filter("n <> m").count() == 0
+    toxic = {r["doc_id"] for r in labels.filter("toxic = 1").collect()}
+    assert len(toxic & set(left)) < 0.5 * len(toxic)
+
+    single, after = run("simhash_near_dedup", clean)
+    prints, gone = {d: majority_print(t) for d, t in left.items()}, set()
+    groups = {d: {d} for d in prints}
+    for x in prints:
+        for y in prints:
+            if x < y and (prints[x] ^ prints[y]).bit_count() <= 2 and groups[x] is not groups[y]:
+                groups[x] |= groups[y]
+                for d in groups[y]:
+                    groups[d] = groups[x]
+    gone = {d for d in prints if min(groups[d]) != d}
+    assert after == {d: t for d, t in left.items() if d not in gone} and gone
+
+    cut, shorter = run("substring_dedup", single)
+    seen, removed = {}, 0
+    for d in sorted(after):
+        words = ascii_words(after[d])
+        for i in range(len(words) - 12):
+            seen.setdefault(tuple(words[i : i + 13]), d)
+    for d in sorted(after):
+        words = ascii_words(after[d])
+        drop = {j for i in range(len(words) - 12) if seen[tuple(words[i : i + 13])] < d for j in range(i, i + 13)}
+        assert ascii_words(shorter[d]) == [w for j, w in enumerate(words) if j not in drop]
+        removed += len(drop)
+    assert removed and set(shorter) == set(after)
+    assert all(r["n_chars"] == len(r["text"] or "") for r in cut.collect())
+
+    free, kept = run("benchmark_decontamination", cut)
+    items = [r["text"].lower().encode().split() for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if r["text"]]
+    vocabulary = [set(i) for i in items]
+    found = set()
+    for d, t in shorter.items():
+        words = (t or "").lower().encode().split()
+        for item, known in zip(items, vocabulary):
+            # with fewer of its words in it a document cannot hold the item
+            if sum(w in known for w in words) >= len(item) - int(0.2 * len(item)) and decontaminate.search(item, words) <= int(0.2 * len(item)):
+                found.add(d)
+    assert kept == {d: t for d, t in shorter.items() if d not in found}
+
+    packed, _ = run("packing", free)
+    encoder = packing.Encoder(tokenizer_path())
+    totals = {r["doc_id"]: (r["n"], r["m"]) for r in packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()}
+    assert totals == {d: (n, n) for d, n in ((d, len(encoder.ids(t or "")) + 1) for d, t in kept.items())}
+    sizes = [r["n"] for r in packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()]
+    assert all(n == 2048 or n & (n - 1) == 0 for n in sizes)
+
+
+def test_calibration_figures_on_held_out_rows(spark):
+    """Labels and languages that no model has seen: toxic documents are caught, others left, and languages told."""
+    from ledgerlens.llm.queries import op4_quality_rules, op5_toxicity, op9_language_id
+
+    sf = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    judged = [r for r in op5_toxicity(spark, sf).collect() if r["held_out"] and r["doc_id"] in labels]
+    caught = [r["predicted"] for r in judged if labels[r["doc_id"]]["toxic"] == 1]
+    false = [r["predicted"] for r in judged if labels[r["doc_id"]]["toxic"] == 0]
+    assert len(caught) >= 5 and sum(caught) >= 0.5 * len(caught) and sum(false) <= 0.05 * len(false)
+    kept = {r["doc_id"]: r["kept"] for r in op4_quality_rules(spark, sf).collect()}
+    bad = [kept[d] for d, r in labels.items() if r["quality"] == 0 and d in kept]
+    good = [kept[d] for d, r in labels.items() if r["quality"] == 1 and d in kept]
+    assert sum(bad) <= 0.1 * len(bad) and sum(good) >= 0.9 * len(good)
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    told = [r["lang_pred"] == lang[r["doc_id"]] for r in op9_language_id(spark, sf).collect() if r["held_out"] and lang[r["doc_id"]] and r["lang_pred"] != "und"]
+    assert sum(told) >= 0.97 * len(told) > 100
