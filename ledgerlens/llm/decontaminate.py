@@ -33,6 +33,7 @@ U = np.uint64
 RECALL = 0.99  # of passages with the full number of edits
 TABLES, SAMPLES = 20, 2
 STEPS = 48  # of a walk, within which places are sampled
+REGIONS = 4_000_000  # words of regions counted at a time
 BLOCK_WORDS = 2_000_000  # of the items in a block; a larger item is a block by itself
 
 
@@ -105,16 +106,27 @@ def embedded(code: np.ndarray, start: np.ndarray, end: np.ndarray, walk: Walk) -
 class SizeClass(NamedTuple):
     size: int
     edits: int
-    words: np.ndarray  # sorted codes of all words of its items
+    known: np.ndarray  # whether a word of the vocabulary is in its items
     tables: list[tuple[Walk, np.ndarray, np.ndarray]]  # sorted hashes, and their items
 
 
 class Items(NamedTuple):
     ids: list[int]
     words: list[list[bytes]]
-    limit: list[int]
+    size: np.ndarray
+    limit: np.ndarray
+    different: np.ndarray  # words of each item, counted once
+    vocabulary: np.ndarray  # sorted codes of all words of the items
+    own: np.ndarray  # sorted: item * words of the vocabulary + word, for the words of each item
     classes: list[SizeClass]
 
+    def places(self, code: np.ndarray) -> np.ndarray:
+        """The place of each word in the vocabulary, or one beyond it."""
+        if not len(self.vocabulary):
+            return np.zeros(len(code), np.int64)
+        at = np.minimum(np.searchsorted(self.vocabulary, code), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == code, at, len(self.vocabulary))
+
 
 def index_items(rows: list[tuple[int, str]], rate: float) -> Items:
     data, offsets = column_bytes(lowered(pa.array([t for _, t in rows], pa.string())))
@@ -127,6 +139,10 @@ def index_items(rows: list[tuple[int, str]], rate: float) -> Items:
             texts[item] = [data[s:e].tobytes() for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist())]
             if b > a:
                 codes.setdefault(size_class(int(b - a), rate), []).append((item, words.code[a:b]))
+    every = [member for members in codes.values() for member in members]
+    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *[c for _, c in every]]))
+    of = {item: np.searchsorted(vocabulary, np.unique(c)) for item, c in every}
+    own = np.sort(np.concatenate([np.zeros(0, np.int64), *[item * (len(vocabulary) + 1) + w for item, w in of.items()]]))
     classes = []
     for (size, edits), members in sorted(codes.items()):
         item = np.array([i for i, _ in members])
@@ -137,8 +153,12 @@ def index_items(rows: list[tuple[int, str]], rate: float) -> Items:
             h = embedded(heads, start, start + size, walk)
             order = np.argsort(h, kind="stable")
             tables.append((walk, h[order], item[order]))
-        classes.append(SizeClass(size, edits, np.unique(np.concatenate([c for _, c in members])), tables))
-    return Items([i for i, _ in rows], texts, [int(rate * len(t)) for t in texts], classes)
+        known = np.zeros(len(vocabulary) + 1, bool)
+        known[np.concatenate([of[i] for i, _ in members])] = True
+        classes.append(SizeClass(size, edits, known, tables))
+    counts = np.array([len(t) for t in texts], np.int64)
+    limit, different = (np.array([f(t) for t in texts], np.int64) for f in (lambda t: int(rate * len(t)), lambda t: len(set(t))))
+    return Items([i for i, _ in rows], texts, counts, limit, different, vocabulary, own, classes)
 
 
 def _pairs(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,21 +169,48 @@ def _pairs(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.nda
     return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
 
 
-def _candidates(code: np.ndarray, row_end: np.ndarray, classes: list[SizeClass]) -> np.ndarray:
-    """(word, item) where a window that begins at the word shares a table entry with an item; each once, in order."""
+def _region(at: np.ndarray, item: np.ndarray, items: Items, row_start: np.ndarray, row_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words among which a passage may lie whose window begins at ``at``."""
+    reach = 2 * items.limit[item] + 1
+    return np.maximum(row_start[at], at - reach), np.minimum(row_end[at], at + items.size[item] + reach)
+
+
+def _enough_words(place: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
+    """Whether a region holds as many different words of the item as a passage must: an edit takes away one at most."""
+    keep = np.zeros(len(item), bool)
+    length = high - low
+    edges = np.r_[0, np.flatnonzero(np.diff(np.cumsum(length) // REGIONS)) + 1, len(item)]
+    for a, b in zip(edges[:-1], edges[1:]):
+        n = length[a:b]
+        if a == b or not n.sum():
+            continue
+        first = np.cumsum(n) - n
+        at = np.arange(n.sum()) - np.repeat(first, n) + np.repeat(low[a:b], n)
+        key = np.repeat(item[a:b], n) * (len(items.vocabulary) + 1) + place[at]
+        found = np.minimum(np.searchsorted(items.own, key), len(items.own) - 1)
+        hit = items.own[found] == key
+        different = np.unique(np.repeat(np.arange(b - a), n)[hit] * len(items.own) + found[hit]) // len(items.own)
+        keep[a:b] = np.bincount(different, minlength=b - a) >= items.different[item[a:b]] - items.limit[item[a:b]]
+    return keep
+
+
+def _candidates(code: np.ndarray, row_start: np.ndarray, row_end: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(word, item, from, to) where a window that begins at the word shares a table entry with an item, in order."""
     found = [np.zeros((0, 2), np.int64)]
-    every = np.arange(len(code))
-    for c in classes:
-        place = np.minimum(np.searchsorted(c.words, code), len(c.words) - 1)
-        known = np.r_[0, np.cumsum(c.words[place] == code)]
+    every, place = np.arange(len(code)), items.places(code)
+    for c in items.classes:
+        known = np.r_[0, np.cumsum(c.known[place])]
         end = np.minimum(every + c.size, row_end)
         start = np.flatnonzero(known[end] - known[:-1] >= c.size - c.edits)
         if not len(start):
             continue
-        for walk, hashes, items in c.tables:
+        for walk, hashes, of in c.tables:
             which, entry = _pairs(hashes, embedded(code, start, end[start], walk))
-            found.append(np.stack([start[which], items[entry]], axis=1))
-    return np.unique(np.concatenate(found), axis=0)
+            found.append(np.stack([start[which], of[entry]], axis=1))
+    at, item = np.unique(np.concatenate(found), axis=0).T
+    low, high = _region(at, item, items, row_start, row_end)
+    good = _enough_words(place, low, high, item, items)
+    yield from zip(at[good].tolist(), item[good].tolist(), low[good].tolist(), high[good].tolist())
 
 
 def find(column: pa.Array, items: Items) -> Iterator[tuple[int, int, int]]:
@@ -173,18 +220,15 @@ def find(column: pa.Array, items: Items) -> Iterator[tuple[int, int, int]]:
         if not len(words.code):
             continue
         sizes = np.diff(words.bounds)
-        row_end = np.repeat(words.bounds[1:], sizes)
+        row_start, row_end = np.repeat(words.bounds[:-1], sizes), np.repeat(words.bounds[1:], sizes)
         best: dict[tuple[int, int], int] = {}
         done: dict[tuple[int, int], int] = {}  # up to where a row was searched for an item
-        for at, item in _candidates(words.code, row_end, items.classes).tolist():
+        for at, item, low, high in _candidates(words.code, row_start, row_end, items):
             row = int(words.rows[at])
-            first, last = int(words.bounds[row - words.first_row]), int(row_end[at])
-            pattern, limit = items.words[item], items.limit[item]
-            high = min(last, at + len(pattern) + 2 * limit + 1)
+            pattern, limit = items.words[item], int(items.limit[item])
             seen = done.get((row, item), 0)
             if high <= seen or best.get((row, item)) == 0:
                 continue
-            low = max(first, at - 2 * limit - 1)
             # what was searched is searched again as far as a passage can reach back
             low = max(low, seen - len(pattern) - limit)
             done[row, item] = high
