@@ -12,8 +12,11 @@ limited to its context, the ``length - gram`` bytes on either side of it.
 2. Anchors of grams with several contexts are sorted: the suffixes from the anchor on, and the reversed prefixes
    before it. Multikey quicksort orders them to a shallow depth, and blind tries order the groups that still tie. The
    common prefixes of neighbours then tell, for every offset of a window around the anchor, which contexts share it.
-3. A gram with more contexts than one task should hold is not sorted in one place: its windows are compared by hash in
-   a grouped aggregation, which combines before its shuffle.
+3. A gram with more contexts than one task should sort is cut by the bytes around it. A window with ``o`` bytes before
+   the gram lies either in the lower or the upper half of the offsets; all windows of the upper half share the bytes
+   just before the gram, those of the lower half the bytes just after it. So contexts are dealt anew for each half, by
+   these bytes, cut to what the half can see. Contexts that are now the same become one, as in step 1, and what is
+   still too large is halved again, at most once for each bit of the number of offsets.
 
 Texts are UTF-8 bytes; a null or empty text has none. Documents with a null id come after all others. A row is known
 by a hash of its id and text: rows with the same of both are one document given more than once, so none of them is earlier
@@ -35,7 +38,9 @@ from ledgerlens.llm.text import BYTE_CODE, RangeHash, column_bytes, joined, mini
 LAST = np.iinfo(np.int64).max  # stands for a null id
 SINGLE, WITNESS, CONTEXT, SPAN = range(4)
 ROWS = "kind int, h long, c long, doc long, row long, pos int, left int, ctx binary"
+PART = "kind int, h long, c long, doc long, row long, pos int, left int, ctx binary, lo int, hi int"
 SHALLOW = 2  # words of 8 bytes
+BROADCAST_KEYS = 1_000_000  # of 8 bytes
 
 
 # ------------------------------------------------------------- sorting
@@ -328,60 +333,116 @@ def _fetch(length: int, gram: int):
     return run
 
 
+def _runs(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.Table]:
+    """Rows sorted by ``h`` in parts that end where a key ends."""
+    parts, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        parts.append(batch)
+        size += batch.num_rows
+        if size < rows:
+            continue
+        whole = pa.Table.from_batches(parts)
+        h = whole.column("h").to_numpy()
+        end = int(np.searchsorted(h, h[-1]))
+        if end:
+            yield whole.slice(0, end)
+        parts, size = whole.slice(end).to_batches(), whole.num_rows - end
+    if size:
+        yield pa.Table.from_batches(parts)
+
+
 def _sorted_spans(length: int, gram: int):
+    """Contexts come sorted by ``h``; those of one ``h`` are compared with each other."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        whole = pa.Table.from_batches(parts)
-        order = np.lexsort([whole.column(n).to_numpy() for n in ("pos", "row", "doc")])
-        h, row, pos, left = (whole.column(n).to_numpy()[order].astype(np.int64) for n in ("h", "row", "pos", "left"))
-        data, offsets = column_bytes(whole.column("ctx"))
-        start, n = offsets[:-1][order], np.diff(offsets)[order]
-        right = n - left - gram
-        place = np.cumsum(np.r_[0, (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])])
-        steps = np.arange(reach)
-        pad = np.r_[data, np.zeros(1, np.uint8)]
-        # reversed prefixes and suffixes of the gram, padded with zeros
-        before = np.where(steps < left[:, None], pad[np.clip((start + left)[:, None] - 1 - steps, 0, len(data))], 0).astype(np.uint8)
-        after = np.where(steps < right[:, None], pad[np.clip((start + left + gram)[:, None] + steps, 0, len(data))], 0).astype(np.uint8)
-        least, most = shared_offsets(h, place, before, left, after, right)
-        hit = least >= 0
-        yield _spans(row[hit], pos[hit] - most[hit], pos[hit] - least[hit] + length)
+        for whole in _runs(batches):
+            order = np.lexsort([whole.column(n).to_numpy() for n in ("pos", "row", "doc")])
+            h, row, pos, left = (whole.column(n).to_numpy()[order].astype(np.int64) for n in ("h", "row", "pos", "left"))
+            data, offsets = column_bytes(whole.column("ctx"))
+            start, n = offsets[:-1][order], np.diff(offsets)[order]
+            right = n - left - gram
+            place = np.cumsum(np.r_[0, (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])])
+            steps = np.arange(reach)
+            pad = np.r_[data, np.zeros(1, np.uint8)]
+            # reversed prefixes and suffixes of the gram, padded with zeros
+            before = np.where(steps < left[:, None], pad[np.clip((start + left)[:, None] - 1 - steps, 0, len(data))], 0).astype(np.uint8)
+            after = np.where(steps < right[:, None], pad[np.clip((start + left + gram)[:, None] + steps, 0, len(data))], 0).astype(np.uint8)
+            least, most = shared_offsets(h, place, before, left, after, right)
+            hit = least >= 0
+            yield _spans(row[hit], pos[hit] - most[hit], pos[hit] - least[hit] + length)
 
     return run
 
 
-def _windows(length: int, gram: int):
-    """Every window of a context, by two hashes."""
+def _one_each(ordered: bool):
+    """Of the contexts with one (h, c) the earliest is kept, those at later places become the spans they cover.
+
+    ``ordered``: the input is sorted by (kind, h, c, doc, row, pos) and (h, c) is whole, else every batch is looked at alone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            data, offsets = column_bytes(batch.column("ctx"))
-            doc, row, pos, left = (batch.column(n).to_numpy().astype(np.int64) for n in ("doc", "row", "pos", "left"))
-            ends = np.diff(offsets)
-            n = np.maximum(0, ends - length + 1)
-            of = np.repeat(np.arange(len(doc)), n)
-            inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            start = offsets[:-1][of] + inner
-            one, two = RangeHash(BYTE_CODE[data]), RangeHash(mix(BYTE_CODE[data]))
-            yield pa.RecordBatch.from_pydict({
-                "h1": pa.array(one.of(start, start + length).view(np.int64)),
-                "h2": pa.array(mix(two.of(start, start + length)).view(np.int64)),
-                "doc": pa.array(doc[of]),
-                "row": pa.array(row[of]),
-                "pos": pa.array((pos - left)[of] + inner),
-            })
+            ready = batch.column("kind").to_numpy() == SPAN
+            if ready.any():
+                yield batch.filter(pa.array(ready))
+                batch = batch.filter(pa.array(~ready))
+            if not batch.num_rows:
+                continue
+            order = np.lexsort([batch.column(n).to_numpy() for n in ("pos", "row", "doc", "c", "h")])
+            batch = batch.take(pa.array(order))
+            h, c, row, pos, left = (batch.column(n).to_numpy().astype(np.int64) for n in ("h", "c", "row", "pos", "left"))
+            new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])]
+            first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+            first_row, first_pos = row[first], pos[first]
+            if ordered and last is not None and last[:2] == (h[0], c[0]):
+                new[0] = False
+                first_row, first_pos = np.where(first == 0, last[2], first_row), np.where(first == 0, last[3], first_pos)
+            last = h[-1], c[-1], first_row[-1], first_pos[-1]
+            yield batch.filter(pa.array(new))
+            later = (row != first_row) | (pos != first_pos)
+            start = pos - left
+            of, start, end = joined(row[later], start[later], (start + np.diff(column_bytes(batch.column("ctx"))[1]))[later])
+            zero = np.zeros(len(of), np.int32)
+            columns = {"kind": zero + SPAN, "h": of, "c": end, "doc": zero, "row": of, "pos": start, "left": zero, "lo": zero, "hi": zero}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[f.name].astype(np.int64)).cast(f.type) if f.name in columns else pa.nulls(len(of), f.type) for f in batch.schema],
+                schema=batch.schema,
+            )
 
     return run
 
 
+def _halved(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Contexts with windows at offsets ``lo`` to ``hi``, dealt anew for either half by what all its windows share."""
+    reach = length - gram
+    middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+    halves = F.explode(F.array(
+        F.struct(F.col("lo"), middle.alias("hi")),
+        F.struct((middle + 1).alias("lo"), F.col("hi")),
+    ))
+    rows = contexts.select("h", "doc", "row", "pos", "left", "ctx", halves.alias("half"))
+    lo, hi = F.col("half.lo"), F.col("half.hi")
+    left = F.least("left", hi)
+    right = F.least(F.length("ctx") - F.col("left") - gram, reach - lo)
+    rows = rows.filter((left >= lo) & (right >= reach - hi) & (left + right >= reach)).select(
+        "h", "doc", "row", "pos", lo.alias("lo"), hi.alias("hi"), left.alias("left"),
+        F.substring("ctx", F.col("left") - left + 1, left + gram + right).alias("ctx"),
+    )
+    shared = F.substring("ctx", F.col("left") - F.col("lo") + 1, F.col("lo") + gram + reach - F.col("hi"))
+    rows = rows.withColumn("h", F.xxhash64("h", "lo", "hi", shared)).withColumn("c", F.xxhash64("left", "ctx"))
+    rows = rows.select(F.lit(CONTEXT).alias("kind"), "h", "c", "doc", "row", "pos", "left", "ctx", "lo", "hi")
+    rows = rows.mapInArrow(_one_each(False), PART).repartition("h", "c").sortWithinPartitions("kind", "h", "c", "doc", "row", "pos")
+    return rows.mapInArrow(_one_each(True), PART)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 40, task_contexts: int = 5_000) -> DataFrame:
     """(row, spans): per row with repeats, by its ``row_key``, the byte ranges to remove.
 
-    ``task_contexts`` is how many contexts of one gram may be sorted in one task; beyond it, windows are grouped by hash.
+    ``task_contexts`` is how many contexts of one gram are sorted together; more are first cut by the bytes around it.
     """
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), row_key(docs, id_col, text_col).alias("row"))
     settled = stored(
@@ -392,19 +453,22 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packed = texts.mapInArrow(compressed, "doc long, z binary, row long")
     fetched = packed.join(wanted, "row").select("doc", "z", "row", "wanted").mapInArrow(_fetch(length, gram), ROWS)
     contexts = stored(settled.filter(F.col("kind") == CONTEXT).unionByName(fetched).select("h", "doc", "row", "pos", "left", "ctx"), "contexts")
-    large = contexts.groupBy("h").count().filter(F.col("count") > task_contexts).select("h")
-    large = stored(large, "large-grams")
-    sort = contexts.join(large, "h", "left_anti").repartition(F.col("h")).mapInArrow(_sorted_spans(length, gram), ROWS)
-    windows = contexts.join(large, "h", "left_semi").select("doc", "row", "pos", "left", "ctx")
-    windows = windows.mapInArrow(_windows(length, gram), "h1 long, h2 long, doc long, row long, pos long")
-    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "row", "pos")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = stored(first, "first-windows")
-    later = windows.join(first, ["h1", "h2"]).filter(F.struct("doc", "row", "pos") > F.col("first"))
-    spans = (
-        settled.filter(F.col("kind") == SPAN).select("row", "pos", "c")
-        .unionByName(sort.select("row", "pos", "c"))
-        .unionByName(later.select("row", F.col("pos").cast("int").alias("pos"), (F.col("pos") + length).alias("c")))
-    )
+    spans = settled.filter(F.col("kind") == SPAN).select("row", "pos", "c")
+    contexts = contexts.withColumns({"lo": F.lit(0), "hi": F.lit(length - gram)})
+    while True:
+        sizes = contexts.groupBy("h").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        large = stored(sizes.filter((F.col("n") > task_contexts) & (F.col("lo") < F.col("hi"))).select("h"), "large-grams")
+        n_large = large.count()
+        large = F.broadcast(large) if n_large <= BROADCAST_KEYS else large
+        light = contexts.join(large, "h", "left_anti") if n_large else contexts
+        sort = light.select("h", "doc", "row", "pos", "left", "ctx").repartition(F.col("h")).sortWithinPartitions("h")
+        spans = spans.unionByName(sort.mapInArrow(_sorted_spans(length, gram), ROWS).select("row", "pos", "c"))
+        if not n_large:
+            break
+        halves = _halved(contexts.join(large, "h", "left_semi"), length, gram)
+        halves = stored(halves, "halves")
+        spans = spans.unionByName(halves.filter(F.col("kind") == SPAN).select("row", "pos", "c"))
+        contexts = halves.filter(F.col("kind") == CONTEXT).drop("kind", "c")
     return spans.groupBy("row").agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("start"), F.col("c").alias("end"))).alias("spans"))
 
 

@@ -39,10 +39,9 @@ def order(doc):
     return (doc is None, doc or 0)
 
 
-@pytest.mark.parametrize("limit", [5_000, 1])
-def test_byte_repeats_equal_brute_force(docs, none, limit):
+def without_byte_repeats(rows):
     seen, want = {}, {}
-    for doc, text in sorted({(r[0], r[1]) for r in ROWS}, key=lambda r: order(r[0])):
+    for doc, text in sorted(rows, key=lambda r: order(r[0])):
         raw = (text or "").encode()
         gone = np.zeros(len(raw), bool)
         for i in range(len(raw) - 99):
@@ -50,12 +49,37 @@ def test_byte_repeats_equal_brute_force(docs, none, limit):
                 gone[i : i + 100] = True
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
         want[doc] = (len(raw), int(gone.sum()), hashlib.sha256(kept).hexdigest())
+    return want
+
+
+@pytest.mark.parametrize("limit", [5_000, 1])
+def test_byte_repeats_equal_brute_force(docs, none, limit):
+    want = without_byte_repeats({(r[0], r[1]) for r in ROWS})
     rows = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, task_contexts=limit)).collect()
     assert len(rows) == len(ROWS)
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in rows} == want
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("limit", [5_000, 40, 3])
+def test_bytes_around_a_frequent_gram_equal_brute_force(spark, limit):
+    """One gram in all texts, with whatever stands before and after it shared by many, few or none."""
+    rng = np.random.default_rng(1)
+    gram = "the gram that everybody writes, word for word"
+    parts = ["".join(rng.choice(list("abc"), n)) for n in rng.integers(1, 90, 12)]
+    texts = []
+    for _ in range(300):
+        before, after = rng.choice(parts, 2)
+        cut, end = rng.integers(0, len(before)), rng.integers(0, len(after) + 1)
+        texts.append("".join(rng.choice(list("xyz"), rng.integers(0, 80))) + before[cut:] + gram + after[:end] + "".join(rng.choice(list("uvw"), rng.integers(0, 80))))
+    texts += [texts[0], texts[1] + texts[2], gram * 9, gram * 9 + "!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    rows = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, task_contexts=limit)).collect()
+    want = without_byte_repeats(enumerate(texts))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in rows} == want
+    assert sum(n for _, n, _ in want.values()) > 2000
+
+
 def test_blind_trie_sorts():
     rng = np.random.default_rng(0)
     texts = sorted({bytes(rng.integers(97, 99, rng.integers(0, 30)).tolist()) for _ in range(300)})
