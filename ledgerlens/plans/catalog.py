@@ -26,7 +26,7 @@ from ledgerlens.schemas import LABEL, RAW
 from ledgerlens.session import scratch_dir, stored
 from ledgerlens.sources import files, manifest
 from ledgerlens import streaming
-from ledgerlens.streaming.alerts import sustained_stream
+from ledgerlens.streaming.alerts import ended_runs, sustained_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -646,13 +646,55 @@ def stream_sustained_alert(spark, sf_dir):
     steps = M.gauge(samples, HOUR, ["deployment"])
     path = scratch_dir(spark, "alerts")
     streaming.run_for(streaming.write_stream(steps, f"{path}/steps", f"{path}/steps_checkpoint"))
-    full = spark.readStream.schema(steps.schema).parquet(f"{path}/steps").filter("value = 6")
-    met = full.select("deployment", F.col("window_end").alias("at"))
-    alerts = sustained_stream(met, "deployment", HOUR, 5 * HOUR)
+    closed = spark.readStream.schema(steps.schema).parquet(f"{path}/steps").withWatermark("window_end", "1 hour")
+    alerts = sustained_stream(closed, "deployment", HOUR, 5 * HOUR, "window_end", F.col("value") == 6)
     streaming.run_for(streaming.write_stream(alerts, f"{path}/out", f"{path}/checkpoint"))
     return comparable(spark.read.schema(alerts.schema).parquet(f"{path}/out"))
 
 
+def _to_the_end(spark, sf_dir, path, name, result):
+    """Write ``result(beats)`` from a finite source, then once more after a beat two days past the last event.
+
+    A live stream would take its beats from a clock; this one gets a single beat when the source has no more.
+    """
+    beat = D.events(spark, sf_dir).agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"))
+    beat.limit(0).write.parquet(f"{path}/{name}_beats")
+    df = result(spark.readStream.schema(beat.schema).parquet(f"{path}/{name}_beats"))
+    streaming.run_for(streaming.write_stream(df, f"{path}/{name}", f"{path}/{name}_checkpoint"))
+    beat.write.mode("append").parquet(f"{path}/{name}_beats")
+    streaming.run_for(streaming.write_stream(df, f"{path}/{name}", f"{path}/{name}_checkpoint"))
+    return df.schema
+
+
+@query
+def stream_event_rate_to_the_end(spark, sf_dir):
+    """Hourly event rate on a stream whose last windows are closed by a beat: the rows of the batch query."""
+    path = scratch_dir(spark, "rate")
+    ev = D.event_stream(spark, sf_dir)
+    schema = _to_the_end(spark, sf_dir, path, "out", lambda beats: M.event_rate(streaming.kept_awake(ev, beats, "ts", "10 minutes"), "ts", HOUR))
+    return comparable(spark.read.schema(schema).parquet(f"{path}/out"))
+
+
+@query
+def stream_ended_runs(spark, sf_dir):
+    """Runs of five hours or more with all replicas up, each reported as it ends, the last one by a timer."""
+    path = scratch_dir(spark, "runs")
+    ev = D.event_stream(spark, sf_dir)
+
+    def gauges(beats):
+        return M.gauge(D.replica_samples(streaming.kept_awake(ev, beats, "ts", "10 minutes")), HOUR, ["deployment"])
+
+    steps = _to_the_end(spark, sf_dir, path, "steps", gauges)
+
+    def runs(beats):
+        closed = spark.readStream.schema(steps).parquet(f"{path}/steps")
+        awake = streaming.kept_awake(closed, beats.withColumnRenamed("ts", "window_end"), "window_end", "1 hour")
+        return ended_runs(awake, "deployment", HOUR, 5 * HOUR, "window_end", F.col("value") == 6)
+
+    schema = _to_the_end(spark, sf_dir, path, "out", runs)
+    return comparable(spark.read.schema(schema).parquet(f"{path}/out"))
+
+
 # ------------------------------------------------------------ monitoring
 
 

@@ -470,6 +470,13 @@ oracle("stream_sustained_alert", "replicas", f"""
           WHERE at_ <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM ev))
     GROUP BY run HAVING max(at_) - min(at_) >= INTERVAL 5 HOUR""")
 
+oracle("stream_event_rate_to_the_end", "ev", HOURLY.format(by=""))
+oracle("stream_ended_runs", "replicas", f"""
+    SELECT 'api' AS deployment, strftime(min(at_), {STAMP}) AS since, strftime(max(at_), {STAMP}) AS until, count(*) AS steps
+    FROM (SELECT at_, epoch(at_) / 3600 - row_number() OVER (ORDER BY at_) AS run
+          FROM (SELECT w + INTERVAL 1 HOUR AS at_ FROM replicas WHERE value = 6))
+    GROUP BY run HAVING max(at_) - min(at_) >= INTERVAL 5 HOUR""")
+
 oracle("outcome_counts", "champ", """
     SELECT count(*) AS predictions_total, count(*) FILTER (prediction = 1) AS fraud_predictions_total FROM champ""")
 oracle("event_rate", "ev", HOURLY.format(by=""))

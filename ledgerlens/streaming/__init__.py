@@ -103,6 +103,20 @@ def write_totals(df: DataFrame, path: str, checkpoint: str, live: bool = False)
     return writer.start()
 
 
+def kept_awake(events: DataFrame, beats: DataFrame, ts: str, late: str) -> DataFrame:
+    """``events`` with a watermark on ``ts`` that the stream ``beats`` moves on too.
+
+    A window or run is closed by a later time, so the last ones of a source that falls silent would stay open. ``beats`` has
+    a column ``ts`` (a clock, for instance) and its rows are gone from the result. Filters on other columns
+    belong before this call: after it, Spark moves them below the watermark, and the beats with them.
+    """
+    marked = events.withColumn("__beat", F.lit(False))
+    beats = beats.filter(F.col(ts).isNotNull()).select(ts, F.lit(True).alias("__beat"))
+    both = marked.unionByName(beats, allowMissingColumns=True).withWatermark(ts, late)
+    # one predicate that names the event time stays above the watermark
+    return both.filter(~F.col("__beat") | F.col(ts).isNull()).drop("__beat")
+
+
 def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
     """Wait for a finite query, or let a live one run for a while and stop it."""
     if seconds is None:

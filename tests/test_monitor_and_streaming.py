@@ -12,7 +12,7 @@ from ledgerlens.operators import monitor as M
 from ledgerlens.operators import scoring as S
 from ledgerlens.plans import derive as D
 from ledgerlens.sources import kafka
-from ledgerlens.streaming.alerts import sustained_stream
+from ledgerlens.streaming.alerts import ended_runs, sustained_stream
 
 T0 = datetime(2024, 1, 1)
 MINUTE = timedelta(minutes=1)
@@ -146,8 +146,37 @@ def test_alert_state_spans_batches(spark, tmp_path):
         rows = [("api", T0 + m * MINUTE) for m in minutes]
         spark.createDataFrame(rows, "deployment string, at timestamp").coalesce(1).write.mode("append").parquet(folder)
     source = spark.readStream.schema("deployment string, at timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+    source = source.withWatermark("at", "2 minutes")
     alerts = sustained_stream(source, "deployment", MINUTE, 5 * MINUTE)
     out = str(tmp_path / "out")
     streaming.run_for(streaming.write_stream(alerts, out, str(tmp_path / "c")))
     got = sorted(tuple(r) for r in spark.read.schema(alerts.schema).parquet(out).collect())
     assert got == [("api", T0, T0 + 5 * MINUTE), ("api", T0 + 20 * MINUTE, T0 + 25 * MINUTE)]
+
+
+def test_runs_end_by_gap_or_timer_and_leave_no_state(spark, tmp_path):
+    """Key a breaks off by a gap, b falls silent, c is too short, d holds to the last step; unmet steps and beats move time on."""
+    folder, beats = str(tmp_path / "steps"), str(tmp_path / "beats")
+    schema = "pod string, at timestamp, value int"
+    met = {"a": [*range(0, 6), *range(9, 12)], "b": range(0, 7), "c": range(2, 5), "d": range(8, 16)}
+    for first in range(0, 16, 4):
+        rows = [(p, T0 + m * MINUTE, int(m in met[p])) for p in met for m in range(first, first + 4) if p != "b" or m < 7]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    spark.createDataFrame([], "at timestamp").write.parquet(beats)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    clock = spark.readStream.schema("at timestamp").parquet(beats)
+    awake = streaming.kept_awake(source, clock, "at", "1 minute")
+    runs = ended_runs(awake, "pod", MINUTE, 5 * MINUTE, condition=F.col("value") == 1)
+    out = str(tmp_path / "out")
+
+    def run():
+        query = streaming.write_stream(runs, out, str(tmp_path / "c"))
+        streaming.run_for(query)
+        return sorted(tuple(r) for r in spark.read.schema(runs.schema).parquet(out).collect()), query.lastProgress
+
+    ended = [("a", T0, T0 + 5 * MINUTE, 6), ("b", T0, T0 + 6 * MINUTE, 7)]
+    assert run()[0] == ended
+    spark.createDataFrame([(T0 + 60 * MINUTE,)], "at timestamp").write.mode("append").parquet(beats)
+    got, progress = run()
+    assert got == [*ended, ("d", T0 + 8 * MINUTE, T0 + 15 * MINUTE, 8)]
+    assert progress.stateOperators[0].numRowsTotal == 0
