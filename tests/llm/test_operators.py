@@ -350,6 +350,32 @@ def test_language(spark, docs, none, sf_dir):
     assert abs(total - 1) < 0.01
 
 
+def test_rejection_limits_hold_for_new_texts():
+    rng = np.random.default_rng(5)
+    ranks = [("x", float(i)) for i in range(1, 400)]
+    assert langid.limits(ranks, 0.005) == {"x": 398.0}  # the 398th of 399 values
+    few = langid.limits(ranks + [("y", 10.0), ("y", 12.0), ("y", 14.0)], 0.005)
+    assert few["x"] == 398.0 and few["y"] == 12.0 + 198.0  # its median and the greatest but one distance of all
+    assert langid.limits([("x", 1.0), ("x", 2.0)], 0.005) == {"x": np.inf} and langid.limits([], 0.005) == {}
+    over = []
+    for _ in range(2_000):
+        seen = rng.normal(size=199)
+        over.append(rng.normal() > langid.limits([("x", float(v)) for v in seen], 0.005)["x"])
+    assert np.mean(over) < 0.015
+
+
+def test_language_rejection_spares_unseen_texts_and_tells_noise(spark):
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(real.filter(~langid.held_out()))
+    judged = langid.predict(real.filter(langid.held_out()), model).filter("lang_pred <> 'und'").collect()
+    assert sum(r["rejected"] for r in judged) <= 0.02 * len(judged) and len(judged) > 200
+    # equal texts count once and the model is that of all rows, whatever the sample
+    again = langid.fit(real.unionByName(real).filter(~langid.held_out()), calibrate_rows=20)
+    assert np.isfinite(model.most).all() and again.langs == model.langs and len(again.models[0].levels[0].keys) == len(model.models[0].levels[0].keys)
+    noise = spark.createDataFrame([(1, "xqzj wvkq jjxz qpwv zzkx vqjw " * 20)], "doc_id long, text string")
+    assert langid.predict(noise, model).first()["rejected"]
+
+
 def test_language_models_keep_all_grams_in_any_number_of_shards(spark):
     rng, rows = np.random.default_rng(3), []
     for i in range(48):  # over 200,000 different grams a language, most of them seen once
