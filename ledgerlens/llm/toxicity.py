@@ -84,7 +84,7 @@ def features_of(text: str, lexicon: dict[str, float]) -> tuple[float, ...]:
     hidden = sum(1 for w in obfuscated if BETWEEN.sub("", w).translate(LEET) in lexicon)
     kinds = {words[i] for i in hits}
     letters = sum(map(len, words))
-    capitals = sum(map(str.isupper, text)) if text.isupper() else len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
+    capitals = sum(map(str.isupper, text))
     return (
         float(len(hits)), len(hits) / n if n else 0.0, float(len(kinds)), sum(lexicon[w] for w in kinds), near, len(yous) / n if n else 0.0,
         capitals / letters if letters else 0.0, (text.count("!") + text.count("?")) / n if n else 0.0,
@@ -133,16 +133,21 @@ def _vectors(df: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Model:
-    """Learns from at most ``most_labels`` labelled rows outside the fold held out."""
+    """Learns from at most ``most_labels`` labelled rows outside the fold held out; of several texts with one id the least
+    counts. Lexicon and trees see all but one fold of these rows, which the isotonic steps are fitted on."""
     one = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     chosen = sample(one.filter(fold("doc_id", FOLDS) != 0), "doc_id", most_labels)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = stored(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label"), "toxic-labelled")
+    rows = stored(texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")), "toxic-labelled")
     of = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     clean, toxic = of.get(0, 0), of.get(1, 0)
     if not clean or not toxic:
         return Model({}, None, None, float(bool(toxic)))
-    lexicon = learn_lexicon(rows.select("text", "label"), clean, toxic)
+    seen = rows.filter(fold("doc_id", FOLDS) != 4)
+    seen_of = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
+    if len(seen_of) < 2:
+        seen, seen_of = rows, of
+    lexicon = learn_lexicon(seen.select("text", "label"), seen_of[0], seen_of[1])
     known = stored(features(rows, lexicon).join(rows.select("doc_id", "label"), "doc_id").coalesce(4), "toxic-features")
     known = _vectors(known)
     grow, rest = known.filter(fold("doc_id", FOLDS) != 4), known.filter(fold("doc_id", FOLDS) == 4)
