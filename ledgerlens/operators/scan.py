@@ -1,7 +1,8 @@
 """Ordered scans over tables of any size: ranks, running sums and running maxima.
 
 Rows are sorted once into range partitions, the *slices*, and written with the number of their slice. A slice is one
-task's share, so more rows make more slices and not larger ones. What a slice hands on to the later ones is its total per
+task's share, so more rows make more slices and not larger ones; slices asked to be smaller than that grow up to it once
+there are ``FEW`` of them, as a task has a cost of its own. What a slice hands on to the later ones is its total per
 group; the totals form a small table of their own, which is scanned in two levels, blocks of slices first. So no
 step depends on a list of cut points in the driver, nothing is broadcast by hand and no number of slices is too large.
 """
@@ -16,17 +17,23 @@ from ledgerlens.session import stored
 
 SLICE_ROWS = 1_000_000
 BLOCK = 1024  # slices per block of the second level
+FEW = 256  # slices that may be smaller than a task's share
 SLICE, PLACE = "__slice", "__place"
 
 
+def slices_of(rows: int, slice_rows: int = SLICE_ROWS) -> int:
+    """Into how many slices that many rows are cut."""
+    share = max(slice_rows, min(SLICE_ROWS, -(-rows // FEW)))
+    return max(1, -(-rows // share))
+
+
 def in_slices(df: DataFrame, order: Sequence[str | Column], slice_rows: int = SLICE_ROWS, name: str = "slices") -> DataFrame:
     """The rows in that order, with the number of their slice and their place in all slices' numbering (growing, with gaps).
 
     Rows that are equal in ``order`` stay in one slice, so ``order`` should tell heavy ties apart. The input is
     looked at three times (count, sample, sort): it should be a stored table.
     """
-    slices = max(1, -(-df.count() // slice_rows))
-    placed = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    placed = df.repartitionByRange(slices_of(df.count(), slice_rows), *order).sortWithinPartitions(*order)
     return stored(placed.withColumns({SLICE: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}), name)
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import featurestore as FS
-from ledgerlens.operators import skew
+from ledgerlens.operators import scan, skew
 from ledgerlens.operators.replay import first_rows, replay
 from ledgerlens.operators.scan import numbered
 
@@ -60,6 +60,23 @@ def test_asof_join_against_brute_force(spark, seed, min_rows):
     assert out.count() == len(entities) and got == brute_force(stats, entities)
 
 
+def test_small_slices_grow_once_there_are_many(spark, monkeypatch):
+    assert scan.slices_of(900, 40) == 23 and scan.slices_of(2_400_000, 10) == scan.FEW and scan.slices_of(10**9, 10) == 1000
+    monkeypatch.setattr(scan, "FEW", 6)
+    cut, plain = [], scan.in_slices
+
+    def watched(*args, **kw):
+        out = plain(*args, **kw)
+        cut.append(out.select(scan.SLICE).distinct().count())
+        return out
+
+    monkeypatch.setattr(scan, "in_slices", watched)
+    stats, entities = random_case(3)
+    out = FS.asof_join(spark.createDataFrame(entities, ENTITIES), spark.createDataFrame(stats, STATS), VIEWS, min_rows=3).collect()
+    got = {r.request_id: (None if r.conv_rate is None else round(r.conv_rate, 4), r.avg_daily_trips) for r in out}
+    assert len(out) == len(entities) and got == brute_force(stats, entities) and 1 < max(cut) <= 6
+
+
 def test_created_time_settles_ties_and_ttl_is_inclusive(spark):
     at = T0 + timedelta(hours=30)
     stats = spark.createDataFrame([(1, T0, T0, 0.1, 0.1, 1), (1, T0, T0 + timedelta(hours=1), 0.2, 0.2, 2)], STATS)
