@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerlens import streaming
 from ledgerlens.operators import clean, features
 from ledgerlens.operators import monitor as M
+from ledgerlens.operators import scan
 from ledgerlens.operators import scoring as S
 from ledgerlens.plans import derive as D
 from ledgerlens.sources import kafka
@@ -40,6 +41,21 @@ def test_counter_increases_against_brute_force(spark, min_rows):
     assert {(r.pod, int((r.ts - T0).total_seconds())): r.increase for r in got} == want
 
 
+def test_hot_series_make_few_tasks(spark, monkeypatch):
+    made, plain = [], scan.in_slices
+
+    def watched(*args, **kw):
+        out = plain(*args, **kw)
+        made.append(out.agg(F.max(scan.SLICE)).first()[0] + 1)
+        return out
+
+    monkeypatch.setattr(scan, "in_slices", watched)
+    df = spark.range(4000).select((F.col("id") % 2).alias("pod"), F.timestamp_seconds("id").alias("ts"), (F.col("id") % 50).alias("value"))
+    grown = M.counter_increases(df, ["pod"], min_rows=2)
+    assert sorted(map(str, grown.collect())) == sorted(map(str, M.counter_increases(df, ["pod"]).collect()))
+    assert 100 < made[0] <= scan.FEW < 4000 / 2
+
+
 def test_rate_and_total(spark):
     df = samples(spark, [("a", 0, 10), ("a", 30, 20), ("a", 45, 5), ("a", 70, 11), ("b", 10, 1)])
     rates = {r.window_start: r.per_second for r in M.counter_rate(M.counter_increases(df, ["pod"]), MINUTE).collect()}
