@@ -135,6 +135,25 @@ def test_replay_wraps_around(spark, limit):
     assert sorted((r.position, r.i) for r in out.collect()) == [(p, p % 10) for p in range(limit)]
 
 
+def test_replay_in_small_slices_makes_few_tasks(spark, monkeypatch):
+    from ledgerlens.schemas import RAW
+
+    made, plain = [], scan.in_slices
+
+    def watched(*args, **kw):
+        out = plain(*args, **kw)
+        made.append(out.agg(F.max(scan.SLICE)).first()[0] + 1)
+        return out
+
+    monkeypatch.setattr(scan, "in_slices", watched)
+    ids = random.Random(6).sample(range(10**9), 3000)
+    rows = [(i, "2022-11-04 10:00:00", 1, "7", 1.0, 1, 1, 0, 0) for i in ids]
+    df = spark.createDataFrame(rows, RAW).withColumn("tx_datetime", F.col("tx_datetime").cast("timestamp"))
+    out = replay(df, passes=1.5, min_rows=2).select("position", F.get_json_object("value", "$.tranaction_id").cast("int").alias("i"))
+    assert sorted((r.position, r.i) for r in out.collect()) == [*enumerate((sorted(ids) * 2)[:4500])]
+    assert 100 < made[0] <= scan.FEW < 3000 / 2
+
+
 def test_replay_of_nothing(spark):
     from ledgerlens.schemas import RAW
 
