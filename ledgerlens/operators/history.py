@@ -3,6 +3,9 @@
 Transactions of one key and second are summed first, so a key's table grows with time and not with traffic. Time is cut into
 slices of fixed width, and a slice gets the rows of the range before it as a *halo* that is read but not returned. So a
 window holds the seconds of one slice and its halo at most, however many rows a key has.
+
+A slice is cut into blocks as long as the range. The range of a row is the end of the block before and the start of its own, so two
+running sums that restart with each block give it: the work is one step per second, not per pair of seconds, and nothing is subtracted.
 """
 
 from __future__ import annotations
@@ -40,9 +43,24 @@ def trailing(
     own = F.floor(F.col("__at") / size)
     reaches = F.floor((F.col("__at") + span) / size)  # the last slice that looks back to this row
     copies = instants.withColumn("__own", own).withColumn("__slice", F.explode(F.sequence(own, reaches)))
-    w = Window.partitionBy(*keys, "__slice").orderBy("__at").rangeBetween(-span, 0)
-    summed = copies.withColumns({c: F.sum(c).over(w) for c in ("__n", "__known", "__sum")})
-    mine = summed.filter("__own = __slice")
+    # a row counts in its own block and, moved on by the range, in the next one: rows up to that time still see it;
+    # the shuffle by slice serves both windows
+    moved = F.explode(F.array(F.lit(False), F.lit(True)))
+    shared = copies.repartition(*keys, "__slice").withColumn("__moved", moved)
+    placed = shared.withColumn("__at", F.when(F.col("__moved"), F.col("__at") + span).otherwise(F.col("__at")))
+    placed = placed.withColumn("__block", F.floor(F.col("__at") / span))
+    block = Window.partitionBy(*keys, "__slice", "__block")
+    upto = block.orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
+    since = block.orderBy(F.desc("__at")).rangeBetween(Window.unboundedPreceding, 0)
+    sums = ("__n", "__known", "__sum")
+    parts = {f"{c}_own": F.sum(F.when(~F.col("__moved"), F.col(c))).over(upto) for c in sums}
+    parts |= {f"{c}_before": F.sum(F.when(F.col("__moved"), F.col(c))).over(since) for c in sums}
+    both = placed.withColumns(parts).filter("not __moved and __own = __slice")
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.col(f"{c}_own") + F.col(f"{c}_before"), f"{c}_own", f"{c}_before").alias(c)
+
+    mine = both.select(*keys, "__at", *[total(c) for c in sums])
     mean: Column = F.try_divide("__sum", "__known")
     return mine.select(*keys, F.timestamp_seconds("__at").alias(ts), F.col("__n").alias("n"), mean.alias("mean"))
 

@@ -171,3 +171,19 @@ def test_drift(spark):
     bounds = H.even_bounds(df.filter("p = 'a'"), "v", 5)
     got = {r.period: r.psi for r in H.drift(df, F.col("p"), "v", bounds, F.col("p") == "a").collect()}
     assert got["a"] == pytest.approx(0) and got["b"] == pytest.approx(0) and got["c"] > 1 and math.isfinite(got["c"])
+
+
+def test_trailing_work_is_in_proportion_to_the_instants(spark):
+    """No window recomputes a range per row, and a value that is not a number counts only where it is in range."""
+    n, span = 30_000, 5_000
+    value = F.when(F.col("id") == 9_000, float("nan")).when(F.col("id") == 20_000, float("inf")).otherwise(F.col("id").cast("double"))
+    df = spark.range(n).select(F.lit(1).alias("k"), F.timestamp_seconds("id").alias("at"), value.alias("v"))
+    out = H.trailing(df, ["k"], "at", "v", timedelta(seconds=span), timedelta(seconds=7_001))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding" in plan and f"-{span}" not in plan
+    rows = out.orderBy("at").collect()
+    assert len(rows) == n
+    for i, r in enumerate(rows):
+        low = max(0, i - span)
+        want = math.nan if low <= 9_000 <= i else math.inf if low <= 20_000 <= i else (low + i) / 2
+        assert r.n == i - low + 1 and (math.isnan(r["mean"]) if math.isnan(want) else r["mean"] == pytest.approx(want))
