@@ -87,9 +87,8 @@ def counter_increases(
         # one shuffle by series serves both the grouping and the window below
         samples = samples.repartition(*series)
     once = samples.groupBy(*series, F.col(ts)).agg(F.max(value).alias(value))
-    once = once.withColumn("__sample", F.struct(ts, value))
     once = stored(once, "samples") if hot else once
-    seen = latest_so_far(once, series, [ts], "__sample", "__previous", hot, inclusive=False, min_rows=min_rows)
+    seen = latest_so_far(once, series, [ts], F.struct(ts, value), "__previous", hot, inclusive=False, min_rows=min_rows)
     before = F.col("__previous")[value]
     grown = F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
     return seen.select(*series, ts, value, F.when(before.isNotNull(), grown).alias("increase"))

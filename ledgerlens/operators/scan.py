@@ -4,12 +4,14 @@ Rows are sorted once into range partitions, the *slices*, and written with the n
 task's share, so more rows make more slices and not larger ones; slices asked to be smaller than that grow up to it once
 there are ``FEW`` of them, as a task has a cost of its own. What a slice hands on to the later ones is its total per
 group; the totals form a small table of their own, which is scanned in two levels, blocks of slices first. So no
-step depends on a list of cut points in the driver, nothing is broadcast by hand and no number of slices is too large.
+step depends on a list of cut points in the driver and no number of slices is too large. Slices are sorted by group, so only
+the first group of a slice gets anything from before: what is handed on is a row per slice at most, and is broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -70,9 +72,11 @@ def before(
 
 
 def _with_carry(rows: DataFrame, carry: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """The carry of each row's slice and group beside it, null where there is none; null groups match."""
+    """The carry of each row's slice and group beside it, null where there is none; null groups match. At most one row of
+    ``carry`` per slice has anything, so the rows stay where they are."""
     keys = [*groups, SLICE]
-    other = carry.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    some = reduce(Column.__or__, [F.col(c).isNotNull() for c in carry.columns if c not in keys])
+    other = F.broadcast(carry.filter(some).withColumnsRenamed({k: f"__of_{k}" for k in keys}))
     same = F.lit(True)
     for k in keys:
         same = same & rows[k].eqNullSafe(other[f"__of_{k}"])
@@ -116,7 +120,7 @@ def running_max(
     df: DataFrame,
     groups: Sequence[str],
     order: Sequence[str | Column],
-    value: str,
+    value: str | Column,
     out: str,
     slice_rows: int = SLICE_ROWS,
     inclusive: bool = True,
@@ -127,7 +131,7 @@ def running_max(
     """
     sliced = in_slices(df, [*groups, *order], slice_rows, "running")
     totals = sliced.groupBy(*groups, SLICE).agg(F.max(value).alias("__top"))
-    carry = before(totals, groups, {"__top": "__before"}, F.max, F.greatest).filter("__before is not null")
+    carry = before(totals, groups, {"__top": "__before"}, F.max, F.greatest)
     end = Window.currentRow if inclusive else -1
     within = Window.partitionBy(SLICE, *groups).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, end)
     placed = _with_carry(sliced.withColumn("__within", F.max(value).over(within)), carry, groups)

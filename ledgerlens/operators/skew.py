@@ -108,7 +108,7 @@ def has_hot_key(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) ->
 
 
 def latest_so_far(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, out: str, hot: bool, inclusive: bool = True, min_rows: int = MIN_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str | Column, out: str, hot: bool, inclusive: bool = True, min_rows: int = MIN_ROWS
 ) -> DataFrame:
     """``max(value)`` over rows with the same keys up to this one in ``order``, or before it.
 

@@ -41,6 +41,13 @@ def test_scans_equal_loops_at_any_number_of_slices(rows, monkeypatch, slice_rows
     assert got == {i: 899 - i for i in range(900)}
 
 
+def test_what_is_handed_on_is_broadcast(rows):
+    """Rows are not shuffled for it, and a value made of columns is not stored beside them."""
+    out = S.running_max(rows[1], ["g"], ["i"], F.struct("v", "i"), "m", 40)
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+    assert joins and all("strategy=broadcast" in x for x in joins) and out.columns == ["g", "i", "v", "m"]
+
+
 def test_scans_of_nothing(spark):
     none = spark.createDataFrame([], "g int, i int, v int")
     assert S.running_sums(none, ["g"], ["i"], {"v": "s"}).count() == S.numbered(none, ["i"]).count() == 0
