@@ -1,8 +1,9 @@
 """Quality rules: counts per document, fixed limits, and an isolation forest on rates made of the counts.
 
-The forest is fitted on a bounded sample of labelled rows (``fit_rows``), trees on ``tree_rows`` of them each. A tree
+The forest is fitted on all labelled rows of good quality, each of which goes to one tree at least. A tree
 splits a random rate at a random place, somewhat beyond the range of the rows at hand as well, so that a document
-outside all that was seen is soon alone: its path is short. The limit for the score is set on labelled rows: the
+outside all that was seen is soon alone: its path is short. All trees grow together, a level at a time, from the counts and
+ranges of their nodes; only these come to the driver. The limit for the score is set on all labelled rows: the
 lowest one that rejects at most ``good_loss`` of those of good quality.
 
 A null or empty text has no words, so it fails the fixed limits. Where no labelled row exists, only these count.
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.llm.labelled import sample
+from ledgerlens.llm.labelled import at_ranks, sample
 from ledgerlens.llm.store import stored
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -86,31 +87,53 @@ def _mean_path(n: float) -> float:
 
 
 class IsolationForest:
-    """Random trees over numeric rows; ``reach`` is how far beyond its rows' range a split of each column may lie. ``score`` is near 1 for rows that few splits set apart, about 0.5 or less for others."""
+    """Random trees over the rates of ``n`` rows (doc_id, rates); ``reach`` is how far beyond its rows' range a split of each rate may lie.
+    A row goes to as many trees as make ``tree_rows`` rows a tree, one at least. ``score`` is near 1 for rows that few splits set apart, about 0.5 or less for others."""
 
-    def __init__(self, rows: np.ndarray, reach: np.ndarray, trees: int = 100, tree_rows: int = 256, seed: int = 0):
-        self.rows = min(tree_rows, len(rows))
+    def __init__(self, rows: DataFrame, n: int, reach: np.ndarray, trees: int = 100, tree_rows: int = 256, seed: int = 0):
+        each = min(trees, -(-trees * tree_rows // n))
+        self.rows = n * each / trees
         rng = np.random.default_rng(seed)
-        self.depth = max(1, math.ceil(math.log2(max(2, self.rows))))
+        self.depth = max(1, math.ceil(math.log2(max(2, min(n, tree_rows)))))
         size = 2 ** (self.depth + 1)
         self.column = np.zeros((trees, size), np.int16)
         self.split = np.full((trees, size), np.inf)  # all go left where nothing is split
         self.path = np.zeros((trees, size))
-        for t in range(trees):
-            todo = [(1, rows[rng.choice(len(rows), self.rows, replace=False)], 0)]
-            while todo:
-                node, part, depth = todo.pop()
-                wide = np.flatnonzero(part.max(0) - part.min(0) + reach > 0) if len(part) > 1 else []
+        first = F.xxhash64("doc_id", F.lit(seed))
+        of = F.explode(F.expr(f"sequence(0, {each - 1})"))
+        dealt = stored(rows.withColumn("nth", of).select(F.pmod(first + F.col("nth"), F.lit(trees)).cast("int").alias("tree"), *RATES), "forest-rows")
+        ended = set()
+        for depth in range(self.depth + 1):
+            for t, node, count, *ranges in sorted(self._nodes(dealt, depth)):
+                if (t, node) in ended:
+                    continue
+                low, high = np.array(ranges[: len(RATES)]), np.array(ranges[len(RATES) :])
+                wide = np.flatnonzero(high - low + reach > 0) if count > 1 else []
                 if depth == self.depth or not len(wide):
                     # the path of a leaf goes on below it, so that every row walks to the same depth
-                    self._leaf(t, node, depth, depth + _mean_path(len(part)))
+                    self._leaf(t, node, depth, depth + _mean_path(count))
+                    ended |= {(t, node << k) for k in range(1, self.depth - depth + 1)}
                     continue
                 c = int(rng.choice(wide))
-                low, high = part[:, c].min(), part[:, c].max()
-                at = rng.uniform(low - reach[c], high + reach[c])
-                self.column[t, node], self.split[t, node] = c, at
-                left = part[:, c] < at
-                todo += [(2 * node, part[left], depth + 1), (2 * node + 1, part[~left], depth + 1)]
+                self.column[t, node], self.split[t, node] = c, rng.uniform(low[c] - reach[c], high[c] + reach[c])
+                for side in (2 * node, 2 * node + 1):  # a side may stay empty
+                    self._leaf(t, side, depth + 1, depth + 1)
+
+    def _nodes(self, dealt: DataFrame, depth: int) -> list[tuple]:
+        """(tree, node, rows, least rates, greatest rates) of the nodes at that depth that have rows, one row per node."""
+        column, split = self.column, self.split
+
+        def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                tree, *rates = (batch.column(i).to_numpy() for i in range(batch.num_columns))
+                rates, index, node = np.column_stack(rates), np.arange(batch.num_rows), np.ones(batch.num_rows, np.int64)
+                for _ in range(depth):
+                    node = 2 * node + (rates[index, column[tree, node]] >= split[tree, node])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), *batch.columns[1:]], ["tree", "node", *RATES])
+
+        placed = dealt.mapInArrow(walked, "tree int, node long, " + ", ".join(f"{r} double" for r in RATES))
+        found = placed.groupBy("tree", "node").agg(F.count("*").alias("n"), *[f(r).alias(f"{a}_{r}") for a, f in (("low", F.min), ("high", F.max)) for r in RATES])
+        return [tuple(r) for r in found.collect()]
 
     def _leaf(self, t: int, node: int, depth: int, path: float) -> None:
         self.path[t, node << (self.depth - depth)] = path
@@ -131,18 +154,36 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def fit(stats: DataFrame, labels: DataFrame, fit_rows: int = 4096, calibrate_rows: int = 20_000, good_loss: float = 0.004, seed: int = 0) -> tuple[IsolationForest, float] | None:
-    """The forest and the limit of its score, from at most ``calibrate_rows`` labelled rows that pass the fixed limits; the forest sees at most ``fit_rows``."""
+def _scored(forest: IsolationForest, keep: tuple[str, ...] = ()):
+    """The forest's score of each row as ``anomaly``, beside the columns to keep."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.column_stack([batch.column(batch.schema.get_field_index(r)).to_numpy() for r in RATES])
+            kept = {c: batch.column(batch.schema.get_field_index(c)) for c in keep}
+            yield pa.RecordBatch.from_pydict({**kept, "anomaly": pa.array(forest.score(rows))})
+
+    return run
+
+
+def fit(stats: DataFrame, labels: DataFrame, fit_rows: int | None = None, calibrate_rows: int | None = None, good_loss: float = 0.004, seed: int = 0) -> tuple[IsolationForest, float] | None:
+    """The forest and the limit of its score, from all labelled rows that pass the fixed limits. A caller may bound how many of them
+    set the limit (``calibrate_rows``) and how many the forest sees (``fit_rows``)."""
     one = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    chosen = F.broadcast(sample(one, "doc_id", calibrate_rows))  # at most calibrate_rows rows of two numbers
-    rows = stats.filter(~base_failed()).join(chosen, "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").select("quality", *RATES).collect()
-    good = np.array([r[1:] for r in rows if r[0] == 1], float)
-    spread = np.array([r[1:] for r in rows], float).std(0) if rows else None
-    if len(good) < 2:
+    if calibrate_rows is not None:
+        one = sample(one, "doc_id", calibrate_rows)
+    of_id = stats.filter(~base_failed()).join(one, "doc_id").groupBy("doc_id").agg(F.min(F.struct("quality", *RATES)).alias("row"))
+    rows = stored(of_id.select("doc_id", "row.*"), "quality-labelled")
+    n, *spread = rows.agg(F.count_if(F.col("quality") == 1), *[F.stddev_pop(r) for r in RATES]).first()
+    if n < 2:
         return None
-    rng = np.random.default_rng(seed)
-    forest = IsolationForest(good[rng.permutation(len(good))[:fit_rows]], spread, seed=seed)
-    return forest, float(np.quantile(forest.score(good), 1 - good_loss, method="higher"))
+    good = rows.filter("quality = 1")
+    seen = good if fit_rows is None else sample(good, "doc_id", fit_rows)
+    # rounded, as the order of a sum must not matter
+    forest = IsolationForest(seen, n if fit_rows is None else min(n, fit_rows), np.array([float(f"{x:.9g}") for x in spread]), seed=seed)
+    scores = good.mapInArrow(_scored(forest), "anomaly double").select(F.lit("good"), "anomaly")
+    rank = math.ceil((n - 1) * (1 - good_loss)) + 1
+    return forest, at_ranks(scores, {"good": [rank]})["good", rank]
 
 
 def judge(stats: DataFrame, model: tuple[IsolationForest, float] | None) -> DataFrame:
@@ -152,14 +193,8 @@ def judge(stats: DataFrame, model: tuple[IsolationForest, float] | None) -> Data
         return base.select("doc_id", *COUNTS, "base_failed", F.lit(None).cast("double").alias("anomaly"), (~F.col("base_failed")).alias("kept"))
     forest, limit = model
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.column_stack([batch.column(batch.schema.get_field_index(r)).to_numpy() for r in RATES])
-            keep = batch.select(["doc_id", *COUNTS, "base_failed"])
-            yield pa.RecordBatch.from_pydict({**dict(zip(keep.schema.names, keep.columns)), "anomaly": pa.array(forest.score(rows))})
-
     table = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, anomaly double"
-    return base.mapInArrow(scored, table).withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= limit))
+    return base.mapInArrow(_scored(forest, ("doc_id", *COUNTS, "base_failed")), table).withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= limit))
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

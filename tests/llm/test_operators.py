@@ -234,6 +234,19 @@ def test_quality_and_toxicity_edges(spark, docs, none, sf_dir):
     assert {r["score"] for r in toxicity.score(docs, toxicity.fit(real, empty)).collect()} == {0.0}
 
 
+def test_quality_fits_and_calibrates_on_all_labelled_rows(spark):
+    """Over 20,000 labelled rows: the limit is the exact quantile of all good ones, and all are in the forest."""
+    n = 24_000
+    h = [(F.pmod(F.xxhash64("id", F.lit(r)), F.lit(1000)) / 1000).alias(r) for r in quality.RATES]
+    fine = [F.lit(v).cast("long").alias(c) for c, v in zip(quality.COUNTS, (100, 500, 0, 0, 0))]
+    stats = spark.range(n).select(F.col("id").alias("doc_id"), *fine, *h).repartition(5)
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    forest, limit = quality.fit(stats, labels)
+    scores = forest.score(np.array(stats.select(*quality.RATES).collect(), float))
+    assert limit == np.quantile(scores, 0.996, method="higher") and forest.rows * len(forest.split) >= n
+    assert (forest.score(np.full((1, len(quality.RATES)), 50.0)) > limit).all()
+
+
 def test_nearness_is_the_same_at_every_size():
     near_you = toxicity.FEATURES.index("near_you")
     part = ["w"] * 100 + ["you", "bad"] + ["w"] * 100 + ["bad"] + ["w"] * 30 + ["you"] + ["w"] * 100
