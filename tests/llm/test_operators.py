@@ -377,6 +377,27 @@ def test_rejection_limits_hold_for_new_texts():
     assert np.mean(over) < 0.015
 
 
+def test_limits_of_a_table_are_those_of_the_list(spark):
+    rng = np.random.default_rng(8)
+    found = [("x", float(v)) for v in rng.integers(0, 50, 700) / 8] + [("y", float(v)) for v in rng.normal(size=400)] + [("z", 3.0), ("z", 9.0)]
+    for part in (found, found[-2:], []):
+        table = spark.createDataFrame(part, "lang string, cross_entropy double").repartition(3)
+        assert langid.table_limits(table, 0.005) == langid.limits(part, 0.005)
+
+
+def test_rejection_limits_rest_on_all_texts(spark):
+    """Every different text gives its entropy, under a model that has not counted it, and 5,000 are not cut to 4,000."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(words, 6)) + (f" {i}" if i % 2 else " end"), "xy"[i % 2]) for i in range(5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    known = langid.known_texts(docs)
+    counted = langid.counted_folds(known)
+    judged = langid.judged_apart(known, counted, 1_000_000)
+    assert judged.select("hash").distinct().count() == judged.count() == len({t for _, t, _ in rows}) and judged.filter("cross_entropy is null").isEmpty()
+    assert {r["fold"] for r in counted.select("fold").distinct().collect()} == set(range(langid.FOLDS))
+
+
 def test_language_rejection_spares_unseen_texts_and_tells_noise(spark):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(real.filter(~langid.held_out()))
