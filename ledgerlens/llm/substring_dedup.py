@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame, functions as F
 from zstandard import ZstdDecompressor
 
 from ledgerlens.llm.suffix_dedup import LAST, compressed, ids_of, row_key
-from ledgerlens.llm.text import RangeHash, column_bytes, joined, minimizers, mix, sliding, word_bounds, word_groups
+from ledgerlens.llm.text import PIECE, RangeHash, Words, column_bytes, joined, minimizers, mix, sliding, word_bounds, word_groups
 
 U = np.uint64
 ROWS = 2  # of the sketch
 BLOCK = 16  # bits of a cell's number within its block
+HELD = 1 << 18  # windows that a task compares at a time
 
 
 def _cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -50,7 +51,7 @@ def _part_sketch(window: int, gram: int, bits: int):
             # rows of one id are one document
             _, doc = np.unique(ids_of(batch.column(0)), return_inverse=True)
             keys, docs = [], []
-            for words in word_groups(data, offsets):
+            for words in word_groups(data, offsets, size=PIECE):
                 h = _gram_hashes(words.code, gram)
                 at = minimizers(h, words.bounds[1:], gram, window)
                 keys.append(h[at])
@@ -75,58 +76,61 @@ def _part_sketch(window: int, gram: int, bits: int):
 
 
 def _merge_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a block are together: the cells that two or more documents touch, as bits."""
-    once: dict[int, np.ndarray] = {}
-    twice: dict[int, np.ndarray] = {}
+    """The rows come sorted by block: the cells that two or more documents touch, as bits. One block is held at a time."""
+    now, seen, many = None, np.zeros(1 << BLOCK, bool), np.zeros(1 << BLOCK, bool)
+
+    def bits() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"block": pa.array([now], pa.int64()), "bits": pa.array([np.packbits(many, bitorder="little").tobytes()], pa.binary())})
+
     for batch in batches:
-        for block, one, two in zip(*(c.to_pylist() for c in batch.columns)):
-            seen = once.setdefault(block, np.zeros(1 << BLOCK, bool))
-            many = twice.setdefault(block, np.zeros(1 << BLOCK, bool))
-            one, two = np.frombuffer(one, "<u2"), np.frombuffer(two, "<u2")
+        for block, one, two in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            if block != now:
+                if many.any():
+                    yield bits()
+                now = block
+                seen[:] = many[:] = False
+            one, two = (np.frombuffer(x.as_buffer(), "<u2") for x in (one, two))
             many[one[seen[one]]] = True
             many[two] = True
             seen[one] = True
             seen[two] = True
-    for block, many in twice.items():
-        if many.any():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "bits": pa.array([np.packbits(many, bitorder="little").tobytes()], pa.binary())})
+    if many.any():
+        yield bits()
 
 
 def _repeated_windows(window: int, gram: int, bits: int, sketch):
-    def estimated(keys: np.ndarray, table: list[np.ndarray]) -> np.ndarray:
+    def estimated(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
         passed = np.ones(len(keys), bool)
         for row in range(ROWS):
             cell = _cells(keys, row, bits)
             passed &= (table[row][(cell >> U(3)).astype(np.int64)] >> (cell & U(7)).astype(np.uint8)) & 1 == 1
         return passed
 
+    def found(words: Words, ids: np.ndarray, own: np.ndarray) -> list[pa.RecordBatch]:
+        """The windows of a group of texts whose key repeats. What is made on the way goes before the next group is read."""
+        h = _gram_hashes(words.code, gram)
+        key = sliding(np.minimum, h, window - gram + 1)
+        if not len(key):
+            return []
+        run_of = np.r_[0, np.cumsum(key[1:] != key[:-1])]
+        heads = key[np.r_[True, key[1:] != key[:-1]]]
+        passed = estimated(heads, sketch.value)[run_of]
+        passed &= words.rows[: len(key)] == words.rows[window - 1 :]
+        del h, run_of, heads
+        at = np.flatnonzero(passed)
+        key, row = key[at], words.rows[at]
+        print_ = mix(RangeHash(mix(words.code ^ U(0xD1B54A32D192ED03))).of(at, at + window))
+        doc, pos, own = ids[row], at - words.bounds[row - words.first_row], own[row]
+        order = np.lexsort((doc, print_, key))
+        later = np.zeros(len(at), bool)
+        later[order] = _later(key[order], print_[order], doc[order])
+        return [_spans(own[later], pos[later], window), _runs(*(x[~later] for x in (key, doc, own, pos, print_)))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(ROWS)]
-        wide = (1 << BLOCK) // 8
-        for block, part in sketch.value:
-            row, at = block >> (bits - BLOCK), block & ((1 << bits - BLOCK) - 1)
-            table[row][at * wide : (at + 1) * wide] = np.frombuffer(part, np.uint8)
         for batch in batches:
-            ids = ids_of(batch.column(0))
-            data, offsets = column_bytes(batch.column(1))
-            for words in word_groups(data, offsets):
-                h = _gram_hashes(words.code, gram)
-                key = sliding(np.minimum, h, window - gram + 1)
-                if not len(key):
-                    continue
-                run_of = np.r_[0, np.cumsum(key[1:] != key[:-1])]
-                heads = key[np.r_[True, key[1:] != key[:-1]]]
-                passed = estimated(heads, table)[run_of]
-                passed &= words.rows[: len(key)] == words.rows[window - 1 :]
-                at = np.flatnonzero(passed)
-                key, row = key[at], words.rows[at]
-                print_ = mix(RangeHash(mix(words.code ^ U(0xD1B54A32D192ED03))).of(at, at + window))
-                doc, pos, own = ids[row], at - words.bounds[row - words.first_row], batch.column(2).to_numpy()[row]
-                order = np.lexsort((doc, print_, key))
-                later = np.zeros(len(at), bool)
-                later[order] = _later(key[order], print_[order], doc[order])
-                yield _spans(own[later], pos[later], window)
-                yield _runs(*(x[~later] for x in (key, doc, own, pos, print_)))
+            ids, own = ids_of(batch.column(0)), batch.column(2).to_numpy()
+            for words in word_groups(*column_bytes(batch.column(1))):
+                yield from found(words, ids, own)
 
     return run
 
@@ -153,11 +157,17 @@ def _spans(row: np.ndarray, pos: np.ndarray, window: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"key": pa.array(np.zeros(len(row), np.int64)), "doc": pa.array(np.zeros(len(row), np.int64)), "row": pa.array(row), "pos": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32)), "prints": pa.nulls(len(row), pa.binary())})
 
 
-def _group_windows(window: int):
-    """The rows of a key, and so of a window, are together; spans that are ready pass."""
+def _group_windows(window: int, most: int = HELD):
+    """The rows come sorted by key, so those of a window are together; spans that are ready pass. Keys are settled as they
+    end, about ``most`` windows at a time."""
+
+    def settled(key: np.ndarray, prints: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((doc, prints, key))
+        later = order[_later(key[order], prints[order], doc[order])]
+        return _spans(row[later], pos[later], window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        parts, held, limit = [], 0, most
         for batch in batches:
             ready = batch.column(4).to_numpy() >= 0
             if ready.any():
@@ -168,11 +178,17 @@ def _group_windows(window: int):
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             key, doc, row, pos = (np.repeat(runs.column(i).to_numpy(), n) for i in range(4))
             parts.append((key, data.copy().view(np.uint64), doc, row, pos + inner))
-        if parts:
-            key, prints, doc, row, pos = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((doc, prints, key))
-            later = order[_later(key[order], prints[order], doc[order])]
-            yield _spans(row[later], pos[later], window)
+            held += len(key)
+            if held >= limit:
+                whole = [np.concatenate(x) for x in zip(*parts)]
+                ended = int(np.searchsorted(whole[0], whole[0][-1]))  # the last key may go on
+                parts, held = [[x[ended:].copy() for x in whole]], len(whole[0]) - ended
+                # a key of more windows is held whole
+                limit = max(most, 2 * held)
+                if ended:
+                    yield settled(*(x[:ended] for x in whole))
+        if held:
+            yield settled(*(np.concatenate(x) for x in zip(*parts)))
 
     return run
 
@@ -182,14 +198,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = cells.bit_length() - 1
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), row_key(docs, id_col, text_col).alias("row"))
     parts = texts.mapInArrow(_part_sketch(window, gram, bits), "block long, once binary, twice binary")
-    merged = parts.repartition(F.col("block")).mapInArrow(_merge_sketches, "block long, bits binary")
-    # at most rows * cells / 8 bytes, whatever the corpus
-    sketch = docs.sparkSession.sparkContext.broadcast([(r["block"], bytes(r["bits"])) for r in merged.collect()])
+    # sorted, as a small input puts all blocks into one task
+    merged = parts.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_merge_sketches, "block long, bits binary")
+    # rows * cells / 8 bytes, whatever the corpus, which the tasks of a worker share
+    table = np.zeros((ROWS, 1 << bits - BLOCK, (1 << BLOCK) // 8), np.uint8)
+    for r in merged.collect():
+        table[divmod(r["block"], 1 << bits - BLOCK)] = np.frombuffer(r["bits"], np.uint8)
+    sketch = docs.sparkSession.sparkContext.broadcast(table.reshape(ROWS, -1))
     rows = "key long, doc long, row long, pos int, end int, prints binary"
     windows = texts.mapInArrow(_repeated_windows(window, gram, bits, sketch), rows)
     # spans that are ready go by document, so that they spread as well
     spread = F.when(F.col("end") < 0, F.col("key")).otherwise(F.xxhash64("row", "pos"))
-    spans = windows.repartition(spread).mapInArrow(_group_windows(window), rows)
+    spans = windows.repartition(spread).sortWithinPartitions("key").mapInArrow(_group_windows(window), rows)
     return spans.groupBy("row").agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("start"), F.col("end").cast("long").alias("end"))).alias("spans"))
 
 

@@ -2,9 +2,11 @@
 
 import hashlib
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -492,6 +494,41 @@ def test_long_words_that_collide_in_sums_are_told_apart(spark):
     assert got == {1: 0, 2: 0, 3: 13}
 
 
+def test_a_task_holds_one_block_of_the_sketch_at_a_time():
+    blocks, cells = 1200, np.arange(0, 1 << substring_dedup.BLOCK, 8, dtype="<u2")
+    parts = [(cells[::2], cells[:0]), (cells[:900], cells[-5:])]
+    rows = [(b, once.tobytes(), many.tobytes()) for b in range(blocks) for once, many in parts]
+    schema = pa.schema([("block", pa.int64()), ("once", pa.binary()), ("twice", pa.binary())])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 51]), schema.types)], schema=schema) for a in range(0, len(rows), 51)]
+    twice = sorted({*cells[:900:2].tolist(), *cells[-5:].tolist()})
+    tracemalloc.start()
+    found = 0
+    for out in substring_dedup._merge_sketches(iter(batches)):
+        for bits in out.column(1).to_pylist():
+            assert np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")).tolist() == twice
+            found += 1
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == blocks and most < 20e6  # all blocks at once take 157 MB
+
+
+@pytest.mark.parametrize("most", [1, 700, 10**9])
+def test_windows_are_settled_as_their_keys_end(most):
+    rng = np.random.default_rng(8)
+    key = np.sort(rng.integers(-40, 40, 3000) // rng.integers(1, 9, 3000))
+    doc, prints = rng.integers(0, 30, 3000), rng.integers(0, 4, 3000).astype(np.uint64)
+    least: dict = {}
+    for k, p, d in zip(key.tolist(), prints.tolist(), doc.tolist()):
+        least[k, p] = min(d, least.get((k, p), d))
+    # each window is a row of its own, so its number is its place and what is cut
+    want = {i for i, (k, p, d) in enumerate(zip(key.tolist(), prints.tolist(), doc.tolist())) if d > least[k, p]}
+    one = np.zeros(3000, np.int32)
+    rows = pa.RecordBatch.from_pydict({"key": key, "doc": doc, "row": np.arange(3000), "pos": one, "end": one - 1, "prints": pa.array([p.tobytes() for p in prints], pa.binary())})
+    out = [b for b in substring_dedup._group_windows(13, most)(rows.slice(a, 90) for a in range(0, 3000, 90))]
+    assert sorted(r for b in out for r in b.column(2).to_pylist()) == sorted(want)
+    assert len([b for b in out if b.num_rows]) == 1 if most > 3000 else len(out) > 3
+
+
 def test_packing_of_very_long_blanks(spark):
     texts = ["a" + " " * 1_000_000 + "b", "\n" * 30_000, " x" * 10]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
